@@ -63,6 +63,8 @@ VIEWS = {
         SELECT b.*, bureau_bad_debt_flag, bureau_overdue_mean, prev_refused_ratio, inst_late_ratio
         FROM base_app b LEFT JOIN bureau_hist USING (sk_id_curr) LEFT JOIN prev_hist USING (sk_id_curr)
           LEFT JOIN inst_hist USING (sk_id_curr)""",
+    "hist_filled": """
+        SELECT * REPLACE (coalesce(inst_late_ratio, 0) AS inst_late_ratio, coalesce(prev_refused_ratio, 0) AS prev_refused_ratio) FROM with_history""",
     "valued": """
         SELECT *,
           CASE WHEN pred_prob > 7e-1 THEN 3

@@ -67,7 +67,7 @@ def main(argv: list[str]) -> None:
 
     folder = argv[0]
     wanted = argv[1:]
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     checks = entry.oracle_sql()
