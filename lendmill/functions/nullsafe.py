@@ -109,6 +109,12 @@ def lookup(c: Column | str, table: dict, default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
+def cents(c: Column, half_even: bool = False) -> Column:
+    """Money to two decimals, decided on the decimal value: binary noise is rounded off first."""
+    exact = F.round(c, 6)
+    return F.bround(exact, 2) if half_even else F.round(exact, 2)
+
+
 def row_sum(columns: Sequence[Column | str]) -> Column:
     """Null-skipping sum across columns of one row."""
     total = F.lit(0)

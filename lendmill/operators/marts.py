@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendmill.functions.nullsafe import count_when
+from lendmill.functions.nullsafe import cents, count_when
 
 PROFILE_APPLICATION = ("sk_id_curr", "target", "code_gender", "name_income_type", "name_education_type", "occupation_type",
                        "name_contract_type", "amt_credit", "amt_income_total")
@@ -51,7 +51,7 @@ def collections_top(predictions: DataFrame, application: DataFrame, n: int = 100
         "sk_id_curr", "code_gender", "name_income_type", "amt_income_total", "amt_credit",
         F.round(F.col("default_probability") * 100, 2).alias("pd_pct"),
         "risk_tier",
-        F.round("ecl", 2).alias("ecl_usd"),
+        cents(F.col("ecl")).alias("ecl_usd"),
         F.concat(F.lit("09"), phone).alias("phone"),
         F.concat(F.lit("khachhang_"), F.col("sk_id_curr").cast("string"), F.lit("@gmail.com")).alias("email"),
     )

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.functions.nullsafe import clip, has, lookup, ratio, step
+from lendmill.functions.nullsafe import cents, clip, has, lookup, ratio, step
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.params import (
     FALLBACK_TIER_EDGES,
@@ -93,7 +93,7 @@ def recommendation(tier: Column) -> Column:
 
 
 def ecl_estimate(p: Column, credit: Column) -> Column:
-    return F.bround(p * FLAT_LGD * F.coalesce(credit.cast("double"), F.lit(0.0)), 2)
+    return cents(p * FLAT_LGD * F.coalesce(credit.cast("double"), F.lit(0.0)), half_even=True)
 
 
 def top_factors(df: DataFrame, medians: dict[str, float | None], n: int = 3) -> Column:

@@ -138,7 +138,7 @@ def cln_days_past_due(dom: Domain) -> DataFrame:
 
 @query("cln_utilization", sql="""
     SELECT sk_id_prev, CASE WHEN amt_credit_limit_actual > 0 THEN least(amt_balance / amt_credit_limit_actual, 2e0) ELSE 0e0 END AS utilization_ratio
-    FROM credit_card""", digits={"utilization_ratio": 12})
+    FROM credit_card""", digits={"utilization_ratio": 8})
 def cln_utilization(dom: Domain) -> DataFrame:
     return clean.utilization(dom.credit_card).select("sk_id_prev", "utilization_ratio")
 

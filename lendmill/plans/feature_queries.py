@@ -112,9 +112,8 @@ def fea_split_back(dom: Domain) -> DataFrame:
 
 # ---- rollups --------------------------------------------------------------------------------
 
-# Digits beyond the last one a mean of exact amounts can end on, so that no value sits on a rounding edge.
-BUREAU_MONEY = {"bureau_credit_sum": 6, "bureau_credit_mean": 6, "bureau_credit_max": 6, "bureau_debt_sum": 7, "bureau_overdue_mean": 7,
-                "bureau_overdue_max": 7, "bureau_days_credit_mean": 6}
+BUREAU_MONEY = {"bureau_credit_sum": 4, "bureau_credit_mean": 4, "bureau_credit_max": 4, "bureau_debt_sum": 4, "bureau_overdue_mean": 4,
+                "bureau_overdue_max": 4, "bureau_days_credit_mean": 6}
 _BUREAU_SQL = """
     SELECT sk_id_curr, count(sk_id_bureau) AS bureau_loan_count, count(*) FILTER (WHERE credit_active = 'Active') AS bureau_active_count,
       count(*) FILTER (WHERE credit_active = 'Closed') AS bureau_closed_count, sum(amt_credit_sum) AS bureau_credit_sum, avg(amt_credit_sum) AS bureau_credit_mean,
@@ -147,7 +146,7 @@ _PREV_SQL = """
       count(*) FILTER (WHERE name_contract_type = 'Revolving loans') AS prev_revolving_count FROM previous_application GROUP BY sk_id_curr"""
 
 
-@query("agg_prev", sql=_PREV_SQL, digits={"prev_credit_mean": 6, "prev_credit_max": 6, "prev_annuity_mean": 7, "prev_down_payment_mean": 7, "prev_days_decision_mean": 6})
+@query("agg_prev", sql=_PREV_SQL, digits={"prev_credit_mean": 4, "prev_credit_max": 4, "prev_annuity_mean": 4, "prev_down_payment_mean": 4, "prev_days_decision_mean": 6})
 def agg_prev(dom: Domain) -> DataFrame:
     return rollups.previous_rollup(dom.previous)
 
@@ -170,8 +169,8 @@ def agg_prev_derived(dom: Domain) -> DataFrame:
         greatest(coalesce(days_entry_payment, m_day) - days_instalment, 0)::DOUBLE AS dpd
       FROM installments, (SELECT median(amt_payment) AS m_pay, median(days_entry_payment) AS m_day FROM installments))
     GROUP BY sk_id_curr""",
-    digits={"inst_payment_diff_mean": 7, "inst_payment_diff_max": 7, "inst_payment_diff_sum": 7, "inst_days_past_due_mean": 6, "inst_days_past_due_max": 2,
-            "inst_amt_payment_mean": 7, "inst_amt_instalment_mean": 6, "inst_late_ratio": 6})
+    digits={"inst_payment_diff_mean": 4, "inst_payment_diff_max": 4, "inst_payment_diff_sum": 4, "inst_days_past_due_mean": 6, "inst_days_past_due_max": 2,
+            "inst_amt_payment_mean": 4, "inst_amt_instalment_mean": 4, "inst_late_ratio": 6})
 def agg_inst(dom: Domain) -> DataFrame:
     return rollups.installments_rollup(clean.clean_installments(dom.installments))
 
@@ -198,8 +197,8 @@ def agg_pos(dom: Domain) -> DataFrame:
     FROM (SELECT *, least(sk_dpd, 365e0) AS dpd, least(sk_dpd_def, 365e0) AS dpd_def, coalesce(amt_drawings_current, 0) AS drawn,
         CASE WHEN amt_credit_limit_actual > 0 THEN least(amt_balance / amt_credit_limit_actual, 2e0) ELSE 0e0 END AS util FROM credit_card)
     GROUP BY sk_id_curr""",
-    digits={"cc_balance_mean": 6, "cc_balance_max": 6, "cc_limit_mean": 6, "cc_utilization_mean": 10, "cc_utilization_max": 11, "cc_dpd_mean": 6,
-            "cc_dpd_def_mean": 6, "cc_drawings_mean": 7, "cc_drawings_max": 7, "cc_payment_mean": 7, "cc_late_ratio": 6})
+    digits={"cc_balance_mean": 4, "cc_balance_max": 4, "cc_limit_mean": 4, "cc_utilization_mean": 6, "cc_utilization_max": 6, "cc_dpd_mean": 6,
+            "cc_dpd_def_mean": 6, "cc_drawings_mean": 4, "cc_drawings_max": 4, "cc_payment_mean": 4, "cc_late_ratio": 6})
 def agg_card(dom: Domain) -> DataFrame:
     return rollups.card_rollup(clean.clean_card(dom.credit_card))
 

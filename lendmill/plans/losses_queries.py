@@ -106,7 +106,7 @@ def ecl_macro_overlay(dom: Domain) -> DataFrame:
 
 
 @query("ecl_compute", sql="SELECT sk_id_curr, stage, lgd, ead, pd_12m_macro, pd_lifetime_macro, ecl, ecl_rate FROM portfolio",
-       digits={"lgd": 8, "ead": 4, "pd_12m_macro": 6, "pd_lifetime_macro": 6, "ecl": 6, "ecl_rate": 10})
+       digits={"lgd": 8, "ead": 4, "pd_12m_macro": 6, "pd_lifetime_macro": 6, "ecl": 2, "ecl_rate": 6})
 def ecl_compute(dom: Domain) -> DataFrame:
     return portfolio(dom).select("sk_id_curr", "stage", "lgd", "ead", "pd_12m_macro", "pd_lifetime_macro", "ecl", "ecl_rate")
 

@@ -26,6 +26,8 @@ def build_session(app_name: str = "lendmill", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # call-site capture costs several JVM round trips per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     defaults.update(conf)
     for key, value in defaults.items():

@@ -130,15 +130,18 @@ class Domain:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def application(self) -> DataFrame:
         orders, customer, nation = self.table("orders"), self.table("customer"), self.table("nation")
-        people = lookup_join(customer, nation, "c_nationkey", "n_nationkey")
-        return project(lookup_join(orders, people, "o_custkey", "c_custkey"), APPLICATION)
+        placed = lookup_join(orders, customer, "o_custkey", "c_custkey")
+        return project(lookup_join(placed, nation, "c_nationkey", "n_nationkey"), APPLICATION)
 
     @cached_property
     def bureau(self) -> DataFrame:
