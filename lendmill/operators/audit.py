@@ -13,12 +13,15 @@ from lendmill.operators.quantiles import exact_quantiles
 from lendmill.params import SENTINEL_DAYS
 
 
-def value_share(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value and their percentage of all rows (nulls are not a value)."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.filter(F.col(column).isNotNull()).select(
-        F.col(column).cast("string").alias("value"), "n_rows", (F.col("n_rows") * 100.0 / total).cast("double").alias("pct")
+def value_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per value and their percentage of all rows, for all listed columns in one pass.
+
+    Nulls are not a value but count in the percentage base.
+    """
+    counts = melt(df, columns, "string", name="column_name").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    totals = counts.groupBy("column_name").agg(F.sum("n_rows").alias("__total"))
+    return counts.filter(F.col("value").isNotNull()).join(F.broadcast(totals), "column_name").select(  # one row per column
+        "column_name", "value", "n_rows", (F.col("n_rows") * 100.0 / F.col("__total")).cast("double").alias("pct")
     )
 
 

@@ -13,11 +13,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendmill.functions.nullsafe import step
+
 SKETCH_ACCURACY = 10_000
-DIRECT_LIMIT = 200_000
+DIRECT_LIMIT = 50_000
 BRACKET_LIMIT = 5_000_000
 COLUMNS_PER_PASS = 60
 
@@ -109,45 +111,73 @@ def _tighten(df: DataFrame, targets: list[_Target]) -> None:
         t.high = marks[high_mark] if high_mark < 200 else t.high
 
 
+@dataclass
+class _Slots:
+    """Merged brackets of one column: slot 2j is the gap before bracket j, 2j + 1 its inside."""
+
+    lows: list[float]
+    highs: list[float]
+
+    @classmethod
+    def of(cls, targets: list[_Target]) -> _Slots:
+        spans = sorted((-math.inf if t.low is None else t.low, math.inf if t.high is None else t.high) for t in targets)
+        lows, highs = [spans[0][0]], [spans[0][1]]
+        for low, high in spans[1:]:
+            if low <= highs[-1]:
+                highs[-1] = max(highs[-1], high)
+            else:
+                lows.append(low)
+                highs.append(high)
+        return cls(lows, highs)
+
+    def number(self, c: Column) -> Column:
+        ranks = list(range(len(self.lows) + 1))
+        return step(c, self.lows, ranks, closed_right=False) + step(c, self.highs, ranks)
+
+
 def _select(df: DataFrame, targets: list[_Target], sizes: dict[str, int]) -> list[float]:
-    """Pick the two neighbouring order statistics of each target from the bracketed values."""
-    below = float("-inf")
+    """Pick the two neighbouring order statistics of each target.
+
+    One row per (table row, column) is generated and pre-aggregated: values inside a bracket
+    keep their identity, all values of a gap fold into one count.
+    """
+    names = sorted({t.column for t in targets})
     entries = []
-    for i, t in enumerate(targets):
-        c = F.col(t.column)
-        value = c if t.low is None else F.when(c < t.low, F.lit(below)).otherwise(c)
-        value = F.when(c.isNotNull() & (F.lit(True) if t.high is None else c <= t.high), value)
-        entries.append(F.struct(F.lit(i).alias("t"), value.alias("v")))
+    for i, name in enumerate(names):
+        c = F.col(name)
+        slot = _Slots.of([t for t in targets if t.column == name]).number(c)
+        entries.append(F.struct(F.lit(i).alias("c"), slot.alias("slot"), F.when(slot % 2 == 1, c).alias("v")))
     counted = (
         df.select(F.inline(F.array(*entries)))
-        .filter(F.col("v").isNotNull())
-        .groupBy("t", "v")
+        .filter(F.col("slot").isNotNull())
+        .groupBy("c", "slot", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    lows = F.array(*[F.lit(math.floor(t.position)) for t in targets])
-    highs = F.array(*[F.lit(min(math.floor(t.position) + 1, sizes[t.column] - 1)) for t in targets])
-    ranked = counted.select("t", "v", (upto - F.col("n")).alias("start"), upto.alias("end"))
-    hit_low = (F.col("start") <= lows[F.col("t")]) & (lows[F.col("t")] < F.col("end"))
-    hit_high = (F.col("start") <= highs[F.col("t")]) & (highs[F.col("t")] < F.col("end"))
-    rows = ranked.filter(hit_low | hit_high).select("t", "v", hit_low.alias("is_low"), hit_high.alias("is_high")).collect()
-
-    picked: dict[int, list[float | None]] = {i: [None, None] for i in range(len(targets))}
-    for r in rows:
-        if r["v"] != below:
-            if r["is_low"]:
-                picked[r["t"]][0] = r["v"]
-            if r["is_high"]:
-                picked[r["t"]][1] = r["v"]
-    missed = [i for i, pair in picked.items() if None in pair]
+    upto = F.sum("n").over(Window.partitionBy("c").orderBy("slot", "v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.select("c", "v", (upto - F.col("n")).alias("start"), upto.alias("end"))
+    wanted = F.lit(False)
+    ranks: dict[str, list[int]] = {}
+    for i, name in enumerate(names):
+        ranks[name] = sorted({r for t in targets if t.column == name for r in _neighbours(t, sizes)})
+        hit = F.exists(F.array(*[F.lit(r) for r in ranks[name]]), lambda r: (F.col("start") <= r) & (r < F.col("end")))
+        wanted = wanted | ((F.col("c") == i) & hit)
+    rows = ranked.filter(wanted & F.col("v").isNotNull()).collect()  # at most two per target
+
+    at = {(names[r["c"]], rank): r["v"] for r in rows for rank in ranks[names[r["c"]]] if r["start"] <= rank < r["end"]}
+    out: list[float | None] = []
+    for t in targets:
+        below, above = (at.get((t.column, rank)) for rank in _neighbours(t, sizes))
+        found = below is not None and above is not None
+        out.append(below + (above - below) * (t.position - math.floor(t.position)) if found else None)
+    missed = [i for i, value in enumerate(out) if value is None]
     if missed:
-        # the sketch missed the rank: take the whole column for these targets
-        again = [_Target(targets[i].column, targets[i].position) for i in missed]
-        for i, value in zip(missed, _select(df, again, sizes)):
-            picked[i] = [value, value]
-            targets[i].position = math.floor(targets[i].position)
-    out = []
-    for i, t in enumerate(targets):
-        a, b = picked[i]
-        out.append(a + (b - a) * (t.position - math.floor(t.position)))
+        # the sketch missed a rank: group the whole column for these targets
+        again = _select(df, [_Target(targets[i].column, targets[i].position) for i in missed], sizes)
+        for i, value in zip(missed, again):
+            out[i] = value
     return out
+
+
+def _neighbours(t: _Target, sizes: dict[str, int]) -> tuple[int, int]:
+    low = math.floor(t.position)
+    return low, min(low + 1, sizes[t.column] - 1)

@@ -32,13 +32,13 @@ def running_totals(
     `key` must not be null and be unique within a group. The groups should be few.
     """
     order = F.col(key).desc() if descending else F.col(key).asc()
-    beyond = df.limit(rows_per_slice + 1).count() > rows_per_slice
-    if not beyond:
+    size = df.count()
+    if size <= rows_per_slice:
         whole = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(whole).alias(out) for out, c in totals.items()])
 
     df = materialize(df, "running")
-    slices = min(-(-df.count() // rows_per_slice), MAX_SLICES)
+    slices = min(-(-size // rows_per_slice), MAX_SLICES)
     marks = df.agg(F.percentile_approx(key, [k / slices for k in range(1, slices)], 10 * slices)).first()[0]
     edges = sorted(set(marks))
     sliced = df.withColumn("__slice", step(F.col(key), edges, list(range(len(edges) + 1))))
@@ -62,7 +62,7 @@ def rank_within(
     high: int,
     tie: str,
     name: str = "row_rank",
-    slices: int = 1024,
+    slices: int = 1 << 16,
 ) -> DataFrame:
     """Zero-based row number per group, ordered by (`order_key`, `tie`).
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendmill.functions.nullsafe import count_when, lookup, step
+from lendmill.functions.nullsafe import lookup, step
 from lendmill.operators.quantiles import exact_quantiles
 
 FEW_VALUES = 10
@@ -71,29 +71,45 @@ def equal_width_bins(df: DataFrame, feature: str, n_bins: int = 10) -> FeatureBi
     return FeatureBins(feature, tuple([lo + (hi - lo) * k / n_bins for k in range(n_bins)] + [hi]))
 
 
-def bin_counts(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target") -> DataFrame:
-    """Events and rows per (feature, bin) for all features in one pass; null values have no bin."""
-    pairs = F.array(*[F.struct(F.lit(b.feature).alias("feature"), b.column().alias("bin")) for b in bins])
-    long = df.select(F.col(target).alias("y"), F.inline(pairs).alias("feature", "bin"))
+EVERY_ROW = "*"
+
+
+def _bin_rows(df: DataFrame, pairs: list[Column], target: str) -> DataFrame:
+    long = df.select(F.col(target).alias("y"), F.inline(F.array(*pairs)).alias("feature", "bin"))
     return long.filter(F.col("bin").isNotNull() & F.col("y").isNotNull()).groupBy("feature", "bin").agg(
         F.sum("y").cast("bigint").alias("events"), F.count(F.lit(1)).alias("total")
     )
 
 
+def _pairs(bins: Sequence[FeatureBins]) -> list[Column]:
+    return [F.struct(F.lit(b.feature).alias("feature"), b.column().alias("bin")) for b in bins]
+
+
+def bin_counts(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target") -> DataFrame:
+    """Events and rows per (feature, bin) for all features in one pass; null values have no bin."""
+    return _bin_rows(df, _pairs(bins), target)
+
+
 def woe_table(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target") -> DataFrame:
     """Smoothed event shares, WoE and IV part per (feature, bin).
 
-    The share totals count every row, also those without a value of the feature.
+    The share totals count every row, also those without a value of the feature; they come from
+    one extra bin that holds all rows, so the table is read once. Without both outcomes the
+    result is empty.
     """
-    events, others = df.agg(count_when(F.col(target) == 1), count_when(F.col(target) == 0)).first()
-    counts = bin_counts(df, bins, target).withColumn("nonevents", F.col("total") - F.col("events"))
-    if not events or not others:
-        counts = counts.limit(0)  # no table without both outcomes
-    share_event = (F.col("events") + 0.5) / F.lit(events + 0.5)
-    share_other = (F.col("nonevents") + 0.5) / F.lit(others + 0.5)
+    everything = F.struct(F.lit(EVERY_ROW).alias("feature"), F.lit(EVERY_ROW).alias("bin"))
+    counts = _bin_rows(df, [everything, *_pairs(bins)], target).withColumn("nonevents", F.col("total") - F.col("events"))
+    whole = Window.partitionBy()  # bins x features rows
+    is_all = F.col("feature") == EVERY_ROW
+    counted = counts.withColumns({
+        "__events": F.max(F.when(is_all, F.col("events"))).over(whole),
+        "__others": F.max(F.when(is_all, F.col("nonevents"))).over(whole),
+    }).filter(~is_all & (F.col("__events") > 0) & (F.col("__others") > 0))
+    share_event = (F.col("events") + 0.5) / (F.col("__events") + 0.5)
+    share_other = (F.col("nonevents") + 0.5) / (F.col("__others") + 0.5)
     return (
-        counts.withColumn("pct_events", share_event)
-        .withColumn("pct_nonevents", share_other)
+        counted.withColumns({"pct_events": share_event, "pct_nonevents": share_other})
+        .drop("__events", "__others")
         .withColumn("woe", F.ln(F.col("pct_events") / F.col("pct_nonevents")))
         .withColumn("iv_part", (F.col("pct_events") - F.col("pct_nonevents")) * F.col("woe"))
     )

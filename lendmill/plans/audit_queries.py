@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators import audit, clean
 from lendmill.plans.registry import query
+from lendmill.session import materialize
 from lendmill.sources.domain import Domain
 
 _SHARES = {
@@ -23,10 +24,14 @@ def _share_sql(column: str, table: str) -> str:
 @query("aud_value_share", sql=" UNION ALL ".join(_share_sql(c, t) for c, t in _SHARES.items())
        + " UNION ALL " + _share_sql("name_contract_status", "pos_cash"), digits={"pct": 6})
 def aud_value_share(dom: Domain) -> DataFrame:
-    tables = {"application": dom.application, "bureau": dom.bureau, "previous_application": dom.previous, "pos_cash": dom.pos_cash}
+    tables = {
+        "application": (dom.application, ["target", "code_gender"]), "bureau": (dom.bureau, ["credit_active", "credit_type"]),
+        "previous_application": (dom.previous, ["name_contract_status"]), "pos_cash": (dom.pos_cash, ["name_contract_status"]),
+    }
     out = None
-    for column, table in [*_SHARES.items(), ("name_contract_status", "pos_cash")]:
-        part = audit.value_share(tables[table], column).select(F.lit(f"{table}.{column}").alias("source"), "value", "n_rows", "pct")
+    for table, (df, columns) in tables.items():
+        shares = audit.value_share(df, columns)
+        part = shares.select(F.concat(F.lit(f"{table}."), "column_name").alias("source"), "value", "n_rows", "pct")
         out = part if out is None else out.union(part)
     return out
 
@@ -234,7 +239,8 @@ _CARD_SQL = """SELECT sk_id_curr, avg(amt_balance) AS cc_balance_mean, max(amt_b
       quantile_cont({c}, 0.5) AS p50, quantile_cont({c}, 0.75) AS p75, max({c})::DOUBLE AS max FROM ({_CARD_SQL})""" for c in audit.CARD_ROLLUP),
     digits=dict.fromkeys(["mean", "std", "min", "p25", "p50", "p75", "max"], 4))
 def aud_card_rollup(dom: Domain) -> DataFrame:
-    return audit.describe_exact(audit.card_preview(dom.credit_card), audit.CARD_ROLLUP)
+    preview = materialize(audit.card_preview(dom.credit_card), "card")
+    return audit.describe_exact(preview, audit.CARD_ROLLUP)
 
 
 @query("aud_schema_diff", sql="""

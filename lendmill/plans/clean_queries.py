@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lendmill.functions.nullsafe import spread
 from lendmill.operators import clean
 from lendmill.plans.registry import query
+from lendmill.session import materialize
 from lendmill.sources.domain import Domain
 
 PREV_DAYS = ["days_first_drawing", "days_first_due", "days_last_due", "days_termination"]
@@ -180,7 +181,7 @@ def _m(column: str, table: str) -> str:
     digits={"days_employed": 2, "ext_source_1": 6, "ext_source_3": 6, "amt_goods_price": 4, "days_last_phone_change": 2, "amt_income_total": 4})
 def cln_application(dom: Domain) -> DataFrame:
     """The whole application cleaner; the car age column goes, being mostly empty."""
-    out = clean.clean_application(dom.application)
+    out = clean.clean_application(materialize(dom.application, "application"))
     if "own_car_age" in out.columns:
         raise ValueError("the sparse column survived")
     return out.select("sk_id_curr", "emp_anomaly", "code_gender", "days_employed", "ext_source_1", "ext_source_3", "amt_goods_price",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators import evaluate, explain, losses, pd_model
 from lendmill.operators.quantiles import median
-from lendmill.plans.portfolio import base, with_tier
+from lendmill.plans.portfolio import base, feature_table, with_tier
 from lendmill.plans.registry import query
 from lendmill.sources.domain import Domain
 
@@ -196,5 +196,5 @@ _DEV = ["ext_source_2", "ext_source_3", "credit_income_ratio", "credit_term", "a
     f"SELECT sk_id_curr, '{f}' AS feature, {i} AS i, abs(({f} - m) / (abs(m) + 1e-9)) AS d FROM base_app, (SELECT median({f}) AS m FROM base_app) WHERE {f} IS NOT NULL AND m <> 0"
     for i, f in enumerate(_DEV)) + ")) WHERE k <= 3")
 def xai_deviation_top3(dom: Domain) -> DataFrame:
-    rows = base(dom)
+    rows = feature_table(base(dom), ["sk_id_curr", *_DEV])
     return explain.deviation_top(rows, median(rows, _DEV))

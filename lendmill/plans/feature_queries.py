@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators import clean, features, joins, rollups
 from lendmill.operators.explain import sample_rows, join_scores
-from lendmill.plans.portfolio import base, bureau_history, installment_history, predictions, previous_history, with_history, with_tier
+from lendmill.plans.portfolio import base, bureau_history, feature_table, previous_history, with_history, with_tier
 from lendmill.plans.registry import query
 from lendmill.sources.domain import Domain
 
@@ -54,7 +54,8 @@ def fea_interactions(dom: Domain) -> DataFrame:
     digits={"bureau_quality_composite": 6})
 def fea_bureau_quality(dom: Domain) -> DataFrame:
     """On filled rollups: no history counts as 0."""
-    rows = joins.fill_no_history(with_history(dom), ["bureau_overdue_mean", "prev_refused_ratio", "inst_late_ratio"])
+    history = ["bureau_overdue_mean", "prev_refused_ratio", "inst_late_ratio"]
+    rows = feature_table(joins.fill_no_history(with_history(dom), history), ["sk_id_curr", *history])
     return features.add_bureau_quality(rows).select("sk_id_curr", "bureau_quality_composite")
 
 

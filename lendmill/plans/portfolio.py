@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lendmill.operators import clean, features, losses, rollups
 from lendmill.operators.joins import attach_rollups
 from lendmill.operators.scoring import fit_tiers, risk_tier
+from lendmill.session import materialize
 from lendmill.sources.domain import Domain
 
 
@@ -17,6 +18,11 @@ def base(dom: Domain) -> DataFrame:
     return features.add_years(features.add_ratios(flagged))
 
 
+def feature_table(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns written to the shared folder: fits read them several times."""
+    return materialize(rows.select(*columns), "features")
+
+
 def bureau_history(dom: Domain) -> DataFrame:
     return rollups.bureau_derived(rollups.bureau_rollup(dom.bureau)).select("sk_id_curr", "bureau_bad_debt_flag", "bureau_overdue_mean")
 

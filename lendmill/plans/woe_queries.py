@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.operators import encode, woe
-from lendmill.plans.portfolio import base, with_history
+from lendmill.plans.portfolio import base, feature_table, with_history
 from lendmill.plans.registry import query
 from lendmill.sources.domain import Domain
 
@@ -119,19 +119,19 @@ WOE_DIGITS = {"pct_events": 8, "pct_nonevents": 8, "woe": 7, "iv_part": 8}
 
 @query("woe_bin_quantile", sql=f"SELECT feature, bin, sum(y)::BIGINT AS events, count(*) AS total FROM ({_binned('base_app', QUANTILE_FEATURES)}) GROUP BY feature, bin")
 def woe_bin_quantile(dom: Domain) -> DataFrame:
-    rows = base(dom)
+    rows = feature_table(base(dom), ["target", *QUANTILE_FEATURES])
     return woe.bin_counts(rows, woe.fit_bins(rows, QUANTILE_FEATURES))
 
 
 @query("woe_bin_category", sql=f"SELECT feature, bin, sum(y)::BIGINT AS events, count(*) AS total FROM ({_binned('base_app', VALUE_FEATURES)}) GROUP BY feature, bin")
 def woe_bin_category(dom: Domain) -> DataFrame:
-    rows = base(dom)
+    rows = feature_table(base(dom), ["target", *VALUE_FEATURES])
     return woe.bin_counts(rows, woe.fit_bins(rows, VALUE_FEATURES))
 
 
 @query("woe_table", sql=_woe_sql("base_app", ALL_FEATURES), digits=WOE_DIGITS)
 def woe_table(dom: Domain) -> DataFrame:
-    rows = base(dom)
+    rows = feature_table(base(dom), ["target", *ALL_FEATURES])
     return woe.woe_table(rows, woe.fit_bins(rows, ALL_FEATURES))
 
 
@@ -140,7 +140,7 @@ _FLAG = "CASE WHEN raw > 5e-1 THEN 'Suspicious' WHEN raw > 3e-1 THEN 'Strong' WH
 
 @query("woe_iv", sql=f"SELECT feature, sum(iv_part) AS iv FROM ({_woe_sql('base_app', ALL_FEATURES)}) GROUP BY feature", digits={"iv": 6})
 def woe_iv(dom: Domain) -> DataFrame:
-    rows = base(dom)
+    rows = feature_table(base(dom), ["target", *ALL_FEATURES])
     return woe.information_value(woe.woe_table(rows, woe.fit_bins(rows, ALL_FEATURES))).select("feature", "iv")
 
 
@@ -152,7 +152,8 @@ _GRADED = """(SELECT * REPLACE (CASE WHEN ext_source_2 + (CASE WHEN code_gender
 def _graded(dom: Domain) -> DataFrame:
     gender = F.when(F.col("code_gender") == "M", 0.15).otherwise(0.0)
     rows = base(dom).filter(F.col("ext_source_3").isNotNull())
-    return rows.withColumn("target", F.when(F.col("ext_source_2") + gender + F.col("ext_source_3") * 0.3 > 0.8, 0).otherwise(1))
+    graded = rows.withColumn("target", F.when(F.col("ext_source_2") + gender + F.col("ext_source_3") * 0.3 > 0.8, 0).otherwise(1))
+    return feature_table(graded, ["target", *ALL_FEATURES])
 
 
 @query("woe_iv_flag", sql=f"""SELECT feature, {_FLAG} AS flag FROM (SELECT feature, sum(iv_part) AS raw FROM ({_woe_sql(_GRADED, ALL_FEATURES)}) GROUP BY feature)""")
@@ -182,7 +183,8 @@ _FIT_FEATURES = ["ext_source_2", "credit_term", "code_gender"]
         FROM base_app WHERE is_train = 1) m ON m.feature = w.feature""", digits={"woe": 7, "lo": 6, "hi": 6})
 def woe_fit(dom: Domain) -> DataFrame:
     """Fitted on the train rows only."""
-    fitted = woe.fit_woe(base(dom).filter("is_train = 1"), _FIT_FEATURES)
+    rows = feature_table(base(dom).filter("is_train = 1"), ["target", *_FIT_FEATURES])
+    fitted = woe.fit_woe(rows, _FIT_FEATURES)
     return fitted.select("feature", F.coalesce("category", F.col("bin_id").cast("string")).alias("bin"), "woe", "lo", "hi")
 
 
@@ -204,7 +206,7 @@ def _apply_sql() -> str:
 @query("woe_apply", sql=_apply_sql(), digits={f"{f}_woe": 7 for f in _FIT_FEATURES})
 def woe_apply(dom: Domain) -> DataFrame:
     """Train-fitted WoE on all rows; test values outside the fitted range are neutral."""
-    rows = base(dom)
+    rows = feature_table(base(dom), ["sk_id_curr", "is_train", "target", *_FIT_FEATURES])
     fitted = woe.fit_woe(rows.filter("is_train = 1"), _FIT_FEATURES)
     return woe.apply_woe(rows, fitted).select("sk_id_curr", *[f"{f}_woe" for f in _FIT_FEATURES])
 
@@ -215,7 +217,7 @@ def woe_apply(dom: Domain) -> DataFrame:
         (SELECT [lo + (hi - lo) * k / 1e1 FOR k IN range(10)] || [hi] AS e FROM (SELECT min(credit_term) AS lo, max(credit_term) AS hi FROM base_app))
     ) GROUP BY bin""")
 def woe_equal_width(dom: Domain) -> DataFrame:
-    rows = base(dom)
+    rows = base(dom).select("target", "credit_term")
     return woe.bin_counts(rows, [woe.equal_width_bins(rows, "credit_term")]).select("bin", "events", "total")
 
 
@@ -229,6 +231,6 @@ def woe_flag_counts(dom: Domain) -> DataFrame:
        digits={"iv": 6})
 def woe_history_features(dom: Domain) -> DataFrame:
     """Rollup ratios have many equal values, so quantile edges repeat and bins merge."""
-    rows = with_history(dom).fillna(0, subset=["inst_late_ratio", "prev_refused_ratio"])
     features = ["inst_late_ratio", "prev_refused_ratio"]
+    rows = feature_table(with_history(dom).fillna(0, subset=features), ["target", *features])
     return woe.information_value(woe.woe_table(rows, woe.fit_bins(rows, features))).select("feature", "iv")
