@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendmill.functions.nullsafe import count_when, has, lookup, step
+from lendmill.functions.nullsafe import count_when, has, lookup
+from lendmill.functions.search import just_below, with_rank
 from lendmill.params import CREDIT_BANDS, ROI_PARAMS, RoiParams
 
 # The 93 thresholds 0.02 ... 0.94.
@@ -60,9 +61,10 @@ def sweep(df: DataFrame, thresholds: Sequence[float] = SWEEP, params: RoiParams
     give every threshold.
     """
     marks = sorted(thresholds)
-    band = F.coalesce(step(F.col("pred_prob"), marks, list(range(len(marks) + 1)), closed_right=False), F.lit(0))
+    banded = with_rank(df, "pred_prob", [[just_below(m) for m in marks]], "__band")
+    band = F.coalesce(F.col("__band"), F.lit(0))
     bad, good, amount = F.col("target") == 1, F.col("target") == 0, _amount(df)
-    bands = df.groupBy(band.alias("band")).agg(
+    bands = banded.groupBy(band.alias("band")).agg(
         F.count(F.lit(1)).alias("n"), count_when(bad).alias("bad"), count_when(good).alias("good"),
         _zero_sum(F.when(good, amount)).alias("a_good"), _zero_sum(F.when(bad, amount * _severity(df, params))).alias("l_bad"),
     )

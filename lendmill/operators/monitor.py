@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import count_when, flag, lookup, spread, step
+from lendmill.functions.search import with_rank
 from lendmill.operators.evaluate import roc
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.params import ALERTS, TIER_POLICIES, Alert
@@ -22,11 +23,11 @@ def drift_shares(df: DataFrame, features: Sequence[str], is_train: Column, n_bin
     """Train and test share per (feature, train-quantile bin); the outer bins are open."""
     grid = [k / n_bins for k in range(1, n_bins)]
     marks = exact_quantiles(df.filter(is_train), {f: grid for f in features})
-    pairs = []
-    for f in features:
-        edges = sorted({m for m in marks[f] if m is not None})
-        pairs.append(F.struct(F.lit(f).alias("feature"), step(F.col(f).cast("double"), edges, list(range(len(edges) + 1))).alias("bin")))
-    long = df.select(is_train.alias("__train"), F.inline(F.array(*pairs)).alias("feature", "bin")).filter(F.col("bin").isNotNull())
+    edges = [sorted({m for m in marks[f] if m is not None}) for f in features]
+    pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).cast("double").alias("x")) for i, f in enumerate(features)])
+    long = df.select(is_train.alias("__train"), F.inline(pairs)).filter(F.col("x").isNotNull())
+    names = F.get(F.array(*[F.lit(f) for f in features]), F.col("f"))
+    long = with_rank(long, "x", edges, "bin", "f").withColumn("feature", names)
     cells = long.groupBy("feature", "bin").agg(count_when(F.col("__train")).alias("n_train"), count_when(~F.col("__train")).alias("n_test"))
     totals = cells.groupBy("feature").agg(F.sum("n_train").alias("t_train"), F.sum("n_test").alias("t_test"))
 

@@ -13,10 +13,10 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendmill.functions.nullsafe import step
+from lendmill.functions.search import just_below, with_rank
 
 SKETCH_ACCURACY = 10_000
 DIRECT_LIMIT = 50_000
@@ -111,28 +111,19 @@ def _tighten(df: DataFrame, targets: list[_Target]) -> None:
         t.high = marks[high_mark] if high_mark < 200 else t.high
 
 
-@dataclass
-class _Slots:
-    """Merged brackets of one column: slot 2j is the gap before bracket j, 2j + 1 its inside."""
-
-    lows: list[float]
-    highs: list[float]
-
-    @classmethod
-    def of(cls, targets: list[_Target]) -> _Slots:
-        spans = sorted((-math.inf if t.low is None else t.low, math.inf if t.high is None else t.high) for t in targets)
-        lows, highs = [spans[0][0]], [spans[0][1]]
-        for low, high in spans[1:]:
-            if low <= highs[-1]:
-                highs[-1] = max(highs[-1], high)
-            else:
-                lows.append(low)
-                highs.append(high)
-        return cls(lows, highs)
+def _slot_edges(targets: list[_Target]) -> list[float]:
+    """Edges that number the merged brackets of one column.
 
-    def number(self, c: Column) -> Column:
-        ranks = list(range(len(self.lows) + 1))
-        return step(c, self.lows, ranks, closed_right=False) + step(c, self.highs, ranks)
+    With the rank over these edges, 2j is the gap before bracket j and 2j + 1 its inside.
+    """
+    spans = sorted((-math.inf if t.low is None else t.low, math.inf if t.high is None else t.high) for t in targets)
+    merged = [list(spans[0])]
+    for low, high in spans[1:]:
+        if low <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    return [edge for low, high in merged for edge in (just_below(low), high)]
 
 
 def _select(df: DataFrame, targets: list[_Target], sizes: dict[str, int]) -> list[float]:
@@ -142,17 +133,10 @@ def _select(df: DataFrame, targets: list[_Target], sizes: dict[str, int]) -> lis
     keep their identity, all values of a gap fold into one count.
     """
     names = sorted({t.column for t in targets})
-    entries = []
-    for i, name in enumerate(names):
-        c = F.col(name)
-        slot = _Slots.of([t for t in targets if t.column == name]).number(c)
-        entries.append(F.struct(F.lit(i).alias("c"), slot.alias("slot"), F.when(slot % 2 == 1, c).alias("v")))
-    counted = (
-        df.select(F.inline(F.array(*entries)))
-        .filter(F.col("slot").isNotNull())
-        .groupBy("c", "slot", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    edges = [_slot_edges([t for t in targets if t.column == name]) for name in names]
+    entries = F.array(*[F.struct(F.lit(i).alias("c"), F.col(name).alias("v")) for i, name in enumerate(names)])
+    long = with_rank(df.select(F.inline(entries)).filter(F.col("v").isNotNull()), "v", edges, "slot", "c")
+    counted = long.groupBy("c", "slot", F.when(F.col("slot") % 2 == 1, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("c").orderBy("slot", "v").rowsBetween(Window.unboundedPreceding, 0))
     ranked = counted.select("c", "v", (upto - F.col("n")).alias("start"), upto.alias("end"))
     wanted = F.lit(False)

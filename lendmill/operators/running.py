@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendmill.functions.nullsafe import step
+from lendmill.functions.search import with_rank
 from lendmill.session import materialize
 
 ROWS_PER_SLICE = 1_000_000
@@ -41,7 +41,7 @@ def running_totals(
     slices = min(-(-size // rows_per_slice), MAX_SLICES)
     marks = df.agg(F.percentile_approx(key, [k / slices for k in range(1, slices)], 10 * slices)).first()[0]
     edges = sorted(set(marks))
-    sliced = df.withColumn("__slice", step(F.col(key), edges, list(range(len(edges) + 1))))
+    sliced = with_rank(df, key, [edges], "__slice")
     slice_order = F.col("__slice").desc() if descending else F.col("__slice").asc()
     before = Window.partitionBy(*by).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
     sums = sliced.groupBy(*by, "__slice").agg(*[F.sum(c).alias(f"__t_{out}") for out, c in totals.items()])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendmill.functions.nullsafe import lookup, step
+from lendmill.functions.search import just_below, with_rank
 from lendmill.operators.quantiles import exact_quantiles
 
 FEW_VALUES = 10
@@ -22,20 +23,14 @@ DROPPED_FLAGS = ("Useless", "Suspicious")
 
 @dataclass(frozen=True)
 class FeatureBins:
-    """Either right-closed numeric edges or one bin per value."""
+    """Either right-closed numeric edges (the lowest edge included) or one bin per value."""
 
     feature: str
     edges: tuple[float, ...] | None = None
 
-    def column(self) -> Column:
-        """Bin label: the 1-based bin number, or the value as text. Outside the edges: null."""
-        c = F.col(self.feature)
-        if self.edges is None:
-            return c.cast("string")
-        c = c.cast("double")
-        labels = [str(i) for i in range(1, len(self.edges))]
-        inside = step(c, self.edges, [None, *labels, None])
-        return F.when(c == F.lit(self.edges[0]), F.lit("1")).otherwise(inside)
+    def ranks(self) -> list[float]:
+        """Edges for a strict search: rank k >= 1 is bin k, rank 0 and the last one are outside."""
+        return [just_below(self.edges[0]), *self.edges[1:]]
 
 
 def _has_few_values(df: DataFrame, features: Sequence[str]) -> set[str]:
@@ -49,7 +44,7 @@ def _has_few_values(df: DataFrame, features: Sequence[str]) -> set[str]:
     few = {f for f in features if f in text}
     if not numeric:
         return few
-    rough = df.agg(*[F.approx_count_distinct(f, 0.02).alias(f) for f in numeric]).first()
+    rough = df.agg(*[F.approx_count_distinct(f).alias(f) for f in numeric]).first()
     close = [f for f in numeric if rough[f] <= CLEARLY_MANY]
     if close:
         exact = df.agg(*[F.size(F.collect_set(f)).alias(f) for f in close]).first()  # <= CLEARLY_MANY values each
@@ -74,20 +69,37 @@ def equal_width_bins(df: DataFrame, feature: str, n_bins: int = 10) -> FeatureBi
 EVERY_ROW = "*"
 
 
-def _bin_rows(df: DataFrame, pairs: list[Column], target: str) -> DataFrame:
-    long = df.select(F.col(target).alias("y"), F.inline(F.array(*pairs)).alias("feature", "bin"))
-    return long.filter(F.col("bin").isNotNull() & F.col("y").isNotNull()).groupBy("feature", "bin").agg(
-        F.sum("y").cast("bigint").alias("events"), F.count(F.lit(1)).alias("total")
-    )
-
-
-def _pairs(bins: Sequence[FeatureBins]) -> list[Column]:
-    return [F.struct(F.lit(b.feature).alias("feature"), b.column().alias("bin")) for b in bins]
+def bin_counts(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target", with_total: bool = False) -> DataFrame:
+    """Events and rows per (feature, bin) for all features in one pass.
 
-
-def bin_counts(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target") -> DataFrame:
-    """Events and rows per (feature, bin) for all features in one pass; null values have no bin."""
-    return _bin_rows(df, _pairs(bins), target)
+    Bins are numbered from 1 or named by the value; null values and values outside the edges
+    have none. `with_total` adds one bin that holds every row.
+    """
+    entries, edges, names = [], [], []
+    for i, b in enumerate(bins):
+        names.append(b.feature)
+        numeric = b.edges is not None
+        edges.append(b.ranks() if numeric else [])
+        entries.append((i, F.col(b.feature).cast("double") if numeric else None, None if numeric else F.col(b.feature).cast("string")))
+    if with_total:
+        names.append(EVERY_ROW)
+        edges.append([])
+        entries.append((len(bins), None, F.lit(EVERY_ROW)))
+    pairs = F.array(*[
+        F.struct(
+            F.lit(i).alias("f"),
+            (F.lit(None).cast("double") if number is None else number).alias("x"),
+            (F.lit(None).cast("string") if text is None else text).alias("text"),
+        )
+        for i, number, text in entries
+    ])
+    long = df.select(F.col(target).alias("y"), F.inline(pairs)).filter(F.col("y").isNotNull())
+    ranked = with_rank(long, "x", edges, "k", "f")
+    last = F.get(F.array(*[F.lit(max(len(e) - 1, 0)) for e in edges]), F.col("f"))
+    known = F.col("text").isNotNull() | F.col("k").between(1, last)
+    grouped = ranked.filter(known).groupBy("f", "k", "text").agg(F.sum("y").cast("bigint").alias("events"), F.count(F.lit(1)).alias("total"))
+    feature = F.get(F.array(*[F.lit(n) for n in names]), F.col("f"))
+    return grouped.select(feature.alias("feature"), F.coalesce("text", F.col("k").cast("string")).alias("bin"), "events", "total")
 
 
 def woe_table(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target") -> DataFrame:
@@ -97,8 +109,7 @@ def woe_table(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target"
     one extra bin that holds all rows, so the table is read once. Without both outcomes the
     result is empty.
     """
-    everything = F.struct(F.lit(EVERY_ROW).alias("feature"), F.lit(EVERY_ROW).alias("bin"))
-    counts = _bin_rows(df, [everything, *_pairs(bins)], target).withColumn("nonevents", F.col("total") - F.col("events"))
+    counts = bin_counts(df, bins, target, with_total=True).withColumn("nonevents", F.col("total") - F.col("events"))
     whole = Window.partitionBy()  # bins x features rows
     is_all = F.col("feature") == EVERY_ROW
     counted = counts.withColumns({
