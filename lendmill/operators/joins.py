@@ -12,33 +12,38 @@ from lendmill.functions.nullsafe import spread
 from lendmill.session import broadcast_limit, plan_bytes
 
 HOT_SHARE = 0.005
+SALTS = 512
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner",
-                hot_share: float = HOT_SHARE, force_split: bool = False) -> DataFrame:
-    """Join a large table to a table that is unique on its key.
+def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that may hold more than `share` of the rows: at most 1/share of them.
 
-    A dimension under the session's broadcast threshold is left to Spark. Beyond it, the
-    frequent keys of the fact table (a bounded list from a one-pass sketch, at most 1/hot_share
-    entries) join against a broadcast of their few dimension rows, and all other rows take the
-    shuffled join, so no key can fill one task.
+    One pass over the key column; the sketch has false positives but misses no frequent key.
     """
-    spark = fact.sparkSession
-    condition = F.col(f"f.{fact_key}") == F.col(f"d.{dim_key}")
+    found = df.select(key).stat.freqItems([key], share).first()[0]
+    return [k for k in (found or []) if k is not None]
+
 
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.alias("f").join(right.alias("d"), condition, how)
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner",
+                hot_share: float = HOT_SHARE, salts: int = SALTS, force_salt: bool = False) -> DataFrame:
+    """Join a large table to a table that is unique on its key.
 
+    A dimension under the session's broadcast threshold is left to Spark. Beyond it, rows of
+    frequent keys (and of null keys, which match nothing) are dealt over `salts` copies of
+    their few dimension rows, so that no key can fill one task of the shuffled join. Both
+    tables are still read once.
+    """
     size = plan_bytes(dim)
-    if not force_split and size is not None and size <= broadcast_limit(spark):
-        return joined(fact, dim)
-    found = fact.select(fact_key).stat.freqItems([fact_key], hot_share).first()[0]
-    hot = [k for k in (found or []) if k is not None]
+    small = size is not None and size <= broadcast_limit(fact.sparkSession)
+    hot = [] if small and not force_salt else frequent_keys(fact, fact_key, hot_share)
     if not hot:
-        return joined(fact, dim)
-    is_hot = F.coalesce(F.col(fact_key).isin(hot), F.lit(how == "left"))  # null keys match nothing: keep them off the shuffle
-    few = F.broadcast(dim.filter(F.col(dim_key).isin(hot)))  # unique on the key: at most len(hot) rows
-    return joined(fact.filter(is_hot), few).unionByName(joined(fact.filter(~is_hot), dim))
+        return fact.join(dim, fact[fact_key] == dim[dim_key], how)
+    is_hot = F.col(fact_key).isNull() | F.col(fact_key).isin(hot)
+    salted = fact.withColumn("__salt", F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)))
+    copies = F.when(F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread_dim = dim.withColumn("__copy", F.explode(copies))  # at most 1/hot_share keys are copied
+    condition = (salted[fact_key] == spread_dim[dim_key]) & (salted["__salt"] == spread_dim["__copy"])
+    return salted.join(spread_dim, condition, how).drop("__salt", "__copy")
 
 
 def attach_rollups(parent: DataFrame, rollups: Sequence[DataFrame], key: str = "sk_id_curr") -> DataFrame:
