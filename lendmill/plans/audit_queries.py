@@ -254,9 +254,9 @@ def aud_schema_diff(dom: Domain) -> DataFrame:
 @query("aud_missing_drift", sql=f"""
     SELECT *, CASE WHEN abs(train_rate - test_rate) > 5e-2 THEN 1 ELSE 0 END AS drifted FROM (
       {' UNION ALL '.join(f"SELECT '{c}' AS column_name, avg(CASE WHEN is_train = 1 THEN CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END END) AS train_rate, avg(CASE WHEN is_train = 0 THEN CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END END) AS test_rate FROM application" for c in APP_GAPS)})
-    ORDER BY train_rate DESC, column_name LIMIT 5""", digits={"train_rate": 6, "test_rate": 6})
+    ORDER BY train_rate DESC, column_name LIMIT 10""", digits={"train_rate": 6, "test_rate": 6})
 def aud_missing_drift(dom: Domain) -> DataFrame:
-    return audit.missing_drift(dom.application, F.col("is_train") == 1, APP_GAPS, top=5)
+    return audit.missing_drift(dom.application, F.col("is_train") == 1, APP_GAPS)
 
 
 @query("aud_before_after", sql="""

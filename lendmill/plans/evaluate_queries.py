@@ -155,10 +155,10 @@ def xai_contrib(dom: Domain) -> DataFrame:
 _LONG = " UNION ALL ".join(f"SELECT sk_id_curr, risk_tier, pred_prob, '{f}' AS feature, {f}_contrib AS contribution FROM ({_CONTRIB})" for f in BETAS)
 
 
-@query("xai_global_rank", sql=f"""SELECT feature, avg(abs(contribution)) AS mean_abs FROM ({_LONG}) GROUP BY feature ORDER BY mean_abs DESC, feature LIMIT 5""",
+@query("xai_global_rank", sql=f"""SELECT feature, avg(abs(contribution)) AS mean_abs FROM ({_LONG}) GROUP BY feature ORDER BY mean_abs DESC, feature LIMIT 20""",
        digits={"mean_abs": 7})
 def xai_global_rank(dom: Domain) -> DataFrame:
-    return explain.global_rank(_contrib(dom), list(BETAS), top=5)
+    return explain.global_rank(_contrib(dom), list(BETAS))
 
 
 @query("xai_waterfall", sql=f"""

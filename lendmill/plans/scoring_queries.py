@@ -112,9 +112,9 @@ def sco_stream(dom: Domain) -> DataFrame:
 def sco_stream_windows(dom: Domain) -> DataFrame:
     """High-risk rate per 30-day window, counted over a stream of application files."""
     source = shared_path(dom.spark, "dated")
-    rows = dom.application.select(F.col("application_date").cast("timestamp").alias("application_date"), "pred_prob")
+    rows = dom.application.select("application_date", "pred_prob")
     rows.repartition(8).write.parquet(source)
     stream = scorer.read_applications(dom.spark, source, rows.schema, files_per_trigger=4)
     name = "windows_" + uuid.uuid4().hex
     scorer.start_window_table(scorer.high_risk_windows(stream), name).awaitTermination()
-    return dom.spark.table(name).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return dom.spark.table(name)

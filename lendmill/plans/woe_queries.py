@@ -67,9 +67,9 @@ def sel_high_corr(dom: Domain) -> DataFrame:
 
 @query("sel_target_corr", sql="SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, abs(corr({c}, target)) AS abs_corr FROM base_app WHERE is_train = 1" for c in NUMERIC)
-    + ") ORDER BY abs_corr DESC, feature LIMIT 10", digits={"abs_corr": 8})
+    + ") ORDER BY abs_corr DESC, feature LIMIT 20", digits={"abs_corr": 8})
 def sel_target_corr(dom: Domain) -> DataFrame:
-    return encode.target_correlation(base(dom).filter("is_train = 1"), NUMERIC, top=10)
+    return encode.target_correlation(base(dom).filter("is_train = 1"), NUMERIC)
 
 
 STATS = ["amt_credit", "amt_income_total", "ext_source_1", "ext_source_2", "credit_income_ratio", "credit_term", "years_employed"]
@@ -145,14 +145,14 @@ def woe_iv(dom: Domain) -> DataFrame:
 
 
 # a target that does depend on features, so that every grade can occur
-_GRADED = """(SELECT * REPLACE (CASE WHEN ext_source_2 + (CASE WHEN code_gender = 'M' THEN 15e-2 ELSE 0e0 END) + ext_source_3 * 3e-1 > 8e-1 THEN 0 ELSE 1 END AS target)
-  FROM base_app WHERE ext_source_3 IS NOT NULL)"""
+_GRADED = """(SELECT * REPLACE (CASE WHEN ext_source_2 + (CASE WHEN code_gender = 'M' THEN 15e-2 ELSE 0e0 END) + coalesce(ext_source_3, 5e-1) * 3e-1 > 8e-1
+  THEN 0 ELSE 1 END AS target) FROM base_app)"""
 
 
 def _graded(dom: Domain) -> DataFrame:
     gender = F.when(F.col("code_gender") == "M", 0.15).otherwise(0.0)
-    rows = base(dom).filter(F.col("ext_source_3").isNotNull())
-    graded = rows.withColumn("target", F.when(F.col("ext_source_2") + gender + F.col("ext_source_3") * 0.3 > 0.8, 0).otherwise(1))
+    score = F.col("ext_source_2") + gender + F.coalesce(F.col("ext_source_3"), F.lit(0.5)) * 0.3
+    graded = base(dom).withColumn("target", F.when(score > 0.8, 0).otherwise(1))
     return feature_table(graded, ["target", *ALL_FEATURES])
 
 
