@@ -29,6 +29,9 @@ def _literal(v: float) -> str:
 def with_rank(df: DataFrame, value: str, edges: Sequence[Sequence[float]], out: str, which: str | None = None) -> DataFrame:
     """Add `out`: how many edges lie strictly below `value`; null stays null.
 
+    Do not filter on `out` directly: Catalyst would push the filter through the steps and repeat
+    them. Check the value's range first, or aggregate by `out` and use the result.
+
     `edges` holds sorted lists; the integer column `which` names the list of each row (the first
     one without it).
     """

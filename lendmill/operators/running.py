@@ -41,7 +41,8 @@ def running_totals(
     slices = min(-(-size // rows_per_slice), MAX_SLICES)
     marks = df.agg(F.percentile_approx(key, [k / slices for k in range(1, slices)], 10 * slices)).first()[0]
     edges = sorted(set(marks))
-    sliced = with_rank(df, key, [edges], "__slice")
+    # never null, so that joining on the slice infers no filter that would repeat the search
+    sliced = with_rank(df, key, [edges], "__slice").withColumn("__slice", F.coalesce("__slice", F.lit(0)))
     slice_order = F.col("__slice").desc() if descending else F.col("__slice").asc()
     before = Window.partitionBy(*by).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
     sums = sliced.groupBy(*by, "__slice").agg(*[F.sum(c).alias(f"__t_{out}") for out, c in totals.items()])

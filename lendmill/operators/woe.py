@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendmill.functions.nullsafe import lookup, step
-from lendmill.functions.search import just_below, with_rank
+from lendmill.functions.search import double_array, just_below, with_rank
 from lendmill.operators.quantiles import exact_quantiles
 
 FEW_VALUES = 10
@@ -94,10 +94,13 @@ def bin_counts(df: DataFrame, bins: Sequence[FeatureBins], target: str = "target
         for i, number, text in entries
     ])
     long = df.select(F.col(target).alias("y"), F.inline(pairs)).filter(F.col("y").isNotNull())
-    ranked = with_rank(long, "x", edges, "k", "f")
-    last = F.get(F.array(*[F.lit(max(len(e) - 1, 0)) for e in edges]), F.col("f"))
-    known = F.col("text").isNotNull() | F.col("k").between(1, last)
-    grouped = ranked.filter(known).groupBy("f", "k", "text").agg(F.sum("y").cast("bigint").alias("events"), F.count(F.lit(1)).alias("total"))
+    # the range check comes before the search: a filter on its result would be pushed back
+    # through the search steps and repeat them
+    low = F.get(double_array([e[0] if e else 0.0 for e in edges]), F.col("f"))
+    high = F.get(double_array([e[-1] if e else 0.0 for e in edges]), F.col("f"))
+    known = F.col("text").isNotNull() | ((F.col("x") > low) & (F.col("x") <= high))
+    ranked = with_rank(long.filter(known), "x", edges, "k", "f")
+    grouped = ranked.groupBy("f", "k", "text").agg(F.sum("y").cast("bigint").alias("events"), F.count(F.lit(1)).alias("total"))
     feature = F.get(F.array(*[F.lit(n) for n in names]), F.col("f"))
     return grouped.select(feature.alias("feature"), F.coalesce("text", F.col("k").cast("string")).alias("bin"), "events", "total")
 
