@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lendmill.llm import arrays, runtime
+from lendmill.llm import runtime
 
 
 @dataclass(frozen=True)
@@ -409,5 +409,3 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     return docs.mapInArrow(cleaned, schema)
 
-
-__all__ = ["BASE_RULES", "RULES", "Rule", "arrays", "redact", "scan_digest", "scan_documents", "scanner", "text_spans"]
