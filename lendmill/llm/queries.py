@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import difference_cover, packing, positional_index, secret_automaton, token_stream
+from lendmill.llm import chosen_path, difference_cover, packing, positional_index, secret_automaton, token_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query("op4_chosen_path_join")
+def similar(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op5_positional_index")
 def contaminated(spark: SparkSession, folder: str) -> DataFrame:
     return positional_index.digest(positional_index.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
