@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chosen_path, difference_cover, packing, positional_index, secret_automaton, token_stream
+from lendmill.llm import chosen_path, difference_cover, hnsw, packing, positional_index, secret_automaton, token_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def contaminated(spark: SparkSession, folder: str) -> DataFrame:
     return positional_index.digest(positional_index.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 
 
+@query("op8_navigable_graphs")
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op9_difference_cover")
 def repeats(spark: SparkSession, folder: str) -> DataFrame:
     return difference_cover.remove_repeats(table(spark, folder, "documents")).drop("kept_text")
