@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chosen_path, difference_cover, hnsw, packing, positional_index, secret_automaton, token_stream
+from lendmill.llm import chosen_path, difference_cover, hnsw, language, license_digest, packing, positional_index, secret_automaton, site_quality, token_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,11 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query("op3_sparse_language")
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query("op4_chosen_path_join")
 def similar(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, folder, "documents"))
@@ -46,6 +51,16 @@ def contaminated(spark: SparkSession, folder: str) -> DataFrame:
     return positional_index.digest(positional_index.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 
 
+@query("op6_license_digest", license_digest.check_sql())
+def licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_digest.scan(table(spark, folder, "documents"))
+
+
+@query("op7_site_quality")
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    return site_quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op8_navigable_graphs")
 def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return hnsw.near_vectors(table(spark, folder, "embeddings"))
