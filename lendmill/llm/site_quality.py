@@ -1,10 +1,12 @@
 """Quality classifier: document evidence combined with host and path posteriors.
 
-Evidence of a document is the sum of log-likelihood ratios of its tokens for two faults, low
-quality and toxic, learnt from a bounded sample of labelled documents. Tokens are the words of the
+Evidence of a document is the sum of its tokens' weights for two faults, low quality and toxic,
+learnt from a bounded sample of labelled documents. Tokens are the words of the
 whole text (present or not) and binned shape measures (share of capitals, marks, repeated words
-and so on); ratios are shrunk toward the prior, and only tokens whose association is beyond chance
-count. The sums are calibrated by a one-dimensional logistic fit on sample documents left out.
+and so on). Tokens whose association with a fault is beyond chance are candidates; a logistic
+regression with an L1 penalty (follow-the-regularised-leader) weighs them together, so that words
+which only accompany a telling word in copies of one text get no weight. The sums are calibrated
+by a one-dimensional logistic fit on sample documents left out.
 
 Every document's probability of a fault then enters grouped sums per host and per path. A host's
 rate is shrunk toward the global rate, a path's toward its host's, with strengths estimated from
@@ -27,9 +29,10 @@ from lendmill.session import materialize
 
 SAMPLE_LABELS = 20_000
 MODEL_TOKENS = 20_000
-LEAST_DOCS = 8
-LEAST_GAIN = 24.0
-SHRINK = 2.0
+LEAST_DOCS = 5
+LEAST_GAIN = 16.0
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 0.5
 NULL_ID = -(1 << 63)
 SHAPES = 10
 # Measures are put into bins of equal width on a logarithmic scale.
@@ -38,7 +41,7 @@ BINS = 24
 
 @dataclass(frozen=True)
 class Evidence:
-    """Tokens in ascending order with their two log ratios; slope and offset of each fault's calibration."""
+    """Tokens in ascending order with their two weights; slope and offset of each fault's calibration."""
 
     tokens: np.ndarray = field(repr=False)
     ratios: np.ndarray = field(repr=False)
@@ -122,6 +125,39 @@ def _scored(evidence: Evidence):
     return run
 
 
+def _fitted(known: np.ndarray):
+    """The sample in one task (its size is bounded by a parameter) to the weights of both faults."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        texts = arrays.text_array(rows["text"])
+        examples = []
+        for _, tokens, bounds in _tokens(texts):
+            place = np.minimum(np.searchsorted(known, tokens), len(known) - 1) if len(known) else np.zeros(len(tokens), int)
+            hit = known[place] == tokens if len(known) else np.zeros(len(tokens), bool)
+            examples += [np.append(place[a:b][hit[a:b]], len(known)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        order = np.random.default_rng(0).permutation(len(examples))
+        out = np.zeros((len(known) + 1, 2))
+        for k, fault in enumerate(("junk", "bad")):
+            y = rows[fault].to_numpy()
+            z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
+
+            def weights(at):
+                return -np.sign(z[at]) * np.maximum(np.abs(z[at]) - L1, 0) / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
+
+            for _ in range(EPOCHS):
+                for i in order:
+                    at = examples[i]
+                    w = weights(at)
+                    g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y[i]
+                    before = np.sqrt(n[at])
+                    n[at] += g * g
+                    z[at] += g - (np.sqrt(n[at]) - before) / ALPHA * w
+            out[:, k] = weights(slice(None))
+        return pa.table({"weights": pa.array([out[:-1].tobytes()], pa.binary())})
+
+    return run
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset by Newton steps with a weak penalty toward (1, 0)."""
     a, b = 1.0, 0.0
@@ -157,15 +193,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMPLE_LABELS
     kept = counts.select("token", "n", "junk", "toxic", gains[0].alias("junk_gain"), gains[1].alias("toxic_gain"), best.alias("gain")).filter(F.col("gain") >= LEAST_GAIN)
     found = kept.orderBy(F.desc("gain"), "token").limit(MODEL_TOKENS).collect()
     found = sorted(found, key=lambda r: r["token"] % (1 << 64))
-    ratios = np.array([[_ratio(r["n"], r[c], base["n"], base[c]) if r[f"{c}_gain"] >= LEAST_GAIN else 0.0 for c in ("junk", "toxic")] for r in found]).reshape(-1, 2)
-    evidence = Evidence(np.array([r["token"] % (1 << 64) for r in found], np.uint64), ratios)
+    tokens = np.array([r["token"] % (1 << 64) for r in found], np.uint64)
+    weights = fit.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fitted(tokens), "weights binary").first()
+    evidence = Evidence(tokens, np.frombuffer(weights["weights"], np.float64).reshape(-1, 2)) if weights else Evidence(tokens, np.zeros((len(tokens), 2)))
     left = rows.filter("fold = 0").select("text", "junk", "bad").mapInArrow(_scored(evidence), "junk int, bad int, junk_sum double, toxic_sum double").collect()
     fits = []
-    for fault, score, kind in (("junk", "junk_sum", "junk"), ("bad", "toxic_sum", "toxic")):
-        prior = np.log((base[kind] + 0.5) / (base["n"] - base[kind] + 0.5))
-        x, y = np.array([r[score] + prior for r in left]), np.array([r[fault] for r in left], float)
-        a, b = _logistic(x, y) if len(x) else (1.0, 0.0)
-        fits.append((a, b + a * prior))
+    for fault, score in (("junk", "junk_sum"), ("bad", "toxic_sum")):
+        x, y = np.array([r[score] for r in left]), np.array([r[fault] for r in left], float)
+        fits.append(_logistic(x, y) if len(x) else (1.0, 0.0))
     return Evidence(evidence.tokens, evidence.ratios, (fits[0][0], fits[1][0]), (fits[0][1], fits[1][1]))
 
 
@@ -180,11 +215,6 @@ def _gain(n: Column, hit: Column, total: int, faults: int) -> Column:
     return 2 * (part(hit, n * rate) + part(n - hit, n * (1 - rate)))
 
 
-def _ratio(n: int, hit: int, total: int, faults: int) -> float:
-    rate = (faults + 0.5) / (total + 1.0)
-    return float(np.log((hit + SHRINK * rate) / (n - hit + SHRINK * (1 - rate))) - np.log(rate / (1 - rate)))
-
-
 def _shrunk(sums: Column, n: Column, parent: Column, strength: float) -> Column:
     return (sums + F.lit(strength) * parent) / (n + F.lit(strength))
 
