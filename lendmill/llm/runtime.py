@@ -7,6 +7,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendmill.session import materialize
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # Slots of the presence filter: at most this many numbers reach the driver and are broadcast.
@@ -33,3 +35,24 @@ def only_slots_of(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -
     """
     slots = wanted.select(slot(F.col(wanted_key)).alias("_slot")).distinct()
     return df.join(F.broadcast(slots), slot(df[key]) == slots["_slot"], "left_semi")
+
+
+def split_by_slots(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among the wanted keys, all other rows); null keys count as a key."""
+    slots = F.broadcast(wanted.select(slot(F.col(wanted_key)).alias("_slot")).distinct())
+    met = slot(df[key]) == slots["_slot"]
+    return df.join(slots, met, "left_semi"), df.join(slots, met, "left_anti")
+
+
+def without(df: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """`df` without the rows whose key is in the one-column table `dropped`; only touched rows are shuffled."""
+    dropped = materialize(dropped.toDF("_dropped").distinct(), "dropped")
+    touched, rest = split_by_slots(df, key, dropped, "_dropped")
+    return touched.join(dropped, touched[key].eqNullSafe(dropped["_dropped"]), "left_anti").unionByName(rest)
+
+
+def once(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """`df` with one row for each set of rows that agree in `columns`; only repeated keys are shuffled."""
+    again = materialize(df.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again"), "again")
+    touched, rest = split_by_slots(df, key, again, "_again")
+    return touched.dropDuplicates(columns).unionByName(rest)
