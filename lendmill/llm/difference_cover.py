@@ -71,8 +71,10 @@ def _anchors(window: int, period: int, cover: tuple[int, ...]):
             again = np.zeros(len(key), bool)
             again[:-1] = ~head[1:]
             again |= ~head
-            # rows known to repeat need no partner: they travel under a key of their own
-            key = np.where(head, key, arrays.mix(key + np.arange(len(key), dtype=np.uint64)))
+            # rows known to repeat need no partner: they travel under a key of their document, which compresses
+            key = np.where(head, key, arrays.mix(owner.view(np.uint64)))
+            order = np.lexsort((place, owner))
+            key, owner, place, again = key[order], owner[order], place[order], again[order]
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(owner), pa.array(place, pa.int32()), pa.array(again)], ["key", "id", "place", "known"])
 
     return run
@@ -119,9 +121,13 @@ def _windows(window: int, period: int):
             changed = np.ones(len(order), bool)
             changed[1:] = (h2[1:] != h2[:-1]) | (g2[1:] != g2[:-1])
             _, known = _later(order, changed, owner, place)
-            h2 = np.where(known, arrays.mix(h2 + np.arange(len(h2), dtype=np.uint64)), h2)
+            owner, place = owner[order], place[order]
+            # known repeats need no partner: they travel under a key of their document, which compresses
+            h2, g2 = np.where(known, arrays.mix(owner.view(np.uint64)), h2), np.where(known, np.uint64(0), g2)
+            order = np.lexsort((place, owner, known))
+            h2, g2, owner, place, known = h2[order], g2[order], owner[order], place[order], known[order]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h2.view(np.int64)), pa.array(g2.view(np.int64)), pa.array(owner[order]), pa.array(place[order], pa.int32()), pa.array(known)],
+                [pa.array(h2.view(np.int64)), pa.array(g2.view(np.int64)), pa.array(owner), pa.array(place, pa.int32()), pa.array(known)],
                 ["h", "g", "id", "place", "known"],
             )
 
