@@ -18,18 +18,18 @@ def score_counts(df: DataFrame, score: str = "pred_prob", label: str = "target",
     )
 
 
-def roc(df: DataFrame, score: str = "pred_prob", label: str = "target", by: Sequence[str] = (), **slicing: int) -> DataFrame:
+def roc(df: DataFrame, score: str = "pred_prob", label: str = "target", by: Sequence[str] = ()) -> DataFrame:
     """One ROC point per distinct score, highest first: counts, rates and the point's Youden J.
 
     `j_exact` is J times (positives x negatives), an integer, so that equal points tie exactly.
     """
     counts = score_counts(df, score, label, by)
-    points = running_totals(counts, "score", {"tp": "pos", "fp": "neg"}, by=by, descending=True, **slicing)
+    points = running_totals(counts, "score", {"tp": "pos", "fp": "neg"}, by=by, descending=True)
     if by:
-        totals = counts.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+        totals = points.groupBy(*by).agg(F.max("tp").alias("n_pos"), F.max("fp").alias("n_neg"))
         points = points.join(F.broadcast(totals), list(by))  # one row per group; the groups are few
     else:
-        one = counts.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+        one = points.agg(F.max("tp").alias("n_pos"), F.max("fp").alias("n_neg"))
         points = points.withColumns({"n_pos": one.select("n_pos").scalar(), "n_neg": one.select("n_neg").scalar()})
     return points.withColumns({
         "tpr": F.try_divide(F.col("tp"), F.col("n_pos")),
@@ -100,9 +100,9 @@ def class_metrics(confused: DataFrame) -> DataFrame:
     return confused.select(*[c.cast("double").alias(n) for n, c in _rates(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")).items()])
 
 
-def fold_metrics(df: DataFrame, fold: str = "fold", score: str = "pred_prob", label: str = "target", **slicing: int) -> DataFrame:
+def fold_metrics(df: DataFrame, fold: str = "fold", score: str = "pred_prob", label: str = "target") -> DataFrame:
     """AUC and the class metrics at each fold's own best threshold."""
-    points = roc(df, score, label, by=[fold], **slicing)
+    points = roc(df, score, label, by=[fold])
     best = _best_point()
     per_fold = points.groupBy(fold).agg(
         _auc().alias("auc"), best.alias("b"), F.first("n_pos").alias("p"), F.first("n_neg").alias("n")

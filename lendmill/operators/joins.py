@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins of tables that are unique on their key, and checks around them."""
 
 from __future__ import annotations
 
@@ -9,41 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import spread
-from lendmill.session import broadcast_limit, plan_bytes
 
-HOT_SHARE = 0.005
-SALTS = 512
 
-
-def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that may hold more than `share` of the rows: at most 1/share of them.
-
-    One pass over the key column; the sketch has false positives but misses no frequent key.
-    """
-    found = df.select(key).stat.freqItems([key], share).first()[0]
-    return [k for k in (found or []) if k is not None]
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner",
-                hot_share: float = HOT_SHARE, salts: int = SALTS, force_salt: bool = False) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "inner") -> DataFrame:
     """Join a large table to a table that is unique on its key.
 
-    A dimension under the session's broadcast threshold is left to Spark. Beyond it, rows of
-    frequent keys (and of null keys, which match nothing) are dealt over `salts` copies of
-    their few dimension rows, so that no key can fill one task of the shuffled join. Both
-    tables are still read once.
+    One plan at every size: Spark broadcasts a dimension under the session's threshold, and
+    adaptive execution splits the partition of a key that holds a large share of the rows.
     """
-    size = plan_bytes(dim)
-    small = size is not None and size <= broadcast_limit(fact.sparkSession)
-    hot = [] if small and not force_salt else frequent_keys(fact, fact_key, hot_share)
-    if not hot:
-        return fact.join(dim, fact[fact_key] == dim[dim_key], how)
-    is_hot = F.col(fact_key).isNull() | F.col(fact_key).isin(hot)
-    salted = fact.withColumn("__salt", F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)))
-    copies = F.when(F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread_dim = dim.withColumn("__copy", F.explode(copies))  # at most 1/hot_share keys are copied
-    condition = (salted[fact_key] == spread_dim[dim_key]) & (salted["__salt"] == spread_dim["__copy"])
-    return salted.join(spread_dim, condition, how).drop("__salt", "__copy")
+    return fact.join(dim, fact[fact_key] == dim[dim_key], how)
 
 
 def attach_rollups(parent: DataFrame, rollups: Sequence[DataFrame], key: str = "sk_id_curr") -> DataFrame:

@@ -60,8 +60,8 @@ def calibration_error(table: DataFrame) -> DataFrame:
     return table.agg((F.sum(gap * F.col("n_rows")) / F.sum("n_rows")).alias("ece"))
 
 
-def precision_recall(df: DataFrame, score: str = "pred_prob", label: str = "target", **slicing: int) -> DataFrame:
-    points = roc(df, score, label, **slicing)
+def precision_recall(df: DataFrame, score: str = "pred_prob", label: str = "target") -> DataFrame:
+    points = roc(df, score, label)
     return points.select(
         "score", "pos", "tp", "fp",
         F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),

@@ -1,8 +1,8 @@
 """Running totals and ranks over a globally ordered key.
 
-A window without a partition key moves the whole table into one task. Here the key range is
-sliced at sketch quantiles; each slice gets its own window, and a table of slice totals (one
-row per slice) supplies the offsets.
+A window without a partition key moves the whole table into one task. Here the rows are range
+partitioned by the key, each range gets its own window, and a table of range totals (one row per
+range) supplies the offsets.
 """
 
 from __future__ import annotations
@@ -12,39 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendmill.functions.search import with_rank
 from lendmill.session import materialize
 
-ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 4_000
 
-
-def running_totals(
-    df: DataFrame,
-    key: str,
-    totals: dict[str, str],
-    by: Sequence[str] = (),
-    descending: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def running_totals(df: DataFrame, key: str, totals: dict[str, str], by: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """Add {output: running sum of column} ordered by `key`, per group of the `by` columns.
 
-    `key` must not be null and be unique within a group. The groups should be few.
+    `key` must not be null and be unique within a group. The groups should be few. The number of
+    ranges is the session's number of shuffle partitions, so it follows the size of the job.
     """
     order = F.col(key).desc() if descending else F.col(key).asc()
-    size = df.count()
-    if size <= rows_per_slice:
-        whole = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(whole).alias(out) for out, c in totals.items()])
-
-    df = materialize(df, "running")
-    slices = min(-(-size // rows_per_slice), MAX_SLICES)
-    marks = df.agg(F.percentile_approx(key, [k / slices for k in range(1, slices)], 10 * slices)).first()[0]
-    edges = sorted(set(marks))
-    # never null, so that joining on the slice infers no filter that would repeat the search
-    sliced = with_rank(df, key, [edges], "__slice").withColumn("__slice", F.coalesce("__slice", F.lit(0)))
-    slice_order = F.col("__slice").desc() if descending else F.col("__slice").asc()
-    before = Window.partitionBy(*by).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
+    # written once: the ranges must be the same for the totals and for the rows
+    sliced = materialize(df.repartitionByRange(order).withColumn("__slice", F.spark_partition_id()), "running")
+    before = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sliced.groupBy(*by, "__slice").agg(*[F.sum(c).alias(f"__t_{out}") for out, c in totals.items()])
     offsets = sums.select(*by, "__slice", *[F.coalesce(F.sum(f"__t_{out}").over(before), F.lit(0)).alias(f"__o_{out}") for out in totals])
     within = Window.partitionBy(*by, "__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

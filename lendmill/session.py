@@ -68,21 +68,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of `df` in bytes, None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's automatic broadcast threshold in bytes (-1 when switched off)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    units = (("gb", 1 << 30), ("mb", 1 << 20), ("kb", 1 << 10), ("g", 1 << 30), ("m", 1 << 20), ("k", 1 << 10), ("b", 1))
-    for suffix, factor in units:
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * factor)
-    return int(raw)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lendmill.functions import nullsafe as ns
@@ -68,7 +69,7 @@ def test_just_below():
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.65, 0.99, 0.999, 1.0]
 
 
-@pytest.mark.parametrize("limits", [{}, {"direct_limit": 0}, {"direct_limit": 0, "bracket_limit": 0}])
+@pytest.mark.parametrize("limits", [{}, {"bracket_rows": 100}])
 def test_exact_quantiles(spark, limits):
     rng = np.random.default_rng(7)
     n = 30_000
@@ -84,19 +85,46 @@ def test_exact_quantiles(spark, limits):
     assert got["empty"] == [None] * len(PROBABILITIES)
 
 
-def test_quantile_survives_a_wrong_bracket(spark):
+def test_a_wrong_bracket_is_noticed_and_opened(spark, monkeypatch):
     df = spark.createDataFrame([(float(i),) for i in range(1000)], "x double")
-    wrong = quantiles._Target("x", 500.25, low=900.0, high=950.0)
-    assert quantiles._select(df, [wrong], {"x": 1000}) == [500.25]
+    wrong = quantiles._Target("x", 500.25, 1000, low=900.0, high=950.0)
+    assert quantiles._select(df, [wrong]) == [None]
+    seen = []
+    real = quantiles._select
+
+    def once_wrong(frame, targets):
+        seen.append([(t.low, t.high) for t in targets])
+        return [None] * len(targets) if len(seen) == 1 else real(frame, targets)
+
+    monkeypatch.setattr(quantiles, "_select", once_wrong)
+    assert quantiles.exact_quantiles(df, {"x": [0.25]}) == {"x": [249.75]}
+    assert seen[1] == [(None, None)]
+
+
+def test_quantiles_do_not_depend_on_size_limits_or_partitions(spark):
+    """Bit for bit, and every value of a table survives its repetition."""
+    df = spark.range(3001).select((F.col("id") * 7919 % 3001 / 7.0 + 0.1).alias("x"))
+    base = quantiles.exact_quantiles(df, {"x": PROBABILITIES})
+    assert quantiles.exact_quantiles(df.repartition(13), {"x": PROBABILITIES}, bracket_rows=20) == base
+    many = df.crossJoin(spark.range(20).select(F.col("id").alias("copy"))).select("x")
+    grid = [0.0, 0.25, 0.5, 0.75, 1.0]  # ranks that fall on a value: 3000 steps
+    assert quantiles.exact_quantiles(many, {"x": [0.5]}) == quantiles.exact_quantiles(df, {"x": [0.5]})
+    assert quantiles.exact_quantiles(many, {"x": grid}, bracket_rows=500) == quantiles.exact_quantiles(many, {"x": grid})
 
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("by", [(), ("g",)])
-def test_sliced_running_totals(spark, descending, by):
+def test_running_totals_over_ranges(spark, descending, by):
     df = spark.range(1000).select((F.col("id") * 7 % 1000 / 1000.0).alias("k"), (F.col("id") % 3).alias("g"), (F.col("id") % 11).alias("v"))
-    plain = running.running_totals(df, "k", {"t": "v"}, by=by, descending=descending)
-    sliced = running.running_totals(df, "k", {"t": "v"}, by=by, descending=descending, rows_per_slice=90)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, sliced.select(*plain.columns).collect()))
+    order = F.col("k").desc() if descending else F.col("k").asc()
+    whole = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.withColumn("t", F.sum("v").over(whole))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several ranges even here
+    try:
+        ranged = running.running_totals(df, "k", {"t": "v"}, by=by, descending=descending)
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, ranged.select(*plain.columns).collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_rank_within_is_a_row_number(spark):
@@ -109,28 +137,15 @@ def test_rank_within_is_a_row_number(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_lookup_join_with_a_hot_and_a_null_key(spark, how):
     """A third of the rows share one key, some keys are null, some have no match."""
-    fact = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 400).cast("bigint").alias("k")
-    )
+    rows = [(i, 7 if i % 3 == 0 else None if i % 50 == 1 else i % 400) for i in range(3000)]
+    fact = spark.createDataFrame(rows, "id long, k long")
     dim = spark.range(300).select(F.col("id").alias("d"), (F.col("id") * 2).alias("value"))
-    plain = fact.join(dim, F.col("k") == F.col("d"), how)
-    salted = joins.lookup_join(fact, dim, "k", "d", how, salts=16, force_salt=True)
-    key = lambda r: tuple((v is None, v or 0) for v in r)
-    assert 7 in joins.frequent_keys(fact, "k")
-    assert sorted(map(tuple, plain.collect()), key=key) == sorted(map(tuple, salted.select(*plain.columns).collect()), key=key)
-
-
-def test_hot_key_is_spread(spark):
-    fact = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("bigint").alias("k"))
-    dim = spark.range(9000).select(F.col("id").alias("d"))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = joins.lookup_join(fact, dim, "k", "d", salts=64, force_salt=True)
-        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        got = {r["id"]: r["value"] for r in joins.lookup_join(fact, dim, "k", "d", how).collect()}
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 9000 and max(sizes) < 9000 / 4
+    want = {i: None if k is None or k >= 300 else 2 * k for i, k in rows}
+    assert got == (want if how == "left" else {i: v for i, v in want.items() if v is not None})

@@ -212,10 +212,11 @@ def test_auc_by_hand_and_monotone(spark):
     assert evaluate.auc(evaluate.roc(moved)).first()[0] == pytest.approx(0.75)
 
 
-def test_auc_ties_and_slices(spark):
+def test_auc_with_ties(spark):
     df = spark.range(4000).select((F.col("id") % 500 / 500.0).alias("pred_prob"), ((F.col("id") * 7919) % 5 == 0).cast("int").alias("target"))
-    whole = evaluate.auc(evaluate.roc(df)).first()[0]
-    assert evaluate.auc(evaluate.roc(df, rows_per_slice=40)).first()[0] == pytest.approx(whole, abs=1e-12)
+    pairs = df.groupBy("pred_prob").agg(F.sum("target").alias("p"), F.sum(1 - F.col("target")).alias("n")).toPandas()
+    higher = sum(a.p * b.n * (1.0 if a.pred_prob > b.pred_prob else 0.5 if a.pred_prob == b.pred_prob else 0.0) for a in pairs.itertuples() for b in pairs.itertuples())
+    assert evaluate.auc(evaluate.roc(df)).first()[0] == pytest.approx(higher / (pairs.p.sum() * pairs.n.sum()), abs=1e-12)
 
 
 def test_single_class_has_no_auc(spark):
