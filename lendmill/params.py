@@ -202,11 +202,11 @@ class SegmentFilter:
 
 @dataclass(frozen=True)
 class SearchSpace:
-    """Random-search ranges for the boosted-tree model."""
+    """Random-search ranges for the boosted-tree model (fixed values)."""
 
-    trees: tuple[int, int] = (10, 40)
-    depth: tuple[int, int] = (3, 6)
-    step: tuple[float, float] = (0.05, 0.15)
+    trees: tuple[int, int] = (200, 2000)
+    depth: tuple[int, int] = (3, 10)
+    step: tuple[float, float] = (0.005, 0.15)
     subsample: tuple[float, float] = (0.50, 1.00)
     min_rows: tuple[int, int] = (10, 200)
     min_gain: tuple[float, float] = (0.0, 1.0)

@@ -88,7 +88,7 @@ VIEWS = {
         SELECT *, CASE stage WHEN 1 THEN pd_12m_macro WHEN 2 THEN pd_lifetime_macro ELSE 1e0 END * lgd * ead AS ecl,
           CASE stage WHEN 1 THEN pd_12m_macro WHEN 2 THEN pd_lifetime_macro ELSE 1e0 END * lgd * ead / greatest(ead, 1e0) AS ecl_rate
         FROM with_macro""",
-    "tier_marks": "SELECT quantile_cont(pred_prob, [0.4, 0.65, 0.85]) AS q FROM application",
+    "tier_marks": "SELECT quantile_cont(pred_prob, [0.4, 0.65, 0.85]) AS q FROM application WHERE is_train = 1",
     "tiered": """
         SELECT p.*, CASE WHEN pred_prob <= q[1] THEN 'Very Low' WHEN pred_prob <= q[2] THEN 'Low'
           WHEN pred_prob <= q[3] THEN 'Medium' ELSE 'High' END AS risk_tier

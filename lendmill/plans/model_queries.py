@@ -39,7 +39,7 @@ def _holdout(rows: DataFrame, pipeline, score_rows: DataFrame | None = None) ->
 
 @query("mod_logistic")
 def mod_logistic(dom: Domain) -> DataFrame:
-    return _holdout(training(dom), pd_model.logistic(FEATURES, max_iter=30))
+    return _holdout(training(dom), pd_model.logistic(FEATURES))
 
 
 @query("mod_forest")
@@ -60,7 +60,7 @@ def mod_gbt(dom: Domain) -> DataFrame:
 
 
 def _logistic_factory(_: str | None):
-    return pd_model.logistic(FEATURES, max_iter=20)
+    return pd_model.logistic(FEATURES)
 
 
 @query("mod_oof")
@@ -78,7 +78,7 @@ def mod_leaderboard(dom: Domain) -> DataFrame:
     rows = materialize(_filled(rows, median(rows, FEATURES)).withColumn("fold", F.pmod(F.col("fold"), F.lit(3))), "folds")
     small = pd_model.ForestParams(trees=10, depth=5)
     factories = {
-        "logistic": lambda v: pd_model.logistic(FEATURES, max_iter=20),
+        "logistic": lambda v: pd_model.logistic(FEATURES),
         "forest": lambda v: pd_model.forest(FEATURES, small),
         "boosted": lambda v: pd_model.boosted(FEATURES, pd_model.BoostParams(trees=5, depth=3, step=0.1), v),
     }
@@ -87,9 +87,10 @@ def mod_leaderboard(dom: Domain) -> DataFrame:
 
 @query("mod_calibrate")
 def mod_calibrate(dom: Domain) -> DataFrame:
-    """Isotonic calibration of the given scores, fitted on 80 % of the rows."""
-    rows = dom.application.select("sk_id_curr", "target", "pred_prob")
-    return pd_model.calibrate(rows, pd_model.fit_calibrator(rows)).select("sk_id_curr", "target", "pred_prob", "pd_calibrated")
+    """Isotonic calibration of the given scores, fitted on 80 % of the train rows, applied to all."""
+    rows = dom.application.select("sk_id_curr", "is_train", "target", "pred_prob")
+    calibrator = pd_model.fit_calibrator(rows.filter("is_train = 1"))
+    return pd_model.calibrate(rows, calibrator).select("sk_id_curr", "target", "pred_prob", "pd_calibrated")
 
 
 @query("mod_tune")
@@ -105,7 +106,7 @@ def xai_pdp(dom: Domain) -> DataFrame:
     """Partial dependence of four features on a logistic model, over all train rows."""
     rows = training(dom)
     rows = materialize(_filled(rows, median(rows, FEATURES)), "pdp")
-    model = pd_model.logistic(FEATURES, max_iter=20).fit(rows)
+    model = pd_model.logistic(FEATURES).fit(rows)
     return explain.partial_dependence(rows, model, ["ext_source_2", "ext_source_3", "credit_income_ratio", "age_years"], points=50)
 
 
@@ -117,10 +118,8 @@ def _applications(dom: Domain) -> DataFrame:
 
 @query("sco_ensemble")
 def sco_ensemble(dom: Domain) -> DataFrame:
-    """Mean of three fold models, calibrated."""
-    rows = training(dom)
-    rows = rows.withColumn("fold", F.pmod(F.col("fold"), F.lit(3)))
-    fitted = pd_model.out_of_fold(rows, _logistic_factory, k=3)
+    """Mean of the five fold models, calibrated on their out-of-fold scores."""
+    fitted = pd_model.out_of_fold(training(dom), _logistic_factory)
     calibrator = pd_model.fit_calibrator(fitted.oof.withColumnRenamed("pred_prob", "pd_raw"), "pd_raw")
     return scoring.ensemble(testing(dom), fitted.models, calibrator).select("sk_id_curr", "pd_raw", "pd_calibrated")
 
@@ -130,9 +129,10 @@ def sco_batch(dom: Domain) -> DataFrame:
     """All applications in one plan, made five years younger: those under 18 come back as 'Unknown'."""
     rows = training(dom)
     medians = median(rows, FEATURES)
-    model = pd_model.logistic(FEATURES, max_iter=20).fit(rows)
-    scores = scoring.positive_probability(rows, model, "pd_raw").select("sk_id_curr", "target", "pd_raw")
+    fitted = pd_model.out_of_fold(rows, _logistic_factory)
+    # calibration and tier edges come from scores of rows that the scoring model had not seen
+    scores = materialize(fitted.oof.withColumnRenamed("pred_prob", "pd_raw"), "oof")
     calibrator = pd_model.fit_calibrator(scores, "pd_raw")
     edges = scoring.fit_tiers(pd_model.calibrate(scores, calibrator, "pd_raw"), "pd_calibrated").edges
     aged = _applications(dom).withColumn("age_years", F.col("age_years") - 5)
-    return scoring.score_batch(aged, [model], calibrator, medians, edges)
+    return scoring.score_batch(aged, fitted.models, calibrator, medians, edges)

@@ -46,8 +46,8 @@ def portfolio(dom: Domain) -> DataFrame:
 
 
 def with_tier(df: DataFrame, dom: Domain) -> DataFrame:
-    """Tiers at the 40/65/85 % score quantiles of all applications."""
-    config = fit_tiers(dom.application.select("pred_prob"))
+    """Tiers at the 40/65/85 % score quantiles of the train applications."""
+    config = fit_tiers(dom.application.filter("is_train = 1").select("pred_prob"))
     return df.withColumn("risk_tier", risk_tier(F.col("pred_prob"), config))
 
 

@@ -51,8 +51,8 @@ NUMERIC = ["cnt_children", "cnt_fam_members", "amt_credit", "amt_income_total",
 
 
 @query("sel_low_variance", sql="SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, var_samp({c}) AS variance FROM base_app" for c in [*NUMERIC, "small_score"])
-    .replace("FROM base_app", "FROM (SELECT *, ext_source_2 / 1e1 AS small_score FROM base_app)") + ") WHERE variance < 1e-2", digits={"variance": 8})
+    f"SELECT '{c}' AS feature, var_samp({c}) AS variance FROM (SELECT *, ext_source_2 / 1e1 AS small_score FROM base_app)" for c in [*NUMERIC, "small_score"])
+    + ") WHERE variance < 1e-2", digits={"variance": 8})
 def sel_low_variance(dom: Domain) -> DataFrame:
     rows = base(dom).withColumn("small_score", F.col("ext_source_2") / 10.0)
     return encode.low_variance(rows, [*NUMERIC, "small_score"])
@@ -77,9 +77,9 @@ STATS = ["amt_credit", "amt_income_total", "ext_source_1", "ext_source_2", "cred
 
 @query("enc_feature_stats", sql=" UNION ALL ".join(
     f"""SELECT '{c}' AS feature, median({c}) AS median, avg({c}) AS mean, stddev_samp({c}) AS std, quantile_cont({c}, 0.01) AS p01,
-      quantile_cont({c}, 0.99) AS p99 FROM base_app""" for c in STATS), digits=dict.fromkeys(["median", "mean", "std", "p01", "p99"], 5))
+      quantile_cont({c}, 0.99) AS p99 FROM base_app WHERE is_train = 1""" for c in STATS), digits=dict.fromkeys(["median", "mean", "std", "p01", "p99"], 5))
 def enc_feature_stats(dom: Domain) -> DataFrame:
-    return encode.feature_stats(base(dom), STATS)
+    return encode.feature_stats(base(dom).filter("is_train = 1"), STATS)
 
 
 # ---- weight of evidence ---------------------------------------------------------------------
@@ -87,6 +87,12 @@ def enc_feature_stats(dom: Domain) -> DataFrame:
 QUANTILE_FEATURES = ["ext_source_1", "ext_source_2", "ext_source_3", "credit_term", "age_years", "credit_income_ratio"]
 VALUE_FEATURES = ["code_gender", "name_income_type", "region_rating_client_w_city", "cnt_children"]
 ALL_FEATURES = QUANTILE_FEATURES + VALUE_FEATURES
+_TRAIN = "(SELECT * FROM base_app WHERE is_train = 1)"
+
+
+def train_rows(dom: Domain) -> DataFrame:
+    """Bins and WoE are fitted on the train applications only."""
+    return base(dom).filter("is_train = 1")
 
 
 def _binned(source: str, features: list[str], fit_where: str = "TRUE") -> str:
@@ -117,42 +123,42 @@ def _woe_sql(source: str, features: list[str], where: str = "TRUE") -> str:
 WOE_DIGITS = {"pct_events": 8, "pct_nonevents": 8, "woe": 7, "iv_part": 8}
 
 
-@query("woe_bin_quantile", sql=f"SELECT feature, bin, sum(y)::BIGINT AS events, count(*) AS total FROM ({_binned('base_app', QUANTILE_FEATURES)}) GROUP BY feature, bin")
+@query("woe_bin_quantile", sql=f"SELECT feature, bin, sum(y)::BIGINT AS events, count(*) AS total FROM ({_binned(_TRAIN, QUANTILE_FEATURES)}) GROUP BY feature, bin")
 def woe_bin_quantile(dom: Domain) -> DataFrame:
-    rows = feature_table(base(dom), ["target", *QUANTILE_FEATURES])
+    rows = feature_table(train_rows(dom), ["target", *QUANTILE_FEATURES])
     return woe.bin_counts(rows, woe.fit_bins(rows, QUANTILE_FEATURES))
 
 
-@query("woe_bin_category", sql=f"SELECT feature, bin, sum(y)::BIGINT AS events, count(*) AS total FROM ({_binned('base_app', VALUE_FEATURES)}) GROUP BY feature, bin")
+@query("woe_bin_category", sql=f"SELECT feature, bin, sum(y)::BIGINT AS events, count(*) AS total FROM ({_binned(_TRAIN, VALUE_FEATURES)}) GROUP BY feature, bin")
 def woe_bin_category(dom: Domain) -> DataFrame:
-    rows = feature_table(base(dom), ["target", *VALUE_FEATURES])
+    rows = feature_table(train_rows(dom), ["target", *VALUE_FEATURES])
     return woe.bin_counts(rows, woe.fit_bins(rows, VALUE_FEATURES))
 
 
-@query("woe_table", sql=_woe_sql("base_app", ALL_FEATURES), digits=WOE_DIGITS)
+@query("woe_table", sql=_woe_sql(_TRAIN, ALL_FEATURES), digits=WOE_DIGITS)
 def woe_table(dom: Domain) -> DataFrame:
-    rows = feature_table(base(dom), ["target", *ALL_FEATURES])
+    rows = feature_table(train_rows(dom), ["target", *ALL_FEATURES])
     return woe.woe_table(rows, woe.fit_bins(rows, ALL_FEATURES))
 
 
 _FLAG = "CASE WHEN raw > 5e-1 THEN 'Suspicious' WHEN raw > 3e-1 THEN 'Strong' WHEN raw > 1e-1 THEN 'Medium' WHEN raw > 2e-2 THEN 'Weak' ELSE 'Useless' END"
 
 
-@query("woe_iv", sql=f"SELECT feature, sum(iv_part) AS iv FROM ({_woe_sql('base_app', ALL_FEATURES)}) GROUP BY feature", digits={"iv": 6})
+@query("woe_iv", sql=f"SELECT feature, sum(iv_part) AS iv FROM ({_woe_sql(_TRAIN, ALL_FEATURES)}) GROUP BY feature", digits={"iv": 6})
 def woe_iv(dom: Domain) -> DataFrame:
-    rows = feature_table(base(dom), ["target", *ALL_FEATURES])
+    rows = feature_table(train_rows(dom), ["target", *ALL_FEATURES])
     return woe.information_value(woe.woe_table(rows, woe.fit_bins(rows, ALL_FEATURES))).select("feature", "iv")
 
 
 # a target that does depend on features, so that every grade can occur
 _GRADED = """(SELECT * REPLACE (CASE WHEN ext_source_2 + (CASE WHEN code_gender = 'M' THEN 15e-2 ELSE 0e0 END) + coalesce(ext_source_3, 5e-1) * 3e-1 > 8e-1
-  THEN 0 ELSE 1 END AS target) FROM base_app)"""
+  THEN 0 ELSE 1 END AS target) FROM base_app WHERE is_train = 1)"""
 
 
 def _graded(dom: Domain) -> DataFrame:
     gender = F.when(F.col("code_gender") == "M", 0.15).otherwise(0.0)
     score = F.col("ext_source_2") + gender + F.coalesce(F.col("ext_source_3"), F.lit(0.5)) * 0.3
-    graded = base(dom).withColumn("target", F.when(score > 0.8, 0).otherwise(1))
+    graded = train_rows(dom).withColumn("target", F.when(score > 0.8, 0).otherwise(1))
     return feature_table(graded, ["target", *ALL_FEATURES])
 
 
@@ -214,10 +220,11 @@ def woe_apply(dom: Domain) -> DataFrame:
 @query("woe_equal_width", sql="""
     SELECT bin, sum(target)::BIGINT AS events, count(*) AS total FROM (
       SELECT target, CAST(greatest(len(list_filter(e, lambda m: m < credit_term)), 1) AS VARCHAR) AS bin FROM base_app,
-        (SELECT [lo + (hi - lo) * k / 1e1 FOR k IN range(10)] || [hi] AS e FROM (SELECT min(credit_term) AS lo, max(credit_term) AS hi FROM base_app))
+        (SELECT [lo + (hi - lo) * k / 1e1 FOR k IN range(10)] || [hi] AS e FROM (SELECT min(credit_term) AS lo, max(credit_term) AS hi FROM base_app WHERE is_train = 1))
+      WHERE is_train = 1
     ) GROUP BY bin""")
 def woe_equal_width(dom: Domain) -> DataFrame:
-    rows = base(dom).select("target", "credit_term")
+    rows = train_rows(dom).select("target", "credit_term")
     return woe.bin_counts(rows, [woe.equal_width_bins(rows, "credit_term")]).select("bin", "events", "total")
 
 
@@ -227,10 +234,10 @@ def woe_flag_counts(dom: Domain) -> DataFrame:
     return woe.flag_counts(woe.screen(_graded(dom), ALL_FEATURES))
 
 
-@query("woe_history_features", sql=f"""SELECT feature, sum(iv_part) AS iv FROM ({_woe_sql('hist_filled', ['inst_late_ratio', 'prev_refused_ratio'])}) GROUP BY feature""",
+@query("woe_history_features", sql=f"""SELECT feature, sum(iv_part) AS iv FROM ({_woe_sql('hist_filled', ['inst_late_ratio', 'prev_refused_ratio'], 'is_train = 1')}) GROUP BY feature""",
        digits={"iv": 6})
 def woe_history_features(dom: Domain) -> DataFrame:
     """Rollup ratios have many equal values, so quantile edges repeat and bins merge."""
     features = ["inst_late_ratio", "prev_refused_ratio"]
-    rows = feature_table(with_history(dom).fillna(0, subset=features), ["target", *features])
+    rows = feature_table(with_history(dom).filter("is_train = 1").fillna(0, subset=features), ["target", *features])
     return woe.information_value(woe.woe_table(rows, woe.fit_bins(rows, features))).select("feature", "iv")
