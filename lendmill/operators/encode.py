@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from lendmill.functions.nullsafe import count_when, flag, lookup, melt, spread, text_columns
 from lendmill.operators.clean import fill
 from lendmill.operators.quantiles import exact_quantiles, median
+from lendmill.session import materialize
 
 ID_COLUMNS = ("sk_id_curr", "target", "is_train")
-MAX_CATEGORIES = 1_000
 EXPRESSIONS_PER_PASS = 250
 
 
@@ -28,18 +28,21 @@ class Encoding:
     one_hot: dict[str, list[str]] = field(default_factory=dict)
 
 
-def categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+def categories(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
     """Sorted distinct values per text column.
 
-    More than `limit` values in one column is an error: such a column cannot become columns.
+    The values become columns, so they are known to the driver; with `limit`, more values than
+    that in one column are an error. `indicators` has the long form for columns with more values
+    than a table may have columns.
     """
-    pairs = melt(df, columns, "string").filter(F.col("value").isNotNull()).distinct()
-    sizes = pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    wide = [r["feature"] for r in sizes.filter(F.col("n") > limit).collect()]
-    if wide:
-        raise ValueError(f"more than {limit} categories in {wide}")
+    pairs = materialize(melt(df, columns, "string").filter(F.col("value").isNotNull()).distinct(), "categories")
+    if limit is not None:
+        sizes = pairs.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+        wide = [r["feature"] for r in sizes.filter(F.col("n") > limit).collect()]
+        if wide:
+            raise ValueError(f"more than {limit} categories in {wide}")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in pairs.collect():  # at most limit values per column, checked above
+    for r in pairs.collect():
         found[r["feature"]].append(r["value"])
     return {c: sorted(v) for c, v in found.items()}
 
@@ -76,6 +79,13 @@ def encode_one_hot(df: DataFrame, encoding: Encoding) -> DataFrame:
     return (df.withColumns(out) if out else df).drop(*encoding.one_hot)
 
 
+def indicators(df: DataFrame, columns: Sequence[str], key: str = "sk_id_curr") -> DataFrame:
+    """The ones of the one-hot form as rows (key, feature): any number of values, nothing collected."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    long = df.select(key, F.inline(entries)).filter(F.col("value").isNotNull())
+    return long.select(key, F.regexp_replace(F.concat_ws("_", "column", "value"), r"[^A-Za-z0-9_]+", "_").alias("feature"))
+
+
 def impute_train_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Medians of the train rows fill the gaps of all rows."""
     return fill(df, median(df.filter(F.col("is_train") == 1), columns))

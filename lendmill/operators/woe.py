@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendmill.functions.nullsafe import lookup, step
+from lendmill.functions.nullsafe import melt
 from lendmill.functions.search import double_array, just_below, with_rank
 from lendmill.operators.quantiles import exact_quantiles
 
 FEW_VALUES = 10
-CLEARLY_MANY = 100  # far beyond the sketch's error around FEW_VALUES
+HEAD_ROWS = 1_000
 
 # Information-value grades, strongest first.
 IV_FLAGS = ((0.50, "Suspicious"), (0.30, "Strong"), (0.10, "Medium"), (0.02, "Weak"))
@@ -34,21 +34,22 @@ class FeatureBins:
 
 
 def _has_few_values(df: DataFrame, features: Sequence[str]) -> set[str]:
-    """Features with at most FEW_VALUES distinct values.
+    """Features with at most FEW_VALUES distinct values, decided exactly.
 
-    A sketch settles the clear cases; only the close ones, which have few values by then, are
-    counted exactly.
+    More values than that among some rows prove a feature to have many; the distinct values of
+    the others are counted.
     """
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BooleanType))}
     numeric = [f for f in features if f not in text]
     few = {f for f in features if f in text}
     if not numeric:
         return few
-    rough = df.agg(*[F.approx_count_distinct(f).alias(f) for f in numeric]).first()
-    close = [f for f in numeric if rough[f] <= CLEARLY_MANY]
-    if close:
-        exact = df.agg(*[F.size(F.collect_set(f)).alias(f) for f in close]).first()  # <= CLEARLY_MANY values each
-        few |= {f for f in close if exact[f] <= FEW_VALUES}
+    head = df.select(*numeric).limit(HEAD_ROWS).collect()
+    open_ = [f for f in numeric if len({r[f] for r in head} - {None}) <= FEW_VALUES]
+    if open_:
+        values = melt(df, open_, "double").filter(F.col("value").isNotNull()).distinct()
+        counts = {r["feature"]: r["n"] for r in values.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+        few |= {f for f in open_ if counts.get(f, 0) <= FEW_VALUES}
     return few
 
 
@@ -179,29 +180,33 @@ def fit_woe(df: DataFrame, features: Sequence[str], target: str = "target", n_bi
 def apply_woe(df: DataFrame, woe_map: DataFrame, suffix: str = "_woe") -> DataFrame:
     """Replace values by the fitted WoE of their bin; unseen bins and nulls are neutral (0).
 
-    The map is small (bins x features) and becomes one decision tree per feature, so the
-    transform stays a projection. Bins are the fitted ones, not re-derived from `df`.
+    Bins are the fitted ones, not re-derived from `df`. Intervals (bins x numeric features) become
+    constant arrays with a binary search; the map of a feature with one bin per value, which may
+    be as long as its values are many, is joined.
     """
-    fitted: dict[str, list] = {}
-    for r in woe_map.collect():
-        fitted.setdefault(r["feature"], []).append(r)
-    out = {}
-    for feature, rows in fitted.items():
-        if feature not in df.columns:
-            continue
-        if rows[0]["kind"] == "value":
-            value = lookup(F.col(feature).cast("string"), {r["category"]: r["woe"] for r in rows}, 0.0)
-        else:
-            rows = sorted(rows, key=lambda r: r["bin_id"])
-            edges, leaves = [rows[0]["lo"]], [0.0]
-            for r in rows:
-                if r["lo"] != edges[-1]:  # a bin that held no fitted row
-                    edges.append(r["lo"])
-                    leaves.append(0.0)
-                edges.append(r["hi"])
-                leaves.append(r["woe"])
-            c = F.col(feature).cast("double")
-            inside = step(c, edges, [*leaves, 0.0])
-            value = F.when(c == F.lit(edges[0]), F.lit(rows[0]["woe"])).otherwise(inside)
-        out[f"{feature}{suffix}"] = F.coalesce(value, F.lit(0.0))
-    return df.withColumns(out)
+    kinds = [r for r in woe_map.select("feature", "kind").distinct().collect() if r["feature"] in df.columns]
+    by_value = sorted(r["feature"] for r in kinds if r["kind"] == "value")
+    intervals: dict[str, list] = {}
+    for r in woe_map.filter(F.col("kind") == "interval").orderBy("feature", "bin_id").collect():
+        if r["feature"] in df.columns:
+            intervals.setdefault(r["feature"], []).append(r)
+    names = [*df.columns, *[f"{f}{suffix}" for f in [*intervals, *by_value]]]
+    out = df
+    for feature, rows in intervals.items():
+        edges, leaves = [just_below(rows[0]["lo"])], [0.0]
+        last = rows[0]["lo"]
+        for r in rows:
+            if r["lo"] != last:  # a bin that held no fitted row
+                edges.append(r["lo"])
+                leaves.append(0.0)
+            edges.append(r["hi"])
+            leaves.append(r["woe"])
+            last = r["hi"]
+        ranked = with_rank(out.withColumn("__x", F.col(feature).cast("double")), "__x", [edges], "__k")
+        woe = F.get(double_array([*leaves, 0.0]), F.col("__k"))
+        out = ranked.withColumn(f"{feature}{suffix}", F.coalesce(woe, F.lit(0.0))).drop("__x", "__k")
+    for feature in by_value:
+        values = woe_map.filter((F.col("feature") == feature) & (F.col("kind") == "value")).select(F.col("category").alias("__category"), F.col("woe").alias("__woe"))
+        out = out.join(values, out[feature].cast("string") == values["__category"], "left")
+        out = out.withColumn(f"{feature}{suffix}", F.coalesce("__woe", F.lit(0.0))).drop("__category", "__woe")
+    return out.select(*names)
