@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,11 @@ from lendmill.sources.domain import Domain
 from lendmill.streaming import scorer
 
 
+# Wider than the span of the application dates, so that no row is late; and a date beyond it.
+LATENESS = "3660 days"
+CLOSING_DATE = "2100-01-01 00:00:00"
+
+
 def _requests(dom: Domain) -> DataFrame:
     """Applications with two fields shifted so that the range rules bite."""
     return base(dom).select(
@@ -99,8 +102,8 @@ def sco_stream(dom: Domain) -> DataFrame:
     """Applications written as files, scored as a stream into parquet, read back."""
     source, sink, marks = (shared_path(dom.spark, n) for n in ("applications", "scored", "marks"))
     requests = _requests(dom)
-    requests.repartition(8).write.parquet(source)
-    stream = scorer.score_rows(scorer.read_applications(dom.spark, source, requests.schema, files_per_trigger=4))
+    requests.write.parquet(source)
+    stream = scorer.score_rows(scorer.read_applications(dom.spark, source, requests.schema))
     scorer.start_scoring(stream.select("sk_id_curr", "pd_calibrated", "risk_tier", "recommendation"), sink, marks).awaitTermination()
     return dom.spark.read.parquet(sink)
 
@@ -110,11 +113,24 @@ def sco_stream(dom: Domain) -> DataFrame:
       sum(CASE WHEN pred_prob > 48e-2 THEN 1 ELSE 0 END)::BIGINT AS n_high_risk, avg(CASE WHEN pred_prob > 48e-2 THEN 1e0 ELSE 0e0 END) AS high_risk_rate
     FROM application GROUP BY 1""", digits={"high_risk_rate": 8})
 def sco_stream_windows(dom: Domain) -> DataFrame:
-    """High-risk rate per 30-day window, counted over a stream of application files."""
-    source = shared_path(dom.spark, "dated")
-    rows = dom.application.select("application_date", "pred_prob")
-    rows.repartition(8).write.parquet(source)
-    stream = scorer.read_applications(dom.spark, source, rows.schema, files_per_trigger=4)
-    name = "windows_" + uuid.uuid4().hex
-    scorer.start_window_table(scorer.high_risk_windows(stream), name).awaitTermination()
-    return dom.spark.table(name)
+    """High-risk rate per 30-day window over a stream of application files, watermarked, appended to parquet.
+
+    A window is appended once the watermark has passed its end. The files hold all dates in no
+    order, so the lateness bound is wider than their span, and a closing record far in the future
+    (a heartbeat of the source, in a window of its own) lets the last windows out.
+    """
+    source, sink, marks = (shared_path(dom.spark, n) for n in ("dated", "windows", "window-marks"))
+    # wall-clock times as UTC instants: watermarks need instants, and no session zone shifts them
+    instant = F.expr("timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', application_date))")
+    rows = dom.application.select(instant.alias("application_date"), "pred_prob")
+    rows.write.parquet(source)
+
+    def run_once() -> None:
+        stream = scorer.read_applications(dom.spark, source, rows.schema)
+        scorer.start_windows(scorer.high_risk_windows(stream, lateness=LATENESS), sink, marks).awaitTermination()
+
+    run_once()
+    dom.spark.sql(f"SELECT TIMESTAMP '{CLOSING_DATE}' AS application_date, CAST(NULL AS DOUBLE) AS pred_prob").write.mode("append").parquet(source)
+    run_once()
+    start = F.expr("timestampadd(MICROSECOND, unix_micros(window_start), TIMESTAMP_NTZ '1970-01-01 00:00:00')")
+    return dom.spark.read.parquet(sink).withColumn("window_start", start)

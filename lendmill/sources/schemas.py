@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendmill.functions.nullsafe import spread
+
 MONEY = T.DecimalType(18, 2)
 FINE_MONEY = T.DecimalType(14, 4)
 SCORE = T.DecimalType(8, 6)
 DAYS = T.DecimalType(10, 2)
 COUNT = T.DecimalType(8, 2)
-TINY, SMALL, INT, TEXT, TIME = T.ByteType(), T.ShortType(), T.IntegerType(), T.StringType(), T.TimestampType()
+TINY, SMALL, INT, ID, TEXT, TIME = T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.StringType(), T.TimestampType()
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,13 @@ class Declared:
             cols.append(c.alias(name))
         return df.select(*cols)
 
+    def failed_casts(self, df: DataFrame) -> DataFrame:
+        """(column_name, n_rows) of the values that do not fit their declared type."""
+        have = {c.lower(): c for c in df.columns}
+        lost = {n: F.count_if(F.col(have[n]).isNotNull() & F.col(have[n]).try_cast(t).isNull()) for n, t in self.columns.items() if n in have}
+        one = df.agg(*[c.alias(n) for n, c in lost.items()])
+        return spread(one, {"n_rows": "bigint"}, {n: {"n_rows": F.col(n)} for n in lost}, name="column_name").filter("n_rows > 0")
+
 
 DOCUMENT_FLAGS = [f"flag_document_{i}" for i in range(2, 22)]
 CONTACT_FLAGS = ["flag_mobil", "flag_emp_phone", "flag_work_phone", "flag_cont_mobile", "flag_phone", "flag_email"]
@@ -59,7 +68,7 @@ PLACE_FLAGS = [
 
 APPLICATION = Declared(
     columns={
-        "sk_id_curr": INT, "is_test": TINY, "target": TINY, "name_contract_type": TEXT,
+        "sk_id_curr": ID, "is_test": TINY, "target": TINY, "name_contract_type": TEXT,
         **dict.fromkeys(["amt_credit", "amt_annuity", "amt_goods_price", "amt_income_total"], MONEY),
         **dict.fromkeys(["code_gender", "flag_own_car", "flag_own_realty"], TEXT),
         **dict.fromkeys(["cnt_children", "cnt_fam_members"], SMALL),
@@ -93,7 +102,7 @@ APPLICATION = Declared(
 _BUREAU_ZERO = ["amt_credit_max_overdue", "amt_credit_sum_debt", "amt_credit_sum_limit", "amt_credit_sum_overdue"]
 BUREAU = Declared(
     columns={
-        "sk_id_bureau": INT, "sk_id_curr": INT, "credit_active": TEXT, "credit_currency": TEXT, "credit_type": TEXT,
+        "sk_id_bureau": ID, "sk_id_curr": ID, "credit_active": TEXT, "credit_currency": TEXT, "credit_type": TEXT,
         "days_credit": INT, "days_credit_enddate": INT, "days_enddate_fact": INT, "days_credit_update": INT,
         "credit_day_overdue": SMALL, "amt_credit_sum": MONEY, **dict.fromkeys(_BUREAU_ZERO, MONEY),
         "cnt_credit_prolong": SMALL, "created_at": TIME,
@@ -106,7 +115,7 @@ BUREAU = Declared(
 
 PREVIOUS = Declared(
     columns={
-        "sk_id_prev": INT, "sk_id_curr": INT,
+        "sk_id_prev": ID, "sk_id_curr": ID,
         **dict.fromkeys(
             ["name_contract_type", "name_contract_status", "name_cash_loan_purpose", "name_payment_type", "code_reject_reason",
              "name_client_type", "name_goods_category", "name_portfolio", "name_product_type", "channel_type",
@@ -125,7 +134,7 @@ PREVIOUS = Declared(
 
 INSTALLMENTS = Declared(
     columns={
-        "sk_id_prev": INT, "sk_id_curr": INT, "num_instalment_version": TINY, "num_instalment_number": SMALL,
+        "sk_id_prev": ID, "sk_id_curr": ID, "num_instalment_version": TINY, "num_instalment_number": SMALL,
         "days_instalment": DAYS, "days_entry_payment": DAYS, "amt_instalment": FINE_MONEY, "amt_payment": FINE_MONEY,
         "payment_diff": FINE_MONEY, "days_past_due": DAYS, "created_at": TIME,
     },
@@ -135,7 +144,7 @@ INSTALLMENTS = Declared(
 
 POS_CASH = Declared(
     columns={
-        "sk_id_prev": INT, "sk_id_curr": INT, "months_balance": SMALL, "cnt_instalment": T.DecimalType(6, 2),
+        "sk_id_prev": ID, "sk_id_curr": ID, "months_balance": SMALL, "cnt_instalment": T.DecimalType(6, 2),
         "cnt_instalment_future": T.DecimalType(6, 2), "name_contract_status": TEXT, "sk_dpd": SMALL, "sk_dpd_def": SMALL,
         "created_at": TIME,
     },
@@ -148,7 +157,7 @@ _CARD_MONEY = ["amt_balance", "amt_drawings_atm_current", "amt_drawings_current"
 _CARD_COUNTS = ["cnt_drawings_atm_current", "cnt_drawings_other_current", "cnt_drawings_pos_current", "cnt_instalment_mature_cum"]
 CREDIT_CARD = Declared(
     columns={
-        "sk_id_prev": INT, "sk_id_curr": INT, "months_balance": SMALL, "amt_credit_limit_actual": INT,
+        "sk_id_prev": ID, "sk_id_curr": ID, "months_balance": SMALL, "amt_credit_limit_actual": INT,
         **dict.fromkeys(_CARD_MONEY, MONEY), **dict.fromkeys(_CARD_COUNTS, COUNT), "cnt_drawings_current": SMALL,
         **dict.fromkeys(["amt_payment_total_current", "amt_receivable_principal", "amt_recivable", "amt_total_receivable"], MONEY),
         "name_contract_status": TEXT, "sk_dpd": SMALL, "sk_dpd_def": SMALL, "utilization_ratio": SCORE, "created_at": TIME,
@@ -163,7 +172,7 @@ CREDIT_CARD = Declared(
 _D64, _D104, _D106, _D62 = T.DecimalType(6, 4), T.DecimalType(10, 4), T.DecimalType(10, 6), T.DecimalType(6, 2)
 FEATURES = Declared(
     columns={
-        "sk_id_curr": INT,
+        "sk_id_curr": ID,
         **dict.fromkeys(["credit_income_ratio", "annuity_income_ratio", "credit_term", "goods_credit_ratio"], _D104),
         "credit_downpayment": MONEY, "age_years": _D62, "years_employed": _D62, "days_employed_ratio": _D106,
         "years_id_publish": _D62, "years_last_phone_change": _D62, "flag_docs_sum": TINY, "cnt_children_ratio": _D64,
@@ -186,7 +195,7 @@ FEATURES = Declared(
 
 PREDICTIONS = Declared(
     columns={
-        "sk_id_curr": INT, "model_version": TEXT, "default_probability": SCORE, "risk_tier": TEXT, "oof_fold": TINY,
+        "sk_id_curr": ID, "model_version": TEXT, "default_probability": SCORE, "risk_tier": TEXT, "oof_fold": TINY,
         "actual_target": TINY, "predicted_at": TIME,
     },
     required=("sk_id_curr", "model_version", "default_probability", "risk_tier", "predicted_at"),

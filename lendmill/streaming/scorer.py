@@ -55,8 +55,3 @@ def start_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQu
     """Append closed windows to parquet; needs a watermark."""
     writer = windows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return writer.outputMode("append").trigger(availableNow=True).start()
-
-
-def start_window_table(windows: DataFrame, name: str) -> StreamingQuery:
-    """Keep all windows in an in-memory table (one row per window) for a live view."""
-    return windows.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
