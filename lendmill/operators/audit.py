@@ -250,6 +250,17 @@ def schema_difference(train: DataFrame, test: DataFrame, ignore: Sequence[str] =
     return only_train.union(names[1].exceptAll(names[0]).withColumn("only_in", F.lit("test")))
 
 
+def filled_difference(train: DataFrame, test: DataFrame, ignore: Sequence[str] = ("target",)) -> DataFrame:
+    """Columns that hold a value on one side only, by schema or because all values are missing."""
+    skip, sides = {c.lower() for c in ignore}, []
+    for df, side in ((train, "train"), (test, "test")):
+        one = df.agg(*[F.count(c).alias(c.lower()) for c in df.columns if c.lower() not in skip])
+        counts = spread(one, {"n": "bigint"}, {c: {"n": F.col(c)} for c in one.columns}, name="column_name")
+        sides.append(counts.filter("n > 0").select("column_name", F.lit(side).alias("only_in")))
+    both = sides[0].union(sides[1])  # a row per column and side
+    return both.groupBy("column_name").agg(F.min("only_in").alias("only_in"), F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n")
+
+
 def missing_drift(df: DataFrame, is_train: Column, columns: Sequence[str], top: int = 10, limit: float = 0.05) -> DataFrame:
     """Most-missing train columns against the test rate; 1 where they differ by more than `limit`."""
     one = df.agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lendmill.operators import audit, clean
 from lendmill.plans.registry import query
 from lendmill.session import materialize
-from lendmill.sources.domain import Domain
+from lendmill.sources.domain import APPLICATION, BUREAU, Domain
 
 _SHARES = {
     "target": "application", "code_gender": "application", "credit_active": "bureau", "credit_type": "bureau",
@@ -37,9 +37,8 @@ def aud_value_share(dom: Domain) -> DataFrame:
 
 
 @query("aud_full_dupes", sql="""
-    SELECT sum(n)::BIGINT AS n_rows, sum(n - 1)::BIGINT AS n_duplicates FROM (SELECT count(*) AS n FROM lineitem GROUP BY ALL) AS g
-    """.replace("SELECT count(*) AS n FROM lineitem GROUP BY ALL", """SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey,
-      l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"""))
+    SELECT sum(n)::BIGINT AS n_rows, sum(n - 1)::BIGINT AS n_duplicates FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey,
+      l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS g""")
 def aud_full_dupes(dom: Domain) -> DataFrame:
     return audit.duplicate_rows(dom.table("lineitem"))
 
@@ -50,9 +49,8 @@ def aud_key_dupes(dom: Domain) -> DataFrame:
     return audit.duplicate_rows(dom.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-APP_GAPS = ["occupation_type", "amt_goods_price", "own_car_age", "ext_source_1", "ext_source_2", "ext_source_3",
-            "days_last_phone_change", "amt_req_credit_bureau_qrt", "amt_credit"]
-BUREAU_GAPS = ["amt_annuity", "amt_credit_sum_debt", "amt_credit_max_overdue", "days_credit_enddate", "days_enddate_fact", "days_credit"]
+# every column of the two tables
+APP_COLUMNS, BUREAU_COLUMNS = list(APPLICATION), list(BUREAU)
 
 
 def _missing(columns, table) -> str:
@@ -60,18 +58,18 @@ def _missing(columns, table) -> str:
 
 
 @query("aud_missing_rate", sql=f"""
-    SELECT 'application' AS tbl, * FROM ({_missing(APP_GAPS, 'application')}) WHERE missing_rate > 0
-    UNION ALL SELECT 'bureau', * FROM ({_missing(BUREAU_GAPS, 'bureau')}) WHERE missing_rate > 0""", digits={"missing_rate": 6})
+    SELECT 'application' AS tbl, * FROM ({_missing(APP_COLUMNS, 'application')}) WHERE missing_rate > 0
+    UNION ALL SELECT 'bureau', * FROM ({_missing(BUREAU_COLUMNS, 'bureau')}) WHERE missing_rate > 0""", digits={"missing_rate": 6})
 def aud_missing_rate(dom: Domain) -> DataFrame:
-    app = audit.missing_columns(dom.application.select(*APP_GAPS)).select(F.lit("application").alias("tbl"), "*")
-    return app.union(audit.missing_columns(dom.bureau.select(*BUREAU_GAPS)).select(F.lit("bureau").alias("tbl"), "*"))
+    app = audit.missing_columns(dom.application).select(F.lit("application").alias("tbl"), "*")
+    return app.union(audit.missing_columns(dom.bureau).select(F.lit("bureau").alias("tbl"), "*"))
 
 
 @query("aud_missing_bands", sql=f"""
     SELECT CASE WHEN missing_rate > 4e-1 THEN 'over 40%' WHEN missing_rate > 15e-2 THEN '15-40%' ELSE '0-15%' END AS band,
-      count(*) AS n_columns FROM ({_missing(APP_GAPS, 'application')}) WHERE missing_rate > 0 GROUP BY 1""")
+      count(*) AS n_columns FROM ({_missing(APP_COLUMNS, 'application')}) WHERE missing_rate > 0 GROUP BY 1""")
 def aud_missing_bands(dom: Domain) -> DataFrame:
-    return audit.missing_bands(dom.application.select(*APP_GAPS))
+    return audit.missing_bands(dom.application)
 
 
 SENTINELS = ["days_first_drawing", "days_first_due", "days_last_due", "days_termination"]
@@ -243,20 +241,28 @@ def aud_card_rollup(dom: Domain) -> DataFrame:
     return audit.describe_exact(preview, audit.CARD_ROLLUP)
 
 
-@query("aud_schema_diff", sql="""
-    SELECT 'own_car_age' AS column_name, 'train' AS only_in UNION ALL SELECT 'extra_flag', 'test'""")
+_SIDES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) FILTER (WHERE is_train = 1) AS n_train, {test} AS n_test FROM application"
+    for c, test in [(c, "0" if c in ("own_car_age", "ext_source_1") else f"count({c}) FILTER (WHERE is_train = 0)") for c in APP_COLUMNS if c != "target"])
+
+
+@query("aud_schema_diff", sql=f"""
+    SELECT column_name, CASE WHEN n_train > 0 THEN 'train' ELSE 'test' END AS only_in FROM ({_SIDES}) WHERE (n_train > 0) <> (n_test > 0)
+    UNION ALL SELECT 'extra_flag', 'test' WHERE EXISTS (SELECT 1 FROM application WHERE is_train = 0 AND days_employed = 365243)""")
 def aud_schema_diff(dom: Domain) -> DataFrame:
-    """Train without a test-only column against test without a train-only one."""
-    train = dom.application
-    return audit.schema_difference(train, dom.application.drop("target", "own_car_age").withColumn("extra_flag", F.lit(1)))
+    """Columns with values on one side only: test lacks one train column, holds one without values, and has one of its own."""
+    is_train = F.col("is_train") == 1
+    test = dom.application.filter(~is_train).drop("target", "own_car_age").withColumns({
+        "ext_source_1": F.lit(None).cast("double"), "extra_flag": F.when(F.col("days_employed") == 365243, 1)})
+    return audit.filled_difference(dom.application.filter(is_train), test)
 
 
 @query("aud_missing_drift", sql=f"""
     SELECT *, CASE WHEN abs(train_rate - test_rate) > 5e-2 THEN 1 ELSE 0 END AS drifted FROM (
-      {' UNION ALL '.join(f"SELECT '{c}' AS column_name, avg(CASE WHEN is_train = 1 THEN CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END END) AS train_rate, avg(CASE WHEN is_train = 0 THEN CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END END) AS test_rate FROM application" for c in APP_GAPS)})
+      {' UNION ALL '.join(f"SELECT '{c}' AS column_name, avg(CASE WHEN is_train = 1 THEN CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END END) AS train_rate, avg(CASE WHEN is_train = 0 THEN CASE WHEN {c} IS NULL THEN 1e0 ELSE 0e0 END END) AS test_rate FROM application" for c in APP_COLUMNS)})
     ORDER BY train_rate DESC, column_name LIMIT 10""", digits={"train_rate": 6, "test_rate": 6})
 def aud_missing_drift(dom: Domain) -> DataFrame:
-    return audit.missing_drift(dom.application, F.col("is_train") == 1, APP_GAPS)
+    return audit.missing_drift(dom.application, F.col("is_train") == 1, APP_COLUMNS)
 
 
 @query("aud_before_after", sql="""

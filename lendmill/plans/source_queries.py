@@ -50,14 +50,11 @@ def src_csv_pruned(dom: Domain) -> DataFrame:
     return df.select(F.col("sk_id_curr").cast("bigint"), F.col("days_instalment").cast("double"), F.col("days_entry_payment").cast("double"))
 
 
-@query("src_csv_latin1", sql="""
-    SELECT column_name AS name, 'Größe der Spalte ' || column_name AS description FROM (VALUES ('o_orderkey'), ('o_custkey'),
-      ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) AS v(column_name)""")
+@query("src_csv_latin1", sql="SELECT s_name AS name, 'Straße zum Händler ' || s_suppkey AS description FROM supplier")
 def src_csv_latin1(dom: Domain) -> DataFrame:
-    """A column dictionary derived from the order table's schema, stored in Latin-1."""
-    names = dom.table("orders").columns
+    """A dictionary of the suppliers, stored in Latin-1 and read back."""
     path = shared_path(dom.spark, "dictionary")
-    rows = dom.spark.createDataFrame([(i, n, f"Größe der Spalte {n}") for i, n in enumerate(names)], "id int, Row string, Description string")
+    rows = dom.table("supplier").select("s_suppkey", F.col("s_name").alias("Row"), F.concat(F.lit("Straße zum Händler "), F.col("s_suppkey").cast("string")).alias("Description"))
     rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
     return readers.read_dictionary(dom.spark, path)
 
@@ -148,10 +145,30 @@ def sch_declared(dom: Domain) -> DataFrame:
     return concat_rows(*parts)
 
 
-@query("chk_pk_unique", sql="""
-    SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+_KEYS = {
+    "application": ["sk_id_curr"], "bureau": ["sk_id_bureau"], "previous_application": ["sk_id_prev"],
+    "application_features": ["sk_id_curr"], "predictions": ["sk_id_curr", "model_version"],
+}
+_KEYED = {
+    "application": "application", "bureau": "bureau", "previous_application": "previous_application", "application_features": "base_app",
+    "predictions": "(SELECT sk_id_curr, 'lgbm_v1' AS model_version FROM application)",
+}
+
+
+@query("chk_pk_unique", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS tbl, {' || chr(47) || '.join(f'CAST({c} AS VARCHAR)' for c in k)} AS key, count(*) AS n_rows FROM {_KEYED[t]} GROUP BY ALL HAVING count(*) > 1"
+    for t, k in _KEYS.items()))
 def chk_pk_unique(dom: Domain) -> DataFrame:
-    return checks.repeated_keys(dom.table("lineitem"), ["l_orderkey", "l_linenumber"])
+    """Repeated values of the five declared keys."""
+    tables = {
+        "application": dom.application, "bureau": dom.bureau, "previous_application": dom.previous,
+        "application_features": base(dom), "predictions": dom.application.select("sk_id_curr", F.lit("lgbm_v1").alias("model_version")),
+    }
+    parts = [
+        checks.repeated_keys(tables[t], k).select(F.lit(t).alias("tbl"), F.concat_ws("/", *[F.col(c).cast("string") for c in k]).alias("key"), "n_rows")
+        for t, k in _KEYS.items()
+    ]
+    return concat_rows(*parts)
 
 
 @query("chk_fk_orphans", sql="""
