@@ -37,14 +37,18 @@ def predicted_applications(predictions: DataFrame, application: DataFrame) -> Da
     return predictions.join(application, "sk_id_curr")
 
 
+def collections_ranking(predictions: DataFrame, n: int = 1000) -> DataFrame:
+    """The `n` riskiest high-tier predictions (ties: smaller id first)."""
+    risky = predictions.filter((F.col("risk_tier") == "High") & (F.col("default_probability") > 0.48))
+    return risky.orderBy(F.desc("default_probability"), "sk_id_curr").limit(n)
+
+
 def collections_top(predictions: DataFrame, application: DataFrame, n: int = 1000) -> DataFrame:
     """The `n` riskiest high-tier clients with masked contact data (ties: smaller id first).
 
     The top list is taken before the join, so only its rows look up the application.
     """
-    risky = predictions.filter((F.col("risk_tier") == "High") & (F.col("default_probability") > 0.48))
-    with_client = risky.join(application.select("sk_id_curr"), "sk_id_curr", "left_semi")
-    top = with_client.orderBy(F.desc("default_probability"), "sk_id_curr").limit(n)
+    top = collections_ranking(predictions.join(application.select("sk_id_curr"), "sk_id_curr", "left_semi"), n)
     wanted = application.select("sk_id_curr", "code_gender", "name_income_type", "amt_income_total", "amt_credit")
     phone = F.right((F.col("sk_id_curr").cast("bigint") * 1234567).cast("string"), F.lit(8))
     return wanted.join(F.broadcast(top), "sk_id_curr").select(  # n rows

@@ -9,6 +9,7 @@ from lendmill.operators import clean, decision, marts, segments
 from lendmill.params import SegmentFilter
 from lendmill.plans.portfolio import base, bureau_history, portfolio, predictions, previous_history, with_tier
 from lendmill.plans.registry import query
+from lendmill.session import materialize
 from lendmill.sources.domain import Domain
 
 # ---- threshold economics --------------------------------------------------------------------
@@ -265,7 +266,10 @@ def sql_default_by_segment(dom: Domain) -> DataFrame:
     FROM tiered WHERE risk_tier = 'High' AND pred_prob > 48e-2 ORDER BY pred_prob DESC, sk_id_curr LIMIT 1000""",
     digits={"amt_income_total": 4, "pd_pct": 2, "ecl_usd": 2})
 def sql_collections_topn(dom: Domain) -> DataFrame:
-    return marts.collections_top(predictions(dom), dom.application)
+    """The list is ranked on score and tier first; histories and provisions are built for its rows only."""
+    scored = with_tier(dom.application.select("sk_id_curr", "pred_prob"), dom).withColumnRenamed("pred_prob", "default_probability")
+    top = materialize(marts.collections_ranking(scored).select("sk_id_curr"), "top")
+    return marts.collections_top(predictions(dom, top), dom.application)
 
 
 @query("sql_auto_approve", sql="""

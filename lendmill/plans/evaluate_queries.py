@@ -133,18 +133,17 @@ def mod_risk_tier(dom: Domain) -> DataFrame:
 
 BETAS = {"ext_source_2": -2.1, "ext_source_3": -1.7, "credit_income_ratio": 0.04, "annuity_income_ratio": 0.9, "credit_term": 0.013,
          "age_years": -0.02, "region_rating_client_w_city": 0.25, "cnt_children": 0.06}
-_CONTRIB = "SELECT b.*, " + ", ".join(f"coalesce((b.{f} - m.{f}) * {repr(v)}, 0) AS {f}_contrib" for f, v in BETAS.items()) + \
+_CONTRIB = "SELECT b.*, " + ", ".join(f"coalesce((b.{f} - m.{f}) * {v!r}e0, 0) AS {f}_contrib" for f, v in BETAS.items()) + \
     " FROM tiered_app b, (SELECT " + ", ".join(f"avg({f}) AS {f}" for f in BETAS) + " FROM base_app) m"
-_CONTRIB = _CONTRIB.replace("-2.1", "-21e-1")
 
 
 def _contrib(dom: Domain, *keep: str) -> DataFrame:
     return explain.contributions(base(dom), BETAS, keep=keep)
 
 
-@query("xai_sample", sql="SELECT sk_id_curr, amt_credit FROM application ORDER BY ((sk_id_curr + 42) * 48271) % 2147483647, sk_id_curr LIMIT 500")
+@query("xai_sample", sql="SELECT sk_id_curr, amt_credit FROM application ORDER BY ((sk_id_curr + 42) * 48271) % 2147483647, sk_id_curr LIMIT 10000")
 def xai_sample(dom: Domain) -> DataFrame:
-    return explain.sample_rows(dom.application, 500, seed=42).select("sk_id_curr", "amt_credit")
+    return explain.sample_rows(dom.application, 10_000, seed=42).select("sk_id_curr", "amt_credit")
 
 
 @query("xai_contrib", sql=f"SELECT sk_id_curr, {', '.join(f'{f}_contrib' for f in BETAS)} FROM ({_CONTRIB})", digits={f"{f}_contrib": 7 for f in BETAS})

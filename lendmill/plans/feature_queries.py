@@ -235,14 +235,18 @@ def joi_left_rollups(dom: Domain) -> DataFrame:
 
 @query("joi_wide_features", sql="""
     SELECT count(*) AS n_rows, count(bureau_bad_debt_flag) AS n_bureau, sum(bureau_bad_debt_flag)::BIGINT AS n_bad, avg(prev_refused_ratio) AS mean_refused,
-      avg(inst_late_ratio) AS mean_late, avg(credit_income_ratio) AS mean_lti FROM with_history""",
-    digits={"mean_refused": 6, "mean_late": 6, "mean_lti": 6})
+      avg(inst_late_ratio) AS mean_late, avg(credit_income_ratio) AS mean_lti,
+      avg(pos_months) AS mean_pos_months, avg(cc_months) AS mean_cc_months, max(cc_top) AS top_balance
+    FROM with_history LEFT JOIN (SELECT sk_id_curr, count(*) AS pos_months FROM pos_cash GROUP BY 1) USING (sk_id_curr)
+      LEFT JOIN (SELECT sk_id_curr, count(*) AS cc_months, max(amt_balance) AS cc_top FROM credit_card GROUP BY 1) USING (sk_id_curr)""",
+    digits={"mean_refused": 6, "mean_late": 6, "mean_lti": 6, "mean_pos_months": 6, "mean_cc_months": 6, "top_balance": 4})
 def joi_wide_features(dom: Domain) -> DataFrame:
     """The full feature table: application features and all five rollups, summarised."""
     wide = joins.attach_rollups(base(dom), _all_rollups(dom))
     return wide.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("bureau_bad_debt_flag").alias("n_bureau"), F.sum("bureau_bad_debt_flag").alias("n_bad"),
         F.avg("prev_refused_ratio").alias("mean_refused"), F.avg("inst_late_ratio").alias("mean_late"), F.avg("credit_income_ratio").alias("mean_lti"),
+        F.avg("pos_months_count").alias("mean_pos_months"), F.avg("cc_months_count").alias("mean_cc_months"), F.max("cc_balance_max").alias("top_balance"),
     )
 
 
@@ -301,11 +305,11 @@ _HASH = "((sk_id_curr + 42) * 48271) % 2147483647"
 
 @query("joi_sample_scores", sql=f"""
     SELECT sk_id_curr, pred_prob, risk_tier, target FROM tiered_app WHERE sk_id_curr IN
-      (SELECT sk_id_curr FROM application ORDER BY {_HASH}, sk_id_curr LIMIT 1000) AND target = 1""")
+      (SELECT sk_id_curr FROM application ORDER BY {_HASH}, sk_id_curr LIMIT 10000) AND target = 1""")
 def joi_sample_scores(dom: Domain) -> DataFrame:
     """A seeded sample; only defaults carry a score here, so the others drop out."""
     scored = with_tier(dom.application, dom).withColumn("pred_prob", F.when(F.col("target") == 1, F.col("pred_prob")))
-    return join_scores(sample_rows(dom.application, 1000, seed=42), scored)
+    return join_scores(sample_rows(dom.application, 10_000, seed=42), scored)
 
 
 @query("set_concat_rows", sql="""

@@ -9,7 +9,7 @@ from lendmill.operators import evaluate, monitor
 from lendmill.operators.joins import concat_rows
 from lendmill.params import ALERTS
 from lendmill.plans.evaluate_queries import _AUC, _ROC
-from lendmill.plans.portfolio import base, portfolio, with_history, with_tier
+from lendmill.plans.portfolio import base, feature_table, portfolio, with_history, with_tier
 from lendmill.plans.registry import query
 from lendmill.sources.domain import Domain
 
@@ -37,7 +37,8 @@ def mon_psi(dom: Domain) -> DataFrame:
 
 @query("mon_csi", sql=_psi(" UNION ALL ".join(_shares(f) for f in CSI_FEATURES)), digits={"psi": 8})
 def mon_csi(dom: Domain) -> DataFrame:
-    return monitor.stability_index(monitor.drift_shares(base(dom), CSI_FEATURES, F.col("is_train") == 1))
+    rows = feature_table(base(dom), ["is_train", *CSI_FEATURES])
+    return monitor.stability_index(monitor.drift_shares(rows, CSI_FEATURES, F.col("is_train") == 1))
 
 
 _RELIABILITY = """SELECT len(list_filter([1e-1, 2e-1, 3e-1, 4e-1, 5e-1, 6e-1, 7e-1, 8e-1, 9e-1], lambda m: m < pred_prob))::INTEGER AS bin, count(*) AS n_rows,

@@ -23,26 +23,31 @@ def feature_table(rows: DataFrame, columns: list[str]) -> DataFrame:
     return materialize(rows.select(*columns), "features")
 
 
-def bureau_history(dom: Domain) -> DataFrame:
-    return rollups.bureau_derived(rollups.bureau_rollup(dom.bureau)).select("sk_id_curr", "bureau_bad_debt_flag", "bureau_overdue_mean")
+def _of(df: DataFrame, only: DataFrame | None) -> DataFrame:
+    """Rows of the listed clients; the list must be bounded (a top-n report)."""
+    return df if only is None else df.join(F.broadcast(only), "sk_id_curr", "left_semi")
 
 
-def previous_history(dom: Domain) -> DataFrame:
-    return rollups.previous_derived(rollups.previous_rollup(dom.previous)).select("sk_id_curr", "prev_refused_ratio")
+def bureau_history(dom: Domain, only: DataFrame | None = None) -> DataFrame:
+    return rollups.bureau_derived(rollups.bureau_rollup(_of(dom.bureau, only))).select("sk_id_curr", "bureau_bad_debt_flag", "bureau_overdue_mean")
 
 
-def installment_history(dom: Domain) -> DataFrame:
-    dated = clean.days_past_due(clean.payment_difference(dom.installments))
+def previous_history(dom: Domain, only: DataFrame | None = None) -> DataFrame:
+    return rollups.previous_derived(rollups.previous_rollup(_of(dom.previous, only))).select("sk_id_curr", "prev_refused_ratio")
+
+
+def installment_history(dom: Domain, only: DataFrame | None = None) -> DataFrame:
+    dated = clean.days_past_due(clean.payment_difference(_of(dom.installments, only)))
     return rollups.installments_rollup(dated).select("sk_id_curr", "inst_late_ratio")
 
 
-def with_history(dom: Domain) -> DataFrame:
-    return attach_rollups(base(dom), [bureau_history(dom), previous_history(dom), installment_history(dom)])
+def with_history(dom: Domain, only: DataFrame | None = None) -> DataFrame:
+    return attach_rollups(_of(base(dom), only), [bureau_history(dom, only), previous_history(dom, only), installment_history(dom, only)])
 
 
-def portfolio(dom: Domain) -> DataFrame:
+def portfolio(dom: Domain, only: DataFrame | None = None) -> DataFrame:
     """Applications with stage, severity, exposure and provision."""
-    return losses.compute_ecl(with_history(dom))
+    return losses.compute_ecl(with_history(dom, only))
 
 
 def with_tier(df: DataFrame, dom: Domain) -> DataFrame:
@@ -51,9 +56,9 @@ def with_tier(df: DataFrame, dom: Domain) -> DataFrame:
     return df.withColumn("risk_tier", risk_tier(F.col("pred_prob"), config))
 
 
-def predictions(dom: Domain) -> DataFrame:
+def predictions(dom: Domain, only: DataFrame | None = None) -> DataFrame:
     """The prediction table: probability, tier and provision per client and model version."""
-    rows = with_tier(portfolio(dom), dom)
+    rows = with_tier(portfolio(dom, only), dom)
     return rows.select(
         "sk_id_curr", F.lit("lgbm_v1").alias("model_version"), F.col("pred_prob").alias("default_probability"), "risk_tier",
         F.col("target").alias("actual_target"), "stage", "ead", "ecl",

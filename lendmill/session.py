@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,6 +52,7 @@ def shared_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SHARED:
         _LOCAL_SHARED[app] = tempfile.mkdtemp(prefix="lendmill-")
+        atexit.register(shutil.rmtree, _LOCAL_SHARED[app], True)
     return _LOCAL_SHARED[app]
 
 
