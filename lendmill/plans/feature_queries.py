@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.operators import clean, features, joins, rollups
+from lendmill.operators import clean, encode, features, joins, rollups
 from lendmill.operators.explain import sample_rows, join_scores
 from lendmill.plans.portfolio import base, bureau_history, feature_table, previous_history, with_history, with_tier
 from lendmill.plans.registry import query
@@ -321,3 +321,41 @@ def set_concat_rows(dom: Domain) -> DataFrame:
     firms = dom.table("supplier").select(
         F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("amount"), F.col("s_nationkey").alias("nation"))
     return joins.concat_rows(people, firms)
+
+
+# ---- the whole chain, from raw tables to a model table ---------------------------------------
+
+_ENCODED = ["flag_own_car", "name_education_type"]
+_EDUCATION = ["Higher education", "Incomplete higher", "Lower secondary", "Secondary / secondary special"]
+_MEDIAN_FILLED = ["ext_source_1", "ext_source_3", "amt_goods_price", "goods_credit_ratio"]
+_HISTORY = [*COUNTS, "prev_refused_ratio", "inst_late_ratio"]
+_MODEL_NUMBERS = ["ext_source_2", "credit_income_ratio", "annuity_income_ratio", "credit_term", "age_years", *_MEDIAN_FILLED, *_HISTORY, *STRESS]
+_MODEL_DIGITS = dict.fromkeys([c for c in _MODEL_NUMBERS if c not in COUNTS], 6)
+
+
+def _wide_sql() -> str:
+    education = ", ".join(f"CASE WHEN name_education_type = '{v}' THEN 1 ELSE 0 END AS {n}" for v, n in encode.one_hot_names("name_education_type", _EDUCATION).items())
+    filled = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM base_app WHERE is_train = 1)) AS {c}" for c in _MEDIAN_FILLED)
+    history = ", ".join(f"coalesce({c}, 0) AS {c}" for c in _HISTORY)
+    return f"""SELECT h.sk_id_curr, is_train, CASE flag_own_car WHEN 'N' THEN 0 ELSE 1 END AS flag_own_car, {education}, ext_source_2, credit_income_ratio,
+        annuity_income_ratio, credit_term, age_years, {filled}, {history}, age_years * credit_income_ratio AS stress_age_x_credit,
+        CASE WHEN years_employed IS NULL THEN 0 ELSE greatest(years_employed, 0) * annuity_income_ratio END AS stress_emp_x_annuity,
+        (flag_document_3 + flag_document_6) * credit_income_ratio AS stress_docs_x_credit
+      FROM with_history h LEFT JOIN ({_JOINED}) j USING (sk_id_curr)"""
+
+
+@query("fea_model_table", sql=_wide_sql(), digits=_MODEL_DIGITS)
+def fea_model_table(dom: Domain) -> DataFrame:
+    """All applications through the chain: ratios and years, five rollups, join, no-history fill, encoding, train medians, interactions.
+
+    Encodings and medians are fitted on the train rows; the result is one numeric row per client.
+    """
+    wide = joins.attach_rollups(features.add_interactions(base(dom)), _all_rollups(dom))
+    numbers = [c for c in _MODEL_NUMBERS if c not in _MEDIAN_FILLED]
+    rows = feature_table(wide, ["sk_id_curr", "is_train", *_ENCODED, *numbers, *_MEDIAN_FILLED])
+    rows = joins.fill_no_history(rows, [*_HISTORY, *STRESS])
+    encoding = encode.fit_encoding(rows.filter("is_train = 1"), _ENCODED)
+    rows = encode.encode_one_hot(encode.encode_binary(rows, encoding), encoding)
+    rows = encode.impute_train_median(rows, _MEDIAN_FILLED)
+    education = list(encode.one_hot_names("name_education_type", _EDUCATION).values())
+    return rows.select("sk_id_curr", "is_train", "flag_own_car", *education, *numbers, *_MEDIAN_FILLED)
