@@ -85,6 +85,22 @@ def mod_leaderboard(dom: Domain) -> DataFrame:
     return pd_model.leaderboard({n: pd_model.out_of_fold(rows, f, k=3, early_stop=n == "boosted").oof for n, f in factories.items()})
 
 
+@query("mod_winner_scored")
+def mod_winner_scored(dom: Domain) -> DataFrame:
+    """Out-of-fold scores of two models, the better one by AUC, its calibration and tier edges, and the scored test table."""
+    rows = training(dom)
+    medians = median(rows, FEATURES)
+    rows = materialize(_filled(rows, medians), "folds")
+    factories = {"logistic": _logistic_factory, "forest": lambda v: pd_model.forest(FEATURES, FOREST)}
+    fitted = {name: pd_model.out_of_fold(rows, factory) for name, factory in factories.items()}
+    scores = {name: materialize(f.oof, "oof") for name, f in fitted.items()}
+    winner = pd_model.leaderboard(scores).select("model").first()["model"]
+    calibrator = pd_model.fit_calibrator(scores[winner])
+    edges = scoring.fit_tiers(pd_model.calibrate(scores[winner], calibrator), "pd_calibrated").edges
+    test = pd_model.calibrate(pd_model.mean_score(_filled(testing(dom), medians), fitted[winner].models), calibrator)
+    return test.select("sk_id_curr", F.lit(winner).alias("model"), "pred_prob", "pd_calibrated", scoring.assign_tier(F.col("pd_calibrated"), edges).alias("risk_tier"))
+
+
 @query("mod_calibrate")
 def mod_calibrate(dom: Domain) -> DataFrame:
     """Isotonic calibration of the given scores, fitted on 80 % of the train rows, applied to all."""
