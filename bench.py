@@ -23,16 +23,16 @@ HEADLINE = [
     "aud_value_share", "aud_full_dupes", "aud_missing_rate", "aud_quantiles", "aud_categorical", "aud_coverage", "aud_card_rollup",
     "cln_application", "cln_impute_median", "cln_zero_to_median", "chk_fk_orphans",
     # features and rollups
-    "fea_ratios", "fea_bureau_quality", "agg_bureau", "agg_prev", "agg_inst", "agg_pos", "agg_card", "joi_wide_features",
+    "fea_ratios", "fea_bureau_quality", "agg_bureau", "agg_prev", "agg_inst", "agg_pos", "agg_card", "joi_wide_features", "fea_model_table",
     # selection and scorecard
     "sel_high_corr", "enc_one_hot", "woe_screen", "woe_apply",
     # evaluation and explanation
-    "eva_auc", "eva_cv_summary", "mod_strat_folds", "xai_global_rank", "xai_deviation_top3",
+    "eva_auc", "eva_cv_summary", "mod_strat_folds", "mod_logistic", "mod_calibrate", "xai_global_rank", "xai_deviation_top3",
     # provisions, scenarios, decisions
     "ecl_stage_summary", "ecl_by_scenario", "ecl_lgd_sensitivity", "scn_vintage", "scn_migration_pct", "scn_ecl_weighted", "scn_cohort_default",
     "scn_intraday_pivot", "roi_sweep", "seg_kpis", "seg_insights", "sql_risk_profile", "sql_collections_topn",
     # scoring and monitoring
-    "sco_validate", "sco_stream", "mon_csi", "mon_tier_table", "mon_policy_rules",
+    "sco_validate", "sco_stream", "sco_stream_windows", "mon_csi", "mon_tier_table", "mon_policy_rules",
 ]
 
 
