@@ -5,11 +5,17 @@ and only classes are joined. A class carries a min-hash signature of 64 places;
 two sets agree in a place with probability equal to their Jaccard similarity.
 
 A run starts with all classes in one node. A node picks `branch` places at random, by a hash of
-its own path; each class goes into the children named by a place and its value there. Similar sets keep sharing a child, others part. Nodes of at most `bucket` classes are
-compared by brute force on the signatures, larger ones split again. A node that is still too large
-at the last level is cut into blocks and every pair of blocks compared, so nothing is dropped. Runs
-are repeated until the chance of losing a pair at the threshold is below `1 - recall`. Candidate
-pairs are then checked on their whole shingle sets.
+its own path; each class goes into the children named by a place and its value there. Similar sets
+keep sharing a child, others part. Nodes of at most `bucket` classes are leaves and compared by
+brute force, larger ones split again. A node that is still too large at the last level is cut into
+blocks and every pair of blocks is a leaf, so nothing is dropped. Runs are repeated until the
+chance of losing a pair at the threshold is below `1 - recall`.
+
+Nodes have a position (run, and choice at each level), the same for all classes. A pair may meet in
+several leaves and belongs to the one at the first position. A first pass over the leaves compares
+signatures and keeps the (leaf, class) rows that own a candidate pair; a second brings the whole
+shingle sets there and counts the true links. Pairs are not emitted: a leaf returns the link
+counts of its classes and the edges of a spanning forest.
 """
 
 from __future__ import annotations
@@ -30,8 +36,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 PLACES = 64
 BRANCH = 2
-BUCKET = 512
-LEVELS = 6
+BUCKET = 1024
+LEVELS = 3
 RECALL = 1 - 1e-6
 # Standard deviations below the expected agreement at which a candidate is still checked.
 SLACK = 4.5
@@ -98,97 +104,145 @@ def _sketched(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, len(n)), *(pa.array(s.view(np.int64)) for s in sums), pa.array(n, pa.int32()),
-                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * PLACES), len(n), [None, pa.py_buffer(marks.tobytes())]).cast(pa.binary()),
+                        *(pa.FixedSizeBinaryArray.from_buffers(pa.binary(m.itemsize * PLACES), len(n), [None, pa.py_buffer(m.tobytes())]).cast(pa.binary()) for m in (marks, marks.astype(np.uint8))),
                     ],
-                    ["id", "s1", "s2", "n", "marks"],
+                    ["id", "s1", "s2", "n", "marks", "short"],
                 )
 
     return run
 
 
-def _children(roots: int, branch: int):
-    """Rows (path, rep, marks) to the rows of their children; `roots` > 0: the start of so many runs instead."""
+def positions(runs: int, branch: int, levels: int) -> list[int]:
+    """The first position of each level, and the number of all positions."""
+    out = [0]
+    for level in range(1, levels + 1):
+        out.append(out[-1] + runs * branch**level)
+    return out
+
+
+def _children(runs: int, branch: int, first: int, start: int):
+    """Rows (path, position, rep, marks) to the rows of their children, whose positions begin at `start`.
+
+    `first` is the first position of the rows; -1 stands for the roots of all runs.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reps = batch.column("rep").to_numpy()
             marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint16).reshape(-1, PLACES)
-            nodes = [arrays.mix(np.full(len(reps), r + 1, np.uint64)) for r in range(roots)] or [batch.column("path").to_numpy().view(np.uint64)]
-            for path in nodes:
+            if first < 0:
+                nodes = [(arrays.mix(np.full(len(reps), r + 1, np.uint64)), np.full(len(reps), r)) for r in range(runs)]
+            else:
+                nodes = [(batch.column("path").to_numpy().view(np.uint64), batch.column("position").to_numpy() - first)]
+            for path, at in nodes:
                 for lo in range(0, len(reps), 1 << 14):
                     part, some = path[lo : lo + (1 << 14)], marks[lo : lo + (1 << 14)]
                     chosen = arrays.mix(part[:, None] ^ _SALTS[None, :])
+                    # the same choices in the same order for all classes of a node
                     place = np.argpartition(chosen, branch - 1, axis=1)[:, :branch].reshape(-1)
                     who = np.repeat(np.arange(len(part)), branch)
                     child = arrays.mix(chosen[who, place] + some[who, place].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(reps[lo + who])], ["path", "rep"])
+                    position = start + at[lo + who] * branch + np.tile(np.arange(branch), len(part))
+                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(position, pa.int32()), pa.array(reps[lo + who])], ["path", "position", "rep"])
 
     return run
 
 
-def _compared(similar: float):
-    """Rows sorted by path to candidate pairs of reps; a path's rows may span batches."""
-    agree = max(1, math.floor(PLACES * similar - SLACK * math.sqrt(PLACES * similar * (1 - similar))))
-
-    def pairs(path, rep, n, marks) -> Iterator[pa.RecordBatch]:
-        live = np.arange(len(path))
-        step = 1
-        while True:
-            live = live[live + step < len(path)]
-            live = live[path[live] == path[live + step]]
-            if not len(live):
-                return
-            other = live + step
-            sized = np.minimum(n[live], n[other]) >= similar * np.maximum(n[live], n[other])
-            a, b = live[sized], other[sized]
-            for lo in range(0, len(a), 1 << 16):
-                x, y = a[lo : lo + (1 << 16)], b[lo : lo + (1 << 16)]
-                ok = (marks[x] == marks[y]).sum(1) >= agree
-                x, y = rep[x[ok]], rep[y[ok]]
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-            step += 1
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by leaf, in tables that hold whole leaves."""
+    held = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        if held is not None:
+            now = pa.concat_tables([held, now])
+        if not len(now):
+            continue
+        leaf = now["leaf"].to_numpy()
+        cut = int(np.searchsorted(leaf, leaf[-1]))
+        if cut:
+            yield now.slice(0, cut).combine_chunks()
+        held = now.slice(cut)
+    if held is not None:
+        yield held.combine_chunks()
+
+
+def _nodes(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """The lists of (position, path) as rows with a path per position, 0 where a class has no leaf."""
+    lists = column.combine_chunks()
+    row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+    entries = lists.flatten()
+    out = np.zeros((len(lists), width), np.int64)
+    out[row, entries.field("position").to_numpy()] = entries.field("path").to_numpy()
+    return out
+
+
+SCALE = 1_000_000  # similarities are compared as whole numbers: no rounding at the threshold
+
+
+def _agreement(similar: float) -> int:
+    return max(1, math.floor(PLACES * similar - SLACK * math.sqrt(PLACES * similar * (1 - similar))))
+
+
+def _owning(similar: float, width: int):
+    """Rows (leaf, position, own, crossed, rep, n, short, nodes) by leaf and size to those that own a candidate pair."""
+    agree, top = _agreement(similar), round(similar * SCALE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, PLACES)]
-            if held is not None:
-                now = [np.concatenate(c) for c in zip(held, now)]
-            if not len(now[0]):
-                continue
-            cut = int(np.searchsorted(now[0], now[0][-1]))
-            yield from pairs(*(c[:cut] for c in now))
-            held = [c[cut:] for c in now]
-        if held is not None:
-            yield from pairs(*held)
+        for rows in _groups(batches):
+            leaf, n, own, position = (rows[c].to_numpy().astype(np.int64) for c in ("leaf", "n", "own", "position"))
+            crossed = rows["crossed"].to_numpy()
+            short = np.frombuffer(b"".join(rows["short"].to_pylist()), np.uint8).reshape(-1, PLACES)
+            nodes = _nodes(rows["nodes"], width)
+            owns, live, step = np.zeros(len(leaf), bool), np.arange(len(leaf)), 1
+            while True:
+                live = live[live + step < len(leaf)]
+                # sizes ascend within a leaf: a partner that is too large stays so
+                live = live[(leaf[live] == leaf[live + step]) & (n[live] * SCALE >= top * n[live + step])]
+                if not len(live):
+                    break
+                x = live[~(owns[live] & owns[live + step]) & (~crossed[live] | (own[live] != own[live + step]))]
+                for lo in range(0, len(x), 1 << 14):
+                    i = x[lo : lo + (1 << 14)]
+                    i = i[(short[i] == short[i + step]).sum(1) >= agree]
+                    shared = (nodes[i] == nodes[i + step]) & (nodes[i] != 0)
+                    mine = i[shared.argmax(1) == position[i]]
+                    owns[mine] = owns[mine + step] = True
+                step += 1
+            kept = rows.select(["leaf", "position", "own", "crossed", "rep"]).filter(pa.array(owns)).combine_chunks()
+            yield from kept.to_batches()
 
     return run
 
 
-def candidates(classes: DataFrame, similar: float, branch: int, bucket: int, levels: int, recall: float) -> DataFrame:
-    """(a, b): pairs of class representatives that some run brought into one small node."""
-    runs = runs_needed(recall, similar, branch, levels)
-    rows = classes.select("rep", "marks").mapInArrow(_children(runs, branch), "path long, rep long")
+def leaves(classes: DataFrame, similar: float, branch: int, bucket: int, levels: int, runs: int) -> DataFrame:
+    """(leaf, path, position, own, crossed, rep): the leaves of all runs that hold two classes or more.
+
+    `leaf` is the path but for nodes cut into blocks, where it names two blocks; `own` is the
+    class's block, and of a `crossed` leaf only pairs of different blocks are compared.
+    """
+    first = positions(runs, branch, levels)
+    schema = "path long, position int, rep long"
+    rows = classes.select("rep", "marks").mapInArrow(_children(runs, branch, -1, 0), schema)
     found = None
     for level in range(levels):
-        rows = materialize(rows.distinct(), "paths")
+        rows = materialize(rows, "paths")
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         sized = rows.join(sizes, "path")
         small, large = sized.filter(F.col("size") <= bucket), sized.filter(F.col("size") > bucket)
+        columns = ["path", "position", "own", "crossed", "rep"]
+        met = small.withColumns({"own": F.lit(0), "crossed": F.lit(False)}).select(F.col("path").alias("leaf"), *columns)
         if level == levels - 1:
             blocks = F.ceil(F.col("size") / bucket).cast("int")
-            own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-            dealt = large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            split_up = dealt.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "rep")
-            small = small.select("path", "rep").union(split_up)
-        leaves = small.select("path", "rep").join(classes.select("rep", "n", "marks"), "rep").select("path", "rep", "n", "marks")
-        met = leaves.repartition("path").sortWithinPartitions("path", "rep").mapInArrow(_compared(similar), "a long, b long").distinct()
-        met = materialize(met, "candidates")
+            dealt = large.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            dealt = dealt.withColumn("crossed", F.col("own") != F.col("other"))
+            met = met.union(dealt.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), *columns))
+        met = materialize(met, "leaves")
         found = met if found is None else found.union(met)
         if level == levels - 1 or large.isEmpty():
             break
-        rows = large.select("path", "rep").join(classes.select("rep", "marks"), "rep").mapInArrow(_children(0, branch), "path long, rep long")
-    return found.distinct()
+        parents = large.select("path", "position", "rep").join(classes.select("rep", "marks"), "rep")
+        rows = parents.mapInArrow(_children(runs, branch, first[level], first[level + 1]), schema)
+    return found
 
 
 def _sets(width: int):
@@ -202,29 +256,71 @@ def _sets(width: int):
     return run
 
 
-def _exact(similar: float):
+def _linked(similar: float, width: int):
+    """Rows with (n, copies, short, nodes, items) by leaf to (u, v, links): v = u with a count, or an edge with -1."""
+    agree, top = _agreement(similar), round(similar * SCALE)
+
+    def one(rep, n, copies, own, crossed: bool, position: int, short, nodes, items) -> Iterator[tuple[int, int, int]]:
+        _, local = np.unique(np.concatenate(items), return_inverse=True)
+        starts = np.cumsum(n) - n
+        holds = np.zeros(int(local.max()) + 1, bool)
+        links, group = np.zeros(len(rep), np.int64), np.arange(len(rep))
+        for i in range(len(rep) - 1):
+            # sizes ascend: partners that are too large come last
+            js = np.arange(i + 1, int(np.searchsorted(n * top, n[i] * SCALE, "right")))
+            if crossed:
+                js = js[own[js] != own[i]]
+            js = js[(short[js] == short[i]).sum(1) >= agree]
+            js = js[((nodes[js] == nodes[i]) & (nodes[i] != 0)).argmax(1) == position]
+            if not len(js):
+                continue
+            mine = local[starts[i] : starts[i] + n[i]]
+            holds[mine] = True
+            places = np.repeat(starts[js], n[js]) + arrays.runs(n[js])
+            common = np.add.reduceat(holds[local[places]], np.cumsum(n[js]) - n[js], dtype=np.int64)
+            holds[mine] = False
+            js = js[common * SCALE >= top * (n[i] + n[js] - common)]
+            links[i] += copies[js].sum()
+            links[js] += copies[i]
+            for g in np.unique(group[js]).tolist():
+                if g != group[i]:
+                    yield rep[i], rep[js[np.argmax(group[js] == g)]], -1
+                    group[group == g] = group[i]
+        for i in np.flatnonzero(links).tolist():
+            yield rep[i], rep[i], links[i]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
-                common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-                # whole numbers on both sides: no rounding at the threshold
-                keep.append(common * 1_000_000 >= round(similar * 1_000_000) * (len(x) + len(y) - common))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+        for rows in _groups(batches):
+            leaf, rep, n, copies, own, position = (rows[c].to_numpy().astype(np.int64) for c in ("leaf", "rep", "n", "copies", "own", "position"))
+            crossed = rows["crossed"].to_numpy()
+            short = np.frombuffer(b"".join(rows["short"].to_pylist()), np.uint8).reshape(-1, PLACES)
+            nodes = _nodes(rows["nodes"], width)
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["items"].combine_chunks()]
+            bounds = np.concatenate([[0], np.flatnonzero(np.diff(leaf)) + 1, [len(leaf)]]).tolist()
+            out: list[tuple[int, int, int]] = []
+            for a, b in zip(bounds, bounds[1:]):
+                out += one(rep[a:b], n[a:b], copies[a:b], own[a:b], bool(crossed[a:b].any()), int(position[a]), short[a:b], nodes[a:b], items[a:b])
+            u, v, links = (np.array(c, np.int64) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(links)], ["u", "v", "links"])
 
     return run
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, similar: float) -> DataFrame:
-    """The pairs whose whole shingle sets reach the similarity."""
-    ends = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
-    some = runtime.only_slots_of(docs, "id", ends, "id").join(ends, "id", "left_semi")
-    sets = materialize(some.mapInArrow(_sets(width), "id long, items binary").dropDuplicates(["id"]), "sets")
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_exact(similar), "a long, b long")
+def linked(docs: DataFrame, classes: DataFrame, leaf: DataFrame, size: int, width: int, similar: float) -> DataFrame:
+    """(u, v, links): per leaf the exact link counts of its classes (u = v), and the edges of a spanning forest (links -1).
+
+    `width` is the number of positions, `size` the words of a shingle.
+    """
+    lists = leaf.select("rep", "position", "path").distinct().groupBy("rep").agg(F.collect_list(F.struct("position", "path")).alias("nodes"))
+    known = materialize(classes.select("rep", "n", "copies", "short").join(lists, "rep"), "leaf-lists")
+    met = leaf.drop("path").join(known.drop("copies"), "rep").repartition("leaf").sortWithinPartitions("leaf", "n", "rep")
+    owned = met.select("leaf", "position", "own", "crossed", "rep", "n", "short", "nodes").mapInArrow(_owning(similar, width), "leaf long, position int, own int, crossed boolean, rep long")
+    owners = materialize(owned, "owners")
+    ends = owners.select("rep").distinct()
+    some = runtime.only_slots_of(docs, "id", ends, "rep").join(ends, F.col("id") == F.col("rep"), "left_semi")
+    sets = some.mapInArrow(_sets(size), "id long, items binary").dropDuplicates(["id"])
+    full = owners.join(known, "rep").join(sets, F.col("rep") == F.col("id")).drop("id")
+    return materialize(full.repartition("leaf").sortWithinPartitions("leaf", "n", "rep").mapInArrow(_linked(similar, width), "u long, v long, links long"), "links")
 
 
 def near_duplicates(
@@ -241,14 +337,15 @@ def near_duplicates(
     """
     runtime.prepare(docs.sparkSession)
     docs = _identified(docs)
-    sketches = materialize(docs.mapInArrow(_sketched(width), "id long, s1 long, s2 long, n int, marks binary"), "sketches")
+    sketches = materialize(docs.mapInArrow(_sketched(width), "id long, s1 long, s2 long, n int, marks binary, short binary"), "sketches")
     worded = sketches.filter("n > 0")
-    classes = materialize(worded.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("marks").alias("marks")), "classes")
-    pairs = materialize(candidates(classes, similar, branch, bucket, levels, recall), "pairs")
-    links = materialize(verified(docs, pairs, width, similar), "links")
-    both = links.union(links.select("b", "a"))
-    counts = both.join(classes.select(F.col("rep").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    group = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    per_class = worded.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("marks").alias("marks"), F.min("short").alias("short"))
+    classes = materialize(per_class, "classes")
+    runs = runs_needed(recall, similar, branch, levels)
+    leaf = leaves(classes, similar, branch, bucket, levels, runs)
+    links = linked(docs, classes, leaf, width, positions(runs, branch, levels)[-1], similar)
+    counts = links.filter("links >= 0").groupBy(F.col("u").alias("a")).agg(F.sum("links").alias("others"))
+    group = components(links.filter("links < 0").select("u", "v"))
     facts = (
         classes.join(counts, classes["rep"] == counts["a"], "left").join(group, classes["rep"] == group["node"], "left")
         .select("s1", "s2", "n", "rep", F.coalesce("component", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
