@@ -11,6 +11,7 @@ from lendmill.operators.joins import concat_rows, union_counts
 from lendmill.operators.scoring import fit_tiers
 from lendmill.plans.portfolio import base, predictions, with_tier
 from lendmill.plans.registry import query
+from lendmill.plans.woe_queries import _woe_sql
 from lendmill.session import shared_path
 from lendmill.sources import artifacts, readers, schemas, writers
 from lendmill.sources.domain import Domain
@@ -70,10 +71,18 @@ def src_first_existing(dom: Domain) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("sum_key"))
 
 
-@query("src_json_maps")
+_MAPS = f"""
+    SELECT 'woe' AS artifact, feature || '/' || bin AS item, woe AS value FROM ({_woe_sql('base_app', ['credit_income_ratio', 'code_gender'], 'is_train = 1')})
+    UNION ALL SELECT 'stats', 'credit_income_ratio', median(credit_income_ratio) FROM base_app WHERE is_train = 1
+    UNION ALL SELECT 'stats', 'credit_term', median(credit_term) FROM base_app WHERE is_train = 1
+    UNION ALL SELECT 'tiers', 'edge0', 0e0 UNION ALL SELECT 'tiers', 'edge1', q[1] FROM tier_marks UNION ALL SELECT 'tiers', 'edge2', q[2] FROM tier_marks
+    UNION ALL SELECT 'tiers', 'edge3', q[3] FROM tier_marks UNION ALL SELECT 'tiers', 'edge4', 1e0"""
+
+
+@query("src_json_maps", sql=_MAPS, digits={"value": 7})
 def src_json_maps(dom: Domain) -> DataFrame:
-    """WoE map, feature statistics and tier edges written as JSON and read back as one flat table."""
-    rows = base(dom)
+    """WoE map, feature statistics and tier edges of the train rows, written as JSON and read back as one flat table."""
+    rows = base(dom).filter("is_train = 1")
     features = ["credit_income_ratio", "code_gender"]
     paths = {k: shared_path(dom.spark, k) for k in ("woe", "stats", "tiers")}
     artifacts.save_json(woe.fit_woe(rows, features), paths["woe"])
