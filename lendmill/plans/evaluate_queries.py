@@ -74,7 +74,13 @@ def eva_class_metrics(dom: Domain) -> DataFrame:
 
 
 _HASH = "(sk_id_curr * 48271) % 2147483647"
-FOLDS = f"""SELECT *, ((row_number() OVER (PARTITION BY target ORDER BY {_HASH}, sk_id_curr) - 1) % 5)::INTEGER AS fold FROM application"""
+
+
+def folds_sql(source: str) -> str:
+    return f"SELECT *, ((row_number() OVER (PARTITION BY target ORDER BY {_HASH}, sk_id_curr) - 1) % 5)::INTEGER AS fold FROM {source}"
+
+
+FOLDS = folds_sql("application")
 _FOLD_ROC = f"""SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY fold) AS p, sum(neg) OVER (PARTITION BY fold) AS n
   FROM (SELECT fold, pred_prob AS score, count(*) FILTER (WHERE target = 1) AS pos, count(*) FILTER (WHERE target = 0) AS neg FROM ({FOLDS}) GROUP BY fold, pred_prob)
   WINDOW w AS (PARTITION BY fold ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lendmill.operators import explain, pd_model, scoring
 from lendmill.operators.quantiles import median
 from lendmill.params import SearchSpace
+from lendmill.plans.evaluate_queries import folds_sql
 from lendmill.plans.portfolio import base
 from lendmill.plans.registry import query
 from lendmill.session import materialize
@@ -101,7 +102,24 @@ def mod_winner_scored(dom: Domain) -> DataFrame:
     return test.select("sk_id_curr", F.lit(winner).alias("model"), "pred_prob", "pd_calibrated", scoring.assign_tier(F.col("pd_calibrated"), edges).alias("risk_tier"))
 
 
-@query("mod_calibrate")
+# Isotonic fit in closed form over the distinct scores: max over a <= i of min over b >= i of the mean of a..b;
+# other scores lie on the line between their neighbours.
+_ISOTONIC = f"""
+    WITH fitted AS (SELECT score, n, row_number() OVER (ORDER BY score) AS i, sum(n) OVER w AS cn, sum(bad) OVER w AS cb, bad FROM (
+        SELECT pred_prob AS score, count(*)::DOUBLE AS n, sum(target)::DOUBLE AS bad FROM (
+          SELECT a.*, fold FROM application a JOIN ({folds_sql('(SELECT * FROM application WHERE is_train = 1)')}) f ON f.sk_id_curr = a.sk_id_curr) WHERE fold <> 0 GROUP BY 1)
+      WINDOW w AS (ORDER BY score ROWS UNBOUNDED PRECEDING)),
+    means AS (SELECT a.i AS a, b.i AS b, (b.cb - a.cb + a.bad) / (b.cn - a.cn + a.n) AS m FROM fitted a JOIN fitted b ON a.i <= b.i),
+    lows AS (SELECT a, b AS i, min(m) OVER (PARTITION BY a ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS low FROM means),
+    curve AS (SELECT f.score, max(l.low) AS y FROM lows l JOIN fitted f ON f.i = l.i GROUP BY f.score),
+    scores AS (SELECT DISTINCT pred_prob AS s FROM application),
+    near AS (SELECT s, (SELECT max(score) FROM curve WHERE score <= s) AS lo, (SELECT min(score) FROM curve WHERE score >= s) AS hi FROM scores),
+    line AS (SELECT s, CASE WHEN lo IS NULL THEN h.y WHEN hi IS NULL OR lo = hi THEN l.y ELSE l.y + (h.y - l.y) * (s - lo) / (hi - lo) END AS y
+      FROM near LEFT JOIN curve l ON l.score = lo LEFT JOIN curve h ON h.score = hi)
+    SELECT sk_id_curr, target, pred_prob, least(greatest(y, 0e0), 1e0) AS pd_calibrated FROM application JOIN line ON s = pred_prob"""
+
+
+@query("mod_calibrate", sql=f"SELECT * FROM ({_ISOTONIC})", digits={"pd_calibrated": 8})
 def mod_calibrate(dom: Domain) -> DataFrame:
     """Isotonic calibration of the given scores, fitted on 80 % of the train rows, applied to all."""
     rows = dom.application.select("sk_id_curr", "is_train", "target", "pred_prob")
