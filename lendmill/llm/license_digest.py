@@ -8,6 +8,8 @@ in part. Everything is built-in SQL functions.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,7 @@ KNOWN = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
 )
 COPYRIGHT_LINE = r"(?m)^[^\n]*(copyright \(c\)|copyright ©|copyright [0-9]{4}|©|all rights reserved)[^\n]*$"
+FIRST_WORD = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
 SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -72,6 +75,21 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def first_word(text: Column) -> Column:
+    """The first word of a line's canonical form before equal spellings are replaced; only the line's start is read."""
+    return F.translate(F.regexp_extract(text, FIRST_WORD, 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def first_words(known=KNOWN) -> list[str]:
+    """The words that a line equal to a known text may begin with, in any of the equivalent spellings."""
+    found = {re.search(FIRST_WORD, text)[1].lower() for _, text in known}
+    while True:
+        more = found | {word.split()[0] for pair in SPELLINGS for word in pair if pair[0].split()[0] in found or pair[1].split()[0] in found}
+        if more == found:
+            return sorted(found)
+        found = more
+
+
 def known_digests(spark, known=KNOWN) -> DataFrame:
     """(digest, license_id): one row per distinct canonical text; the least id where two share it."""
     rows = spark.createDataFrame(list(known), "license_id string, text string")
@@ -82,7 +100,8 @@ def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
     """Per row: doc_id, text_digest, license_id (whole text), n_license_lines, line_licenses.
 
     `license_id` is null where the whole text is no known licence; `line_licenses` lists the
-    distinct licences of whole lines, sorted and comma-joined (empty where none). A null or empty
+    distinct licences of whole lines, sorted and comma-joined (empty where none). Only lines that
+    begin like a known text are brought into canonical form, which decides nothing by itself. A null or empty
     text has the digest of the empty form and no licence. Repeated rows repeat their result; ids
     may be null or repeat; other columns are ignored. The known texts are a constant of the code,
     so their table is bounded and broadcast.
@@ -90,7 +109,7 @@ def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
     digests = F.broadcast(known_digests(docs.sparkSession, known))
     rows = docs.select(F.col("doc_id").alias("id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
-    lines = rows.select("id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line", "words"))
+    lines = rows.select("id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line", "words")).filter(first_word(F.col("words")).isin(first_words(known)))
     matched = lines.withColumn("digest", digest(F.col("words"))).join(digests, "digest")
     # a row that repeats has the same lines at the same places
     per_text = matched.groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).agg(
