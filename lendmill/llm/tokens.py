@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 
 from lendmill.llm import arrays
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 WORDS_PER_CALL = 256
-SLICE_BYTES = 3 << 22
+SLICE_BYTES = 1 << 23
 # The marks that end a sentence, as whole pieces of the vocabulary.
 SENTENCE_MARKS = (".", "!", "?", "...", "!!", "!!!", "??", '."', '!"', '?"')
 WORD_END = "</w>"
@@ -135,6 +135,8 @@ class Encoder:
             for row, n in enumerate(sizes.tolist(), first):
                 yield row, flat[at : at + n]
                 at += n
+            # the pool would keep the slice's buffers beside those of the next
+            pa.default_memory_pool().release_unused()
 
 
 @lru_cache(maxsize=2)
