@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text handled at once inside a task; one longer text is one slice of its own.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 WORDS_AT_ONCE = 1 << 18
 
 # Odd multipliers of the two independent hashes: bytes of a word, words of a window.
@@ -62,6 +62,8 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         lo, hi = int(offsets[first]), int(offsets[end])
         yield first, end, data[lo:hi], offsets[first : end + 1] - lo
         first = end
+    # the pool would keep this batch's buffers beside those of the next
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -125,16 +125,28 @@ def _scored(evidence: Evidence):
     return run
 
 
+def _placed(known: np.ndarray):
+    """(text, junk, bad) to the places of the text's tokens among the known ones, a constant last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, tokens, bounds in _tokens(arrays.text_array(batch.column(0))):
+                place = np.minimum(np.searchsorted(known, tokens), max(len(known) - 1, 0))
+                hit = known[place] == tokens if len(known) else np.zeros(len(tokens), bool)
+                lists = [np.append(place[x:y][hit[x:y]], len(known)).astype(np.int32) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                rest = [batch.column(i).slice(row, len(lists)) for i in (1, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32())), *rest], ["places", "junk", "bad"])
+
+    return run
+
+
 def _fitted(known: np.ndarray):
-    """The sample in one task (its size is bounded by a parameter) to the weights of both faults."""
+    """The sample's token places in one task (bounded by the sample's and the model's size) to the weights of both faults."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        texts = arrays.text_array(rows["text"])
-        examples = []
-        for _, tokens, bounds in _tokens(texts):
-            place = np.minimum(np.searchsorted(known, tokens), len(known) - 1) if len(known) else np.zeros(len(tokens), int)
-            hit = known[place] == tokens if len(known) else np.zeros(len(tokens), bool)
-            examples += [np.append(place[a:b][hit[a:b]], len(known)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        lists = rows["places"].combine_chunks()
+        places, ends = lists.flatten().to_numpy(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        examples = [places[x:y] for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
         order = np.random.default_rng(0).permutation(len(examples))
         out = np.zeros((len(known) + 1, 2))
         for k, fault in enumerate(("junk", "bad")):
@@ -194,7 +206,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMPLE_LABELS
     found = kept.orderBy(F.desc("gain"), "token").limit(MODEL_TOKENS).collect()
     found = sorted(found, key=lambda r: r["token"] % (1 << 64))
     tokens = np.array([r["token"] % (1 << 64) for r in found], np.uint64)
-    weights = fit.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fitted(tokens), "weights binary").first()
+    placed = fit.mapInArrow(_placed(tokens), "places array<int>, junk int, bad int").withColumn("all", F.lit(0))
+    weights = placed.groupBy("all").applyInArrow(_fitted(tokens), "weights binary").first()
     evidence = Evidence(tokens, np.frombuffer(weights["weights"], np.float64).reshape(-1, 2)) if weights else Evidence(tokens, np.zeros((len(tokens), 2)))
     left = rows.filter("fold = 0").select("text", "junk", "bad").mapInArrow(_scored(evidence), "junk int, bad int, junk_sum double, toxic_sum double").collect()
     fits = []
