@@ -15,9 +15,16 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 SLOTS = 1 << 20
 
 
+# Large arrays are mapped and given back when freed, so that a worker which is used again for the
+# next stage does not keep the heap of the last one.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed (same path on each node)."""
+    """Let Python workers import this package where it is not installed (same path on each node) and give memory back."""
     environment = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     known = environment.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, known) if p)
