@@ -34,6 +34,11 @@ def slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
 
 
+def row_key(*columns: Column) -> Column:
+    """A hash of the columns that make a document what it is: an id may be null or stand for several texts."""
+    return F.xxhash64(*columns)
+
+
 def only_slots_of(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
     """Rows of `df` whose key may be among the wanted keys, found without shuffling `df`.
 

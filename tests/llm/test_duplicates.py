@@ -202,3 +202,15 @@ def test_filters_by_id(spark):
     assert left.columns == docs.columns
     assert left.count() == sum(r[0] not in (None, 6, 10) for r in rows)
     assert runtime.once(docs, "doc_id", ["doc_id", "text"]).count() == len({(r[0], r[1]) for r in rows})
+
+
+def test_repeats_of_texts_that_share_an_id(spark):
+    rnd = random.Random(5)
+    shared = sentence(rnd, 25)
+    rows = [(i, sentence(rnd, 60), "en", "s") for i in (None, None, 3, 3)]
+    rows += [(i, f"{sentence(rnd, 10)} from{k} {shared} to{k} {sentence(rnd, 10)}", "en", "s") for k, i in enumerate((None, None, 7, 7))]
+    got = {}
+    for r in difference_cover.remove_repeats(frame(spark, rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["n_words"], r["n_removed"]))
+    assert sorted(got[None]) == [(47, 0), (47, 25), (60, 0), (60, 0)]
+    assert sorted(got[3]) == [(60, 0), (60, 0)] and sorted(got[7]) == [(47, 25), (47, 25)]
