@@ -82,13 +82,15 @@ def _shingles(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)).alias("id"), docs["text"].cast("string").alias("text"))
+    """(id, row, text): `row` tells texts of one id apart."""
+    named = docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)).alias("id"), docs["text"].cast("string").alias("text"))
+    return named.select("id", runtime.row_key(F.col("id"), F.col("text")).alias("row"), "text")
 
 
 def _sketched(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = arrays.text_array(batch.column(1))
+            texts = arrays.text_array(batch.column(2))
             for row, hashes, offsets in _shingles(texts, width):
                 n = np.diff(offsets)
                 full = np.flatnonzero(n)
@@ -103,10 +105,10 @@ def _sketched(width: int):
                         marks[full, p] = arrays.mix(least) >> np.uint64(48)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(row, len(n)), *(pa.array(s.view(np.int64)) for s in sums), pa.array(n, pa.int32()),
+                        *(batch.column(c).slice(row, len(n)) for c in (0, 1)), *(pa.array(s.view(np.int64)) for s in sums), pa.array(n, pa.int32()),
                         *(pa.FixedSizeBinaryArray.from_buffers(pa.binary(m.itemsize * PLACES), len(n), [None, pa.py_buffer(m.tobytes())]).cast(pa.binary()) for m in (marks, marks.astype(np.uint8))),
                     ],
-                    ["id", "s1", "s2", "n", "marks", "short"],
+                    ["id", "row", "s1", "s2", "n", "marks", "short"],
                 )
 
     return run
@@ -251,7 +253,7 @@ def _sets(width: int):
             for row, hashes, offsets in _shingles(arrays.text_array(batch.column(1)), width):
                 raw = hashes.tobytes()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.array(sets, pa.binary())], ["id", "items"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.array(sets, pa.binary())], ["rep", "items"])
 
     return run
 
@@ -316,43 +318,59 @@ def linked(docs: DataFrame, classes: DataFrame, leaf: DataFrame, size: int, widt
     met = leaf.drop("path").join(known.drop("copies"), "rep").repartition("leaf").sortWithinPartitions("leaf", "n", "rep")
     owned = met.select("leaf", "position", "own", "crossed", "rep", "n", "short", "nodes").mapInArrow(_owning(similar, width), "leaf long, position int, own int, crossed boolean, rep long")
     owners = materialize(owned, "owners")
-    ends = owners.select("rep").distinct()
-    some = runtime.only_slots_of(docs, "id", ends, "rep").join(ends, F.col("id") == F.col("rep"), "left_semi")
-    sets = some.mapInArrow(_sets(size), "id long, items binary").dropDuplicates(["id"])
-    full = owners.join(known, "rep").join(sets, F.col("rep") == F.col("id")).drop("id")
+    ends = materialize(classes.select("rep", "least.id", "least.row").join(owners.select("rep").distinct(), "rep", "left_semi"), "owning-classes")
+    some = runtime.only_slots_of(docs, "row", ends, "row").join(ends, ["id", "row"]).select("rep", "text")
+    sets = some.mapInArrow(_sets(size), "rep long, items binary").dropDuplicates(["rep"])
+    full = owners.join(known, "rep").join(sets, "rep")
     return materialize(full.repartition("leaf").sortWithinPartitions("leaf", "n", "rep").mapInArrow(_linked(similar, width), "u long, v long, links long"), "links")
 
 
-def near_duplicates(
+def judged(
     docs: DataFrame, width: int = SHINGLE, similar: float = SIMILAR, branch: int = BRANCH, bucket: int = BUCKET, levels: int = LEVELS, recall: float = RECALL
 ) -> DataFrame:
-    """Per document: doc_id, class_id, n_links, copy_of, n_shingles.
+    """The columns of `near_duplicates`, the row's key (`row`) and whether it is the first of its linked rows (`kept`).
 
-    Words are lower-cased (A-Z) runs of letters, digits and everything beyond ASCII; a text of
-    fewer words than a shingle is one shingle; a null text or one without words links with
-    nothing. `n_links` counts the other documents with similarity >= `similar`, copies included;
-    `class_id` is the smallest doc_id reachable by links and `copy_of` the smallest with the same
-    shingles. A null id counts as the smallest. Rows that repeat an id are documents of their own
-    (an id stands for one text). An empty table gives no row; other columns are ignored.
+    A class is named by a number of its own, so that classes whose smallest ids are equal stay
+    apart; ids are labels. Of linked rows the first is the one with the smallest (id, row).
     """
     runtime.prepare(docs.sparkSession)
     docs = _identified(docs)
-    sketches = materialize(docs.mapInArrow(_sketched(width), "id long, s1 long, s2 long, n int, marks binary, short binary"), "sketches")
+    sketches = materialize(docs.mapInArrow(_sketched(width), "id long, row long, s1 long, s2 long, n int, marks binary, short binary"), "sketches")
     worded = sketches.filter("n > 0")
-    per_class = worded.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("marks").alias("marks"), F.min("short").alias("short"))
-    classes = materialize(per_class, "classes")
+    per_class = worded.groupBy("s1", "s2", "n").agg(F.min(F.struct("id", "row")).alias("least"), F.count(F.lit(1)).alias("copies"), F.min("marks").alias("marks"), F.min("short").alias("short"))
+    # written once and read from there, so the numbers stay
+    classes = materialize(per_class.withColumn("rep", F.monotonically_increasing_id()), "classes")
     runs = runs_needed(recall, similar, branch, levels)
     leaf = leaves(classes, similar, branch, bucket, levels, runs)
     links = linked(docs, classes, leaf, width, positions(runs, branch, levels)[-1], similar)
     counts = links.filter("links >= 0").groupBy(F.col("u").alias("a")).agg(F.sum("links").alias("others"))
     group = components(links.filter("links < 0").select("u", "v"))
+    named = materialize(classes.select("rep", "least").join(group, F.col("rep") == F.col("node")).select("rep", "least", "component"), "components")
+    firsts = named.groupBy("component").agg(F.min("least").alias("first"))
+    group = named.join(firsts, "component").select(F.col("rep").alias("node"), "first")
     facts = (
         classes.join(counts, classes["rep"] == counts["a"], "left").join(group, classes["rep"] == group["node"], "left")
-        .select("s1", "s2", "n", "rep", F.coalesce("component", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        .select("s1", "s2", "n", "least", F.coalesce("first", "least").alias("first"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     )
     out = sketches.join(facts, ["s1", "s2", "n"], "left")
     real = lambda c: F.when(c != NULL_ID, c)
     return out.select(
-        real(F.col("id")).alias("doc_id"), real(F.coalesce("class_id", "id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        real(F.coalesce("rep", "id")).alias("copy_of"), F.col("n").cast("bigint").alias("n_shingles"),
+        real(F.col("id")).alias("doc_id"), real(F.coalesce("first.id", "id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        real(F.coalesce("least.id", "id")).alias("copy_of"), F.col("n").cast("bigint").alias("n_shingles"),
+        "row", F.coalesce(F.struct("id", "row") == F.col("first"), F.lit(True)).alias("kept"),
     )
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = SHINGLE, similar: float = SIMILAR, branch: int = BRANCH, bucket: int = BUCKET, levels: int = LEVELS, recall: float = RECALL
+) -> DataFrame:
+    """Per document: doc_id, class_id, n_links, copy_of, n_shingles.
+
+    Words are lower-cased (A-Z) runs of letters, digits and everything beyond ASCII; a text of
+    fewer words than a shingle is one shingle; a null text or one without words links with
+    nothing. `n_links` counts the other documents with similarity >= `similar`, copies included;
+    `class_id` is the smallest doc_id reachable by links and `copy_of` the smallest with the same
+    shingles. A null id counts as the smallest. Rows that repeat an id are documents of their own,
+    with the same text or another. An empty table gives no row; other columns are ignored.
+    """
+    return judged(docs, width, similar, branch, bucket, levels, recall).drop("row", "kept")

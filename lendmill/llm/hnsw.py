@@ -315,18 +315,20 @@ def near_vectors(
 
     A vector that is null, empty, zero or holds a null or non-finite value links with nothing, as
     do vectors of different lengths. Rows with equal vectors link with each other; each row counts
-    as a vector, also where ids repeat. A null id counts as the smallest. Ties at the threshold
-    link. An empty table gives no row; other columns are ignored.
+    as a vector, also where ids repeat. A null id counts as the smallest. Of
+    linked vectors the one with the smallest id is kept, and where vectors share that id the one
+    with the least digest. Ties at the threshold link. An empty table gives no row; other columns are ignored.
     """
     runtime.prepare(vectors.sparkSession)
     named = vectors.select(F.coalesce(vectors[id_column].cast("bigint"), F.lit(NULL_ID)).alias("id"), vectors[vector_column].alias("vector"))
     rows = materialize(named.mapInArrow(_prepared, "id long, dims int, digest string, vector binary"), "vectors")
-    classes = rows.filter("dims > 0").groupBy("digest", "dims").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("vector").alias("vector"))
-    classes = materialize(classes, "vector-classes")
+    classes = rows.filter("dims > 0").groupBy("digest", "dims").agg(F.min(F.struct("id", "digest")).alias("least"), F.count(F.lit(1)).alias("copies"), F.min("vector").alias("vector"))
+    # a class has a number of its own, written once: the smallest ids of two classes may be equal
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     n = classes.count()
     shards, blocks = max(least_shards, -(-n // shard_rows)), max(1, -(-n // block_rows))
-    own = F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
-    block = F.pmod(F.xxhash64("rep", F.lit(2)), F.lit(blocks)).cast("int").alias("block")
+    own = F.pmod(F.xxhash64("digest", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
+    block = F.pmod(F.xxhash64("digest", F.lit(2)), F.lit(blocks)).cast("int").alias("block")
     columns = ["rep", "copies", "dims", "vector"]
     stored = classes.select(own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), *columns)
     asked = classes.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block, *columns)
@@ -334,10 +336,13 @@ def near_vectors(
     met = materialize(met, "vector-links")
     counts = met.filter("links >= 0").groupBy("u").agg(F.sum("links").alias("others"))
     group = components(met.filter("links < 0").select("u", "v"))
+    named = materialize(classes.select("rep", "least").join(group, F.col("rep") == F.col("node")).select("rep", "least", "component"), "vector-components")
+    firsts = named.groupBy("component").agg(F.min("least").alias("first"))
+    group = named.join(firsts, "component").select(F.col("rep").alias("node"), "first")
     facts = classes.join(counts, classes["rep"] == counts["u"], "left").join(group, classes["rep"] == group["node"], "left").select(
-        "digest", F.col("dims").alias("d"), F.coalesce("component", "rep").alias("least"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+        "digest", F.col("dims").alias("d"), F.coalesce("first", "least").alias("least"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
-    out = rows.join(facts, (rows["digest"] == facts["digest"]) & (rows["dims"] == facts["d"]), "left")
-    least = F.coalesce("least", "id")
+    out = rows.join(facts, (rows["digest"] == facts["digest"]) & (rows["dims"] == facts["d"]), "left").select("id", rows["digest"], "n_links", "least")
+    kept = F.coalesce(F.struct("id", "digest") == F.col("least"), F.lit(True))
     real = lambda c: F.when(c != NULL_ID, c)
-    return out.select(real(F.col("id")).alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), real(least).alias("component_id"), (F.col("id") == least).alias("kept"))
+    return out.select(real(F.col("id")).alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), real(F.coalesce("least.id", "id")).alias("component_id"), kept.alias("kept"))

@@ -214,3 +214,30 @@ def test_repeats_of_texts_that_share_an_id(spark):
         got.setdefault(r["doc_id"], []).append((r["n_words"], r["n_removed"]))
     assert sorted(got[None]) == [(47, 0), (47, 25), (60, 0), (60, 0)]
     assert sorted(got[3]) == [(60, 0), (60, 0)] and sorted(got[7]) == [(47, 25), (47, 25)]
+
+
+def test_join_where_ids_are_null_or_repeat(spark):
+    rnd = random.Random(11)
+    texts = [sentence(rnd, 60) for _ in range(5)]
+    near = [" ".join(["changed", *t.split()[1:]]) for t in texts]
+    ids = [None, None, 7, 7, 7]
+    rows = [(i, t, "en", "s") for i, t in zip(ids, texts)] + [(20 + k, t, "en", "s") for k, t in enumerate(near)]
+    rows += [(30, texts[0], "en", "s"), (31, texts[2], "en", "s"), (None, near[1], "en", "s")]
+    links = plain_links(rows)
+    for bucket, levels in ((512, 6), (2, 2)):
+        got = chosen_path.near_duplicates(frame(spark, rows), bucket=bucket, levels=levels).collect()
+        key = lambda r: tuple(-1 if x is None else x for x in r)
+        assert sorted(key((r["doc_id"], r["n_links"])) for r in got) == sorted(key((rows[i][0], len(js))) for i, js in links.items())
+        assert {r["doc_id"]: r["class_id"] for r in got if r["doc_id"] in (20, 21, 22, 23, 24, 30, 31)} == {20: None, 21: None, 22: 7, 23: 7, 24: 7, 30: None, 31: 7}
+    kept = chosen_path.judged(frame(spark, rows)).filter("kept").collect()
+    assert sorted(key((r["doc_id"],)) for r in kept) == [(-1,), (-1,), (7,), (7,), (7,)]
+
+
+def test_vectors_where_ids_are_null_or_repeat(spark):
+    base = np.eye(8)
+    rows = [(None, base[0] + 0.05 * base[5]), (None, base[0]), (None, base[2]), (7, base[3]), (7, base[4]), (8, base[3] + 0.05 * base[6]), (9, base[4] + 0.05 * base[6])]
+    got = hnsw.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>"))
+    want = [(None, 1, None), (None, 1, None), (None, 0, None), (7, 1, 7), (7, 1, 7), (8, 1, 7), (9, 1, 7)]
+    got = got.collect()
+    assert sorted(map(str, ((r["vec_id"], r["n_links"], r["component_id"]) for r in got))) == sorted(map(str, want))
+    assert sorted(str(r["vec_id"]) for r in got if r["kept"]) == ["7", "7", "None", "None"]
