@@ -1,17 +1,22 @@
 """A corpus pipeline of five stages, each one operator over all documents that the stage before kept.
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of `documents`; the
-last returns the packed pieces. Rows that repeat a doc_id share a decision; a null doc_id counts as
-an id; an empty table passes through.
+last returns the packed pieces. A decision holds for the rows it was made on, named by a hash of what
+decides (id, text, site), so that rows that share an id, null too, are judged each by their own; an
+empty table passes through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lendmill.llm import chosen_path, packing, positional_index, runtime, secret_automaton, site_quality
 from lendmill.session import materialize
 
+# The column that names rows inside a stage.
+ROW = "_row"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -19,21 +24,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects (low quality or toxic) go."""
-    judged = site_quality.classify(docs, _table(spark, sf_dir, "labels"))
-    return runtime.without(docs, "doc_id", judged.filter("rejected").select("doc_id"))
+    keyed = docs.withColumn(ROW, runtime.row_key(*(F.col(c) for c in ("doc_id", "text", "source", "lang"))))
+    judged = site_quality.classify(keyed, _table(spark, sf_dir, "labels"), row=ROW)
+    return runtime.without(keyed, ROW, judged.filter("rejected").select(ROW)).drop(ROW)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays, and one of equal rows."""
-    found = chosen_path.near_duplicates(docs)
-    first = runtime.without(docs, "doc_id", found.filter("NOT (doc_id <=> class_id)").select("doc_id"))
-    return runtime.once(first, "doc_id", ["doc_id", "text"])
+    keyed = docs.withColumn(ROW, chosen_path.document_key(docs))
+    first = runtime.without(keyed, ROW, chosen_path.judged(docs).filter("NOT kept").select("row"))
+    return runtime.once(first, ROW, ["doc_id", "text"]).drop(ROW)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    found = positional_index.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    return runtime.without(docs, "doc_id", found.filter("n_hit > 0").select("doc_id"))
+    keyed = docs.withColumn(ROW, chosen_path.document_key(docs))
+    found = positional_index.decontaminate(keyed.select(F.col(ROW).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
+    return runtime.without(keyed, ROW, found.filter("n_hit > 0").select("doc_id")).drop(ROW)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

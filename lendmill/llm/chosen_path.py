@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.llm import arrays, runtime
@@ -81,10 +81,18 @@ def _shingles(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np
         yield row, hashes, np.searchsorted(owner, np.arange(end - row + 1))
 
 
+def _id(docs: DataFrame) -> Column:
+    return F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID))
+
+
+def document_key(docs: DataFrame) -> Column:
+    """The `row` of `judged` for each row of `docs`."""
+    return runtime.row_key(_id(docs), docs["text"].cast("string"))
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     """(id, row, text): `row` tells texts of one id apart."""
-    named = docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NULL_ID)).alias("id"), docs["text"].cast("string").alias("text"))
-    return named.select("id", runtime.row_key(F.col("id"), F.col("text")).alias("row"), "text")
+    return docs.select(_id(docs).alias("id"), document_key(docs).alias("row"), docs["text"].cast("string").alias("text"))
 
 
 def _sketched(width: int):

@@ -245,8 +245,8 @@ def _strength(rates: DataFrame) -> float:
     return float(min(max(within / between - 1, 2.0), 1e6)) if between > 0 else 1e6
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", limit: float = 0.5, sample_labels: int = SAMPLE_LABELS) -> DataFrame:
-    """Per row: doc_id, p_low_quality, p_toxic, host_rate, path_rate, p_fault, rejected.
+def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", limit: float = 0.5, sample_labels: int = SAMPLE_LABELS, row: str | None = None) -> DataFrame:
+    """Per row: doc_id, p_low_quality, p_toxic, host_rate, path_rate, p_fault, rejected, and the bigint column `row` if one is named.
 
     `path` names the part of the host that a document belongs to; null hosts and paths are groups
     of their own. A null text is empty and judged by its shape and site. A label table that names
@@ -256,8 +256,9 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     runtime.prepare(docs.sparkSession)
     evidence = learn(docs, labels, sample_labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    plain = docs.select(docs["text"].cast("string").alias("text"), docs["doc_id"], F.coalesce(docs[host].cast("string"), F.lit("")).alias("host"), F.coalesce(docs[path].cast("string"), F.lit("")).alias("path"))
-    scored = plain.mapInArrow(_scored(evidence), f"doc_id {kind}, host string, path string, junk_sum double, toxic_sum double")
+    names = [row] if row else []
+    plain = docs.select(docs["text"].cast("string").alias("text"), docs["doc_id"], *(docs[c] for c in names), F.coalesce(docs[host].cast("string"), F.lit("")).alias("host"), F.coalesce(docs[path].cast("string"), F.lit("")).alias("path"))
+    scored = plain.mapInArrow(_scored(evidence), f"doc_id {kind}, {''.join(f'{c} long, ' for c in names)}host string, path string, junk_sum double, toxic_sum double")
 
     def chance(c: str, k: int) -> Column:
         return 1 / (1 + F.exp(-(F.col(c) * evidence.slope[k] + evidence.offset[k])))
@@ -265,7 +266,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     nothing = not len(evidence.tokens)
     scored = scored.withColumns({"p_low_quality": F.lit(0.0) if nothing else chance("junk_sum", 0), "p_toxic": F.lit(0.0) if nothing else chance("toxic_sum", 1)})
     scored = scored.withColumn("p", F.greatest(F.least(1 - (1 - F.col("p_low_quality")) * (1 - F.col("p_toxic")), F.lit(1 - 1e-9)), F.lit(1e-9)))
-    scored = materialize(scored.select("doc_id", "host", "path", "p_low_quality", "p_toxic", "p"), "scored")
+    scored = materialize(scored.select("doc_id", *names, "host", "path", "p_low_quality", "p_toxic", "p"), "scored")
     paths = materialize(scored.groupBy("host", "path").agg(F.sum("p").alias("sum"), F.count(F.lit(1)).alias("n")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("sum").alias("host_sum"), F.sum("n").alias("host_n"))
     overall = hosts.agg((F.sum("host_sum") / F.sum("host_n")).alias("rate")).first()["rate"] or 0.0
@@ -278,4 +279,4 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     odds = lambda p: F.log(p / (1 - p))
     logit = odds(F.col("p")) + odds(F.col("path_rate")) - F.lit(float(np.log(rate / (1 - rate))))
     out = scored.join(sites, ["host", "path"]).withColumn("p_fault", 1 / (1 + F.exp(-logit)))
-    return out.select("doc_id", "p_low_quality", "p_toxic", "host_rate", "path_rate", "p_fault", (F.col("p_fault") >= limit).alias("rejected"))
+    return out.select("doc_id", "p_low_quality", "p_toxic", "host_rate", "path_rate", "p_fault", (F.col("p_fault") >= limit).alias("rejected"), *names)

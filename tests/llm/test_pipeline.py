@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import random
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from lendmill.llm import site_quality
 from lendmill.llm.queries import ORACLES, QUERIES
 from tests.conftest import SMALL
-from tests.llm.cases import awkward_rows, empty, frame
+from tests.llm.cases import awkward_rows, empty, frame, sentence
 
 
 # the smallest data have too few labels for the classifier to reject anything
@@ -34,3 +39,29 @@ def test_stages_take_awkward_and_empty_tables(spark):
 def test_one_query_per_operator():
     assert [int(n.split("_")[0][2:]) for n in QUERIES] == list(range(1, 11))
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_decisions_hold_for_rows_not_for_ids(spark):
+    rnd = random.Random(3)
+    texts = [sentence(rnd, 60) for _ in range(4)]
+    near = " ".join([*texts[0].split()[:-1], "changed"])
+    rows = [(None, t, "en", "s0") for t in (texts[0], near, texts[1])] + [(7, texts[2], "en", "s0"), (7, texts[3], "en", "s0"), (8, texts[3], "en", "s0"), (7, texts[2], "en", "s0")]
+    left = corpus_pipeline.keep_one_of_similar(spark, frame(spark, rows), SMALL).collect()
+    assert sorted(str(r["doc_id"]) for r in left) == ["7", "7", "None", "None"]
+    assert len({r["text"] for r in left}) == 4 and {texts[1], texts[2], texts[3]} <= {r["text"] for r in left}
+
+    item = next(r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("text").collect() if len(r["text"].split()) > 10)
+    rows = [(i, t, "en", "s0") for i in (None, 5) for t in (f"{texts[0]} {item}", texts[1], texts[2])]
+    left = corpus_pipeline.keep_uncontaminated(spark, frame(spark, rows), SMALL).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == sorted((str(i), t) for i in (None, 5) for t in texts[1:3])
+
+
+def test_rejections_hold_for_rows_not_for_ids(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    judged = site_quality.classify(docs, spark.read.parquet(f"{LARGER}/labels.parquet")).select("doc_id", "rejected")
+    # the same rows and labels under few ids: every id then holds rejected rows and clean ones
+    lost = docs.join(judged, "doc_id").filter("rejected").limit(3).drop("rejected")
+    kept = docs.join(judged, "doc_id").filter("NOT rejected").limit(20).drop("rejected")
+    mixed = docs.union(lost.unionByName(kept).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)).select(docs.columns))
+    left = corpus_pipeline.keep_good(spark, mixed, LARGER).filter("doc_id IS NULL").count()
+    assert 0 < left < 23
