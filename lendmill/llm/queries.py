@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chosen_path, difference_cover, hnsw, language, license_digest, packing, positional_index, secret_automaton, site_quality, token_stream
+from lendmill.llm import chosen_path, difference_cover, hnsw, language, license_digest, merkle, packing, positional_index, secret_automaton, site_quality, token_stream, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,13 @@ def repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_stream_files")
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_stream.round_trip(spark, table(spark, folder, "documents"))
+
+
+@query("op11_checkpointed_merkle", merkle.check_sql())
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+@query("op13_bit_sliced_whitening")
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
