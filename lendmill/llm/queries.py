@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.llm import chosen_path, difference_cover, hnsw, language, license_digest, merkle, packing, positional_index, secret_automaton, site_quality, token_stream, whitening
+from lendmill.llm import chosen_path, difference_cover, hnsw, language, license_digest, merkle, packing, positional_index, secret_automaton, site_quality, syncmers, token_stream, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,11 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
 
+@query("op12_closed_syncmers")
+def fingerprinted(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, folder, "documents"))
+
+
 @query("op13_bit_sliced_whitening")
 def whitened(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
