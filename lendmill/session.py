@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SHARED: dict[str, str] = {}
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def build_session(app_name: str = "lendmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,4 +71,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_at = path
+    return back
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete what `materialize` wrote for `df`, once nothing reads it any more."""
+    path = getattr(df, "_written_at", None)
+    if path:
+        context = df.sparkSession.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed (same path on each node)."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if _ROOT not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (_ROOT, known) if p)
