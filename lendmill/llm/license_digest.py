@@ -13,6 +13,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendmill.session import materialize
+
 # Equivalent spellings, each replaced by the second (whole words).
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("acknowledgement", "acknowledgment"),
@@ -61,18 +63,23 @@ FIRST_WORD = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*([^\x00-\x2F\x3A-\x40\x5B
 SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; A-Z only are lower-cased, so that the form does not depend on a locale."""
-    out = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    out = F.regexp_replace(out, COPYRIGHT_LINE, " ")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, SIGNS, " "), F.lit(" "))
+def with_digest(rows: DataFrame, text: str) -> DataFrame:
+    """`digest` of the canonical form; A-Z only are lower-cased, so that the form does not depend on a locale.
+
+    Words are parted by two blanks until their spellings are settled, so that each has a blank of
+    its own on both sides and neighbours are replaced alike. Copyright lines are looked for only where one of their words is.
+    """
+    lowered = rows.withColumn("_lowered", F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    marked = F.contains("_lowered", F.lit("copyright")) | F.contains("_lowered", F.lit("©")) | F.contains("_lowered", F.lit("all rights reserved"))
+    out = F.when(marked, F.regexp_replace("_lowered", COPYRIGHT_LINE, " ")).otherwise(F.col("_lowered"))
+    out = F.concat(F.lit("  "), F.regexp_replace(out, SIGNS, "  "), F.lit("  "))
     for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(out)
+        out = F.replace(out, F.lit(_apart(old)), F.lit(_apart(new)))
+    return lowered.withColumn("digest", F.sha2(F.trim(F.replace(out, F.lit("  "), F.lit(" "))), 256)).drop("_lowered")
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def _apart(words: str) -> str:
+    return f" {words.replace(' ', '  ')} "
 
 
 def first_word(text: Column) -> Column:
@@ -93,7 +100,7 @@ def first_words(known=KNOWN) -> list[str]:
 def known_digests(spark, known=KNOWN) -> DataFrame:
     """(digest, license_id): one row per distinct canonical text; the least id where two share it."""
     rows = spark.createDataFrame(list(known), "license_id string, text string")
-    return rows.select(digest(F.col("text")).alias("digest"), "license_id").groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    return with_digest(rows, "text").groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
 def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
@@ -108,14 +115,16 @@ def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
     """
     digests = F.broadcast(known_digests(docs.sparkSession, known))
     rows = docs.select(F.col("doc_id").alias("id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("text"))
-    lines = rows.select("id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line", "words")).filter(first_word(F.col("words")).isin(first_words(known)))
-    matched = lines.withColumn("digest", digest(F.col("words"))).join(digests, "digest")
+    # the whole text is line 0; texts are read once
+    lines = rows.select("id", F.xxhash64("text").alias("key"), F.posexplode(F.concat(F.array("text"), F.split("text", "\n", -1))).alias("line", "words"))
+    some = lines.filter((F.col("line") == 0) | first_word(F.col("words")).isin(first_words(known)))
+    found = with_digest(some, "words").drop("words").join(digests, "digest", "left")
+    found = materialize(found.filter((F.col("line") == 0) | F.col("license_id").isNotNull()), "license-lines")
     # a row that repeats has the same lines at the same places
-    per_text = matched.groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).agg(
+    per_text = found.filter("line > 0").groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).agg(
         F.count_distinct("line").alias("n"), F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("found")
     )
-    whole = rows.select("id", "key", digest(F.col("text")).alias("digest")).join(digests, "digest", "left")
+    whole = found.filter("line = 0")
     out = whole.join(per_text, whole["id"].eqNullSafe(per_text["of"]) & (whole["key"] == per_text["of_key"]), "left")
     return out.select(
         F.col("id").alias("doc_id"), F.col("digest").alias("text_digest"), "license_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_license_lines"), F.coalesce("found", F.lit("")).alias("line_licenses")
@@ -129,10 +138,10 @@ def _quoted(text: str) -> str:
 def _sql_digest(text: str) -> str:
     out = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     out = f"regexp_replace({out}, {_quoted(COPYRIGHT_LINE)}, ' ', 'g')"
-    out = f"concat(' ', regexp_replace({out}, {_quoted(SIGNS)}, ' ', 'g'), ' ')"
+    out = f"concat('  ', regexp_replace({out}, {_quoted(SIGNS)}, '  ', 'g'), '  ')"
     for old, new in SPELLINGS:
-        out = f"replace({out}, ' {old} ', ' {new} ')"
-    return f"sha256(trim({out}))"
+        out = f"replace({out}, '{_apart(old)}', '{_apart(new)}')"
+    return f"sha256(trim(replace({out}, '  ', ' ')))"
 
 
 def check_sql() -> str:

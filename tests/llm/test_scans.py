@@ -97,3 +97,17 @@ def test_license_forms(spark):
     assert (by[901]["n_license_lines"], by[901]["line_licenses"]) == (3, "CC-BY-NC-4.0,MIT")
     assert by[1]["license_id"] is None and by[1]["line_licenses"] == ""
     assert license_digest.scan(empty(spark)).count() == 0
+
+
+def test_spellings_of_neighbours_are_settled_alike(spark):
+    pairs = [("licence licence LICENCE", "license license license"), ("per cent per cent", "percent percent"), (" copyright holder copyright holder", "copyright owner copyright owner"), ("Non-infringement, whilst whilst", "noninfringement while while")]
+    rows = [(k, t, "en", "s") for k, pair in enumerate(pairs) for t in pair]
+    found = {}
+    for r in license_digest.scan(frame(spark, rows)).collect():
+        found.setdefault(r["doc_id"], set()).add(r["text_digest"])
+    assert all(len(d) == 1 for d in found.values()) and len(set.union(*found.values())) == len(pairs)
+    con = connect(SMALL)
+    for a, b in pairs:
+        x, y = (con.execute("SELECT " + license_digest._sql_digest(license_digest._quoted(t))).fetchone()[0] for t in (a, b))
+        assert x == y and x in set.union(*found.values())
+    con.close()
