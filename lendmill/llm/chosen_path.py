@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lendmill.llm import arrays, runtime
 from lendmill.llm.components import components
-from lendmill.session import materialize
+from lendmill.session import materialize, release
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -39,6 +39,7 @@ BRANCH = 2
 BUCKET = 1024
 LEVELS = 3
 RECALL = 1 - 1e-6
+SALTS = 16  # tasks that the members of one node are dealt to while they are counted
 # Standard deviations below the expected agreement at which a candidate is still checked.
 SLACK = 4.5
 NULL_ID = -(1 << 63)
@@ -104,13 +105,14 @@ def _sketched(width: int):
                 full = np.flatnonzero(n)
                 heads = offsets[:-1][full]
                 sums = [np.zeros(len(n), np.uint64) for _ in range(2)]
-                marks = np.zeros((len(n), PLACES), np.uint16)
+                # wide enough that unrelated texts hardly ever share a node
+                marks = np.zeros((len(n), PLACES), np.uint32)
                 if len(full):
                     for s, k in zip(sums, (3, 5)):
                         s[full] = np.add.reduceat(arrays.mix(hashes * np.uint64(2 * k + 1) + np.uint64(k)), heads)
                     for p in range(PLACES):
                         least = np.minimum.reduceat((hashes ^ _SALTS[p]) * _FACTORS[p], heads)
-                        marks[full, p] = arrays.mix(least) >> np.uint64(48)
+                        marks[full, p] = arrays.mix(least) >> np.uint64(32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(row, len(n)) for c in (0, 1)), *(pa.array(s.view(np.int64)) for s in sums), pa.array(n, pa.int32()),
@@ -139,7 +141,7 @@ def _children(runs: int, branch: int, first: int, start: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reps = batch.column("rep").to_numpy()
-            marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint16).reshape(-1, PLACES)
+            marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint32).reshape(-1, PLACES)
             if first < 0:
                 nodes = [(arrays.mix(np.full(len(reps), r + 1, np.uint64)), np.full(len(reps), r)) for r in range(runs)]
             else:
@@ -233,11 +235,15 @@ def leaves(classes: DataFrame, similar: float, branch: int, bucket: int, levels:
     first = positions(runs, branch, levels)
     schema = "path long, position int, rep long"
     rows = classes.select("rep", "marks").mapInArrow(_children(runs, branch, -1, 0), schema)
-    found = None
+    found = now = None
     for level in range(levels):
-        rows = materialize(rows, "paths")
+        before, rows = now, materialize(rows, "paths")
+        release(before)
+        now = rows
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        sized = rows.join(sizes, "path")
+        # a node may hold a third of all classes: its members are dealt over several tasks
+        salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        sized = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["path", "salt"]).drop("salt")
         small, large = sized.filter(F.col("size") <= bucket), sized.filter(F.col("size") > bucket)
         columns = ["path", "position", "own", "crossed", "rep"]
         met = small.withColumns({"own": F.lit(0), "crossed": F.lit(False)}).select(F.col("path").alias("leaf"), *columns)
@@ -252,6 +258,7 @@ def leaves(classes: DataFrame, similar: float, branch: int, bucket: int, levels:
             break
         parents = large.select("path", "position", "rep").join(classes.select("rep", "marks"), "rep")
         rows = parents.mapInArrow(_children(runs, branch, first[level], first[level + 1]), schema)
+    release(now)
     return found
 
 
@@ -330,7 +337,10 @@ def linked(docs: DataFrame, classes: DataFrame, leaf: DataFrame, size: int, widt
     some = runtime.only_slots_of(docs, "row", ends, "row").join(ends, ["id", "row"]).select("rep", "text")
     sets = some.mapInArrow(_sets(size), "rep long, items binary").dropDuplicates(["rep"])
     full = owners.join(known, "rep").join(sets, "rep")
-    return materialize(full.repartition("leaf").sortWithinPartitions("leaf", "n", "rep").mapInArrow(_linked(similar, width), "u long, v long, links long"), "links")
+    links = materialize(full.repartition("leaf").sortWithinPartitions("leaf", "n", "rep").mapInArrow(_linked(similar, width), "u long, v long, links long"), "links")
+    for read in (known, owners, ends):
+        release(read)
+    return links
 
 
 def judged(
