@@ -1,19 +1,22 @@
 """Near-duplicate vectors by hierarchical navigable small-world graphs, one graph per shard.
 
 Equal vectors form a class, and classes are dealt over shards by a hash. Each shard builds its
-layered graph; every block of queries then searches every shard. A query's beam is widened until
+layered graph once and writes it to the shared folder; every block of queries then searches the
+graph of every shard. A query's beam is widened until
 its worst entry falls below the threshold, so that all neighbours above it are inside; the beam of
 a whole block is widened until an audit (brute force for a sample of its queries) reaches the
 target recall, at most to the whole shard. Cosines are computed in double precision from the
 vectors as given.
 
-A task counts the links of its queries and returns, instead of all pairs, the edges of a spanning
-forest of what it found; components are united from these.
+Of the two searches that can find a pair, one by each end, that of the end named by a hash of both
+counts, and it counts the link at both ends, so counts always agree. A task returns counts and,
+instead of all pairs, the edges of a spanning forest of what it found; components are united from these.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 import math
 from collections.abc import Iterator
 
@@ -22,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.llm import runtime
+from lendmill.llm import arrays, runtime
 from lendmill.llm.components import components
-from lendmill.session import materialize
+from lendmill.session import materialize, release
 
 SIMILAR = 0.95
 DEGREE = 16  # links kept per node and layer; twice as many on the ground layer
@@ -32,11 +35,17 @@ BUILD_BEAM = 48
 BEAM = 32
 AUDITED = 256
 RECALL = 0.99
-LEAST_SHARDS = 8
-SHARD_ROWS = 1 << 17
-BLOCK_ROWS = 1 << 15
+# A query searches every shard, so few large graphs cost less than many small ones.
+LEAST_SHARDS = 2
+# Tasks that the search is cut into at least, by smaller blocks of queries.
+LEAST_TASKS = 24
+# Bytes of the vectors of a shard and of a block of queries, whatever their length.
+SHARD_BYTES = 1 << 26
+BLOCK_BYTES = 1 << 24
+# A graph is written in pieces of this size.
+PART_BYTES = 1 << 22
 NULL_ID = -(1 << 63)
-# Booleans of the table of visited nodes that one search holds at once.
+# Cells of the table of visited nodes that one graph holds.
 VISITED_CELLS = 1 << 25
 
 
@@ -50,9 +59,18 @@ class Layer:
 class Graph:
     """A layered graph over unit vectors (single precision, used for the search only)."""
 
-    def __init__(self, unit: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM):
+    def __init__(self, unit: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, links: list[np.ndarray] | None = None):
+        """Build the layers, or take those of a graph that was built before."""
         self.unit, self.degree, self.beam = np.ascontiguousarray(unit, np.float32), degree, beam
         n = len(unit)
+        # marks of the current search; an older mark does not count, so the table is seldom cleared
+        self._step = max(1, min(1024, VISITED_CELLS // max(n, 1)))
+        self._seen, self._mark = np.zeros((self._step, n + 1), np.uint8), 0
+        if links is not None:
+            self.layers = [Layer(0, 0) for _ in links]
+            for layer, known in zip(self.layers, links):
+                layer.links = known
+            return
         draw = np.random.default_rng(n)
         self.level = np.minimum((-np.log(1 - draw.random(n)) / math.log(degree)).astype(int), 6)
         if n:
@@ -136,14 +154,17 @@ class Graph:
 
     def _search(self, layer: Layer, queries: np.ndarray, entry: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The `beam` nearest nodes found per query (ids, cosines, nearest first; -1 and -2 where fewer)."""
-        n = len(layer.links)
-        step = max(1, min(1024, VISITED_CELLS // max(n, 1)))
+        step = self._step
         parts = [self._search_part(layer, queries[a : a + step], entry[a : a + step], beam) for a in range(0, len(queries), step)]
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def _search_part(self, layer, queries, entry, beam):
-        m, n = len(queries), len(layer.links)
-        visited = np.zeros((m, n + 1), bool)
+        m = len(queries)
+        if self._mark == 255:
+            self._seen[:] = 0
+            self._mark = 0
+        self._mark += 1
+        visited, mark_now = self._seen, self._mark
         rows = np.arange(m)[:, None]
         begin = np.where(self._repeats(entry), -1, entry)
         width = max(beam, begin.shape[1])
@@ -154,7 +175,8 @@ class Graph:
         sims = np.einsum("ad,akd->ak", queries, self.unit[np.maximum(begin, 0)])
         near[:, : begin.shape[1]] = np.where(begin >= 0, sims, -2)
         open_[:, : begin.shape[1]] = begin >= 0
-        visited[rows, begin] = True
+        visited[rows, begin] = mark_now
+        visited[:m, -1] = 0
         live = np.arange(m)
         expand = 4
         while True:
@@ -169,12 +191,12 @@ class Graph:
             np.put_along_axis(mark, top, False, 1)
             open_[live] = mark
             fresh = np.where(picked[:, :, None] >= 0, layer.links[np.maximum(picked, 0)], -1).reshape(len(live), -1)
-            known = visited[live[:, None], fresh]
+            known = visited[live[:, None], fresh] == mark_now
             fresh = np.where(known, -1, fresh)
             fresh = np.sort(fresh, axis=1)
             fresh[:, 1:][fresh[:, 1:] == fresh[:, :-1]] = -1
-            visited[live[:, None], fresh] = True
-            visited[:, -1] = False
+            visited[live[:, None], fresh] = mark_now
+            visited[:m, -1] = 0
             spread = int((fresh >= 0).sum(1).max())
             if not spread:
                 continue
@@ -239,42 +261,83 @@ def _unit(raw: list[bytes]) -> np.ndarray:
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, dims, digest, vector): dims 0 for a vector that cannot have a cosine."""
     for batch in batches:
+        lists = batch.column(1)
+        values = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False) + 0.0
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        bad = np.concatenate([[0], np.cumsum(~np.isfinite(values))])
+        usable = (sizes > 0) & (bad[ends] == bad[ends - sizes])
         dims, digests, raw = [], [], []
-        for value in batch.column(1):
-            values = value.as_py()
-            row = np.array([np.nan if v is None else v for v in values] if values else [], np.float64) + 0.0
-            with np.errstate(over="ignore"):
-                size = float(row @ row) if len(row) and np.isfinite(row).all() else 0.0
-            if len(row) and np.isfinite(row).all() and row.any() and not (1e-200 < size < 1e200):
-                row = row / np.abs(row).max()  # keeps squares in range
-                size = 1.0
-            data = row.tobytes() if size > 0 else b""
+        for a, b, ok in zip((ends - sizes).tolist(), ends.tolist(), usable.tolist()):
+            data = b""
+            if ok and values[a:b].any():
+                row = values[a:b]
+                with np.errstate(over="ignore"):
+                    size = float(row @ row)
+                data = (row if 1e-200 < size < 1e200 else row / np.abs(row).max()).tobytes()  # keeps squares in range
             dims.append(len(data) // 8)
             digests.append(hashlib.md5(data, usedforsecurity=False).hexdigest())
             raw.append(data)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dims, pa.int32()), pa.array(digests), pa.array(raw, pa.binary())], ["id", "dims", "digest", "vector"])
 
 
+def _built(key: tuple[pa.Scalar, ...], stored: pa.Table) -> pa.Table:
+    """One shard's classes to its graphs, one for each vector length, as pieces of one file."""
+    stored = stored.sort_by("rep")
+    parts_of = {}
+    lengths = stored["dims"].to_numpy()
+    for dims in np.unique(lengths).tolist():
+        own = stored.filter(pa.array(lengths == dims))
+        base = _unit(own["vector"].to_pylist())
+        parts_of |= {f"{dims}/ids": own["rep"].to_numpy(), f"{dims}/copies": own["copies"].to_numpy(), f"{dims}/unit": base}
+        parts_of |= {f"{dims}/links/{k}": layer.links for k, layer in enumerate(Graph(base).layers)}
+    file = io.BytesIO()
+    np.savez(file, **parts_of)
+    data = file.getvalue()
+    parts = [data[a : a + PART_BYTES] for a in range(0, len(data), PART_BYTES)]
+    return pa.table({"shard": pa.array([key[0].as_py()] * len(parts), pa.int32()), "part": pa.array(range(len(parts)), pa.int32()), "data": pa.array(parts, pa.binary())})
+
+
+def _read(graph: pa.Table) -> dict[int, tuple[Graph, np.ndarray, np.ndarray, np.ndarray]]:
+    """(graph, unit vectors, class numbers, copies) by vector length."""
+    file = np.load(io.BytesIO(b"".join(graph.sort_by("part")["data"].to_pylist())), allow_pickle=False)
+    names = set(file.files)
+    out = {}
+    for dims in sorted({int(n.split("/")[0]) for n in names}):
+        links = [file[f"{dims}/links/{k}"] for k in range(sum(n.startswith(f"{dims}/links/") for n in names))]
+        base = file[f"{dims}/unit"]
+        out[dims] = (Graph(base, links=links), base, file[f"{dims}/ids"], file[f"{dims}/copies"])
+    return out
+
+
+def _counts_here(asked: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Whether a pair is counted by the search of its first end: true for exactly one of the two orders."""
+    low, high = np.minimum(asked, found).astype(np.uint64), np.maximum(asked, found).astype(np.uint64)
+    odd = (arrays.mix(low * np.uint64(0x9E3779B97F4A7C15) + high) & np.uint64(1)).astype(bool)
+    return (asked < found) == odd
+
+
 def _block_links(similar: float):
-    """One shard's classes and one block of queries to rows (u, v, links): v null with a count, else an edge."""
+    """One shard's graph and one block of queries to rows (u, v, links): v = u with a count, else an edge with -1."""
 
-    def run(key, stored: pa.Table, queries: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], graph: pa.Table, queries: pa.Table) -> pa.Table:
         u, v, links = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        kinds = np.unique(queries["dims"].to_numpy()) if len(queries) and len(stored) else []
-        for dims in kinds:
-            own = stored.filter(pa.array(stored["dims"].to_numpy() == dims))
-            asked = queries.filter(pa.array(queries["dims"].to_numpy() == dims))
-            if not len(own):
+        stored = _read(graph) if len(graph) and len(queries) else {}
+        lengths = queries["dims"].to_numpy()
+        for dims, (searched, base, ids, copies) in stored.items():
+            asked = queries.filter(pa.array(lengths == dims))
+            if not len(asked):
                 continue
-            ids, copies, asked_ids = own["rep"].to_numpy(), own["copies"].to_numpy(), asked["rep"].to_numpy()
-            base, q_unit = _unit(own["vector"].to_pylist()), _unit(asked["vector"].to_pylist())
-            graph = Graph(base)
-            count = np.zeros(len(asked_ids), np.int64)
+            asked_ids, asked_copies = asked["rep"].to_numpy(), asked["copies"].to_numpy()
+            q_unit = _unit(asked["vector"].to_pylist())
+            count, other_count = np.zeros(len(asked_ids), np.int64), np.zeros(len(ids), np.int64)
             group = np.arange(len(ids))
-            for q, s in neighbours(graph, base, q_unit, similar):
+            for q, s in neighbours(searched, base, q_unit, similar):
                 other = asked_ids[q] != ids[s]
                 q, s = q[other], s[other]
-                np.add.at(count, q, copies[s])
+                mine = _counts_here(asked_ids[q], ids[s])
+                np.add.at(count, q[mine], copies[s[mine]])
+                np.add.at(other_count, s[mine], asked_copies[q[mine]])
                 # each query links to its first neighbour; of the others, those not yet in that one's group
                 order = np.argsort(q, kind="stable")
                 q, s = q[order], s[order]
@@ -298,10 +361,11 @@ def _block_links(similar: float):
                 u.append(asked_ids[q[keep]])
                 v.append(ids[s[keep]])
                 links.append(np.full(int(keep.sum()), -1))
-            some = np.flatnonzero(count)
-            u.append(asked_ids[some])
-            v.append(asked_ids[some])
-            links.append(count[some])
+            for names, counted in ((asked_ids, count), (ids, other_count)):
+                some = np.flatnonzero(counted)
+                u.append(names[some])
+                v.append(names[some])
+                links.append(counted[some])
         return pa.table({"u": np.concatenate(u), "v": np.concatenate(v), "links": np.concatenate(links)})
 
     return run
@@ -309,7 +373,7 @@ def _block_links(similar: float):
 
 def near_vectors(
     vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", similar: float = SIMILAR,
-    least_shards: int = LEAST_SHARDS, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
+    least_shards: int = LEAST_SHARDS, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept.
 
@@ -325,15 +389,18 @@ def near_vectors(
     classes = rows.filter("dims > 0").groupBy("digest", "dims").agg(F.min(F.struct("id", "digest")).alias("least"), F.count(F.lit(1)).alias("copies"), F.min("vector").alias("vector"))
     # a class has a number of its own, written once: the smallest ids of two classes may be equal
     classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
-    n = classes.count()
-    shards, blocks = max(least_shards, -(-n // shard_rows)), max(1, -(-n // block_rows))
+    size = classes.agg(F.coalesce(F.sum(F.col("dims").cast("long") * 8), F.lit(0))).first()[0]
+    shards = max(least_shards, -(-size // shard_bytes))
+    blocks = max(-(-LEAST_TASKS // shards), -(-size // block_bytes))
     own = F.pmod(F.xxhash64("digest", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
     block = F.pmod(F.xxhash64("digest", F.lit(2)), F.lit(blocks)).cast("int").alias("block")
     columns = ["rep", "copies", "dims", "vector"]
-    stored = classes.select(own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), *columns)
+    graphs = materialize(classes.select(own, *columns).groupBy("shard").applyInArrow(_built, "shard int, part int, data binary"), "graphs")
+    stored = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = classes.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block, *columns)
-    met = stored.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(_block_links(similar), "u long, v long, links long")
-    met = materialize(met, "vector-links")
+    found = stored.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(_block_links(similar), "u long, v long, links long")
+    met = materialize(found, "vector-links")
+    release(graphs)
     counts = met.filter("links >= 0").groupBy("u").agg(F.sum("links").alias("others"))
     group = components(met.filter("links < 0").select("u", "v"))
     named = materialize(classes.select("rep", "least").join(group, F.col("rep") == F.col("node")).select("rep", "least", "component"), "vector-components")

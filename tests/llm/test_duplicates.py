@@ -175,7 +175,7 @@ def test_vectors_equal_all_pairs(spark):
     rows += [(1000 + i, rows[0][1]) for i in range(20)] + [(2000 + i, [2 * x for x in rows[1][1]]) for i in range(3)]
     rows += [(3000, None), (3001, []), (3002, [0.0] * 16), (3003, [None] + [1.0] * 15), (3004, [float("nan")] * 16), (3005, [float("inf")] + [1.0] * 15), (3006, [1.0, 2.0]), (3007, [2.0, 4.0]), (3008, [1e300] * 16), (3009, [1.0] * 16), rows[5], rows[5]]
     frame_ = spark.createDataFrame([(i, v, "x", 3) for i, v in rows], "vec_id long, embedding array<double>, id string, rep int")
-    got = hnsw.near_vectors(frame_, least_shards=3, block_rows=150)
+    got = hnsw.near_vectors(frame_, least_shards=3, block_bytes=150 * 16 * 8)
     assert sorted(tuple(r) for r in got.collect()) == plain_near(rows)
 
 
