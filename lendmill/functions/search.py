@@ -20,6 +20,12 @@ def double_array(values: Sequence[float]) -> Column:
     return F.expr("array(" + ", ".join(_literal(v) for v in values) + ")")
 
 
+def string_array(values: Sequence[str]) -> Column:
+    """A constant array of strings."""
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in quoted) + ")").cast("array<string>")
+
+
 def _literal(v: float) -> str:
     if math.isinf(v):
         return "double('-Infinity')" if v < 0 else "double('Infinity')"

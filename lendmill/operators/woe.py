@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendmill.functions.nullsafe import melt
-from lendmill.functions.search import double_array, just_below, with_rank
+from lendmill.functions.search import double_array, just_below, string_array, with_rank
 from lendmill.operators.quantiles import exact_quantiles
+from lendmill.session import materialize
 
 FEW_VALUES = 10
 HEAD_ROWS = 1_000
+# Values of all one-bin-per-value features together that are searched as a constant.
+CONSTANT_VALUES = 2_000
 
 # Information-value grades, strongest first.
 IV_FLAGS = ((0.50, "Suspicious"), (0.30, "Strong"), (0.10, "Medium"), (0.02, "Weak"))
@@ -181,8 +184,7 @@ def apply_woe(df: DataFrame, woe_map: DataFrame, suffix: str = "_woe") -> DataFr
     """Replace values by the fitted WoE of their bin; unseen bins and nulls are neutral (0).
 
     Bins are the fitted ones, not re-derived from `df`. Intervals (bins x numeric features) become
-    constant arrays with a binary search; the map of a feature with one bin per value, which may
-    be as long as its values are many, is joined.
+    constant arrays with a binary search; the features with one bin per value share one map.
     """
     kinds = [r for r in woe_map.select("feature", "kind").distinct().collect() if r["feature"] in df.columns]
     by_value = sorted(r["feature"] for r in kinds if r["kind"] == "value")
@@ -205,8 +207,36 @@ def apply_woe(df: DataFrame, woe_map: DataFrame, suffix: str = "_woe") -> DataFr
         ranked = with_rank(out.withColumn("__x", F.col(feature).cast("double")), "__x", [edges], "__k")
         woe = F.get(double_array([*leaves, 0.0]), F.col("__k"))
         out = ranked.withColumn(f"{feature}{suffix}", F.coalesce(woe, F.lit(0.0))).drop("__x", "__k")
-    for feature in by_value:
-        values = woe_map.filter((F.col("feature") == feature) & (F.col("kind") == "value")).select(F.col("category").alias("__category"), F.col("woe").alias("__woe"))
-        out = out.join(values, out[feature].cast("string") == values["__category"], "left")
-        out = out.withColumn(f"{feature}{suffix}", F.coalesce("__woe", F.lit(0.0))).drop("__category", "__woe")
+    if by_value:
+        out = _apply_values(out, woe_map.filter((F.col("kind") == "value") & F.col("feature").isin(by_value)), by_value, suffix)
     return out.select(*names)
+
+
+def _apply_values(df: DataFrame, values: DataFrame, features: Sequence[str], suffix: str, constant: int | None = None) -> DataFrame:
+    """The WoE of all features with one bin per value, through one map by (feature, value).
+
+    A short map is a constant that each row searches. A longer one is joined once: the rows'
+    values are listed, matched and gathered again, whatever the number of features.
+    """
+    values = values.select("feature", "category", "woe")
+    entries = values.limit((CONSTANT_VALUES if constant is None else constant) + 1).collect()
+    if len(entries) <= (CONSTANT_VALUES if constant is None else constant):
+        known = sorted((f"{r['feature']}={r['category']}", r["woe"]) for r in entries if r["category"] is not None)
+        keys, woes = string_array([k for k, _ in known]), double_array([w for _, w in known])
+        return df.withColumns({f"{f}{suffix}": _searched(F.concat(F.lit(f"{f}="), F.col(f).cast("string")), keys, woes, len(known)) for f in features})
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "valued")
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("category")) for f in features])
+    listed = rows.select("__row", F.inline(pairs)).filter(F.col("category").isNotNull())
+    matched = listed.join(values, ["feature", "category"]).groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("feature", "woe"))).alias("__woes"))
+    out = rows.join(matched, "__row", "left")
+    return out.withColumns({f"{f}{suffix}": F.coalesce(F.try_element_at("__woes", F.lit(f)), F.lit(0.0)) for f in features}).drop("__row", "__woes")
+
+
+def _searched(key: Column, keys: Column, woes: Column, count: int) -> Column:
+    """The value at `key` in sorted constant keys, 0 where it is not among them."""
+    if not count:
+        return F.lit(0.0)
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(count.bit_length()))])
+    upto = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(keys, at + step - 1) <= key, step).otherwise(0))
+    place = F.transform(F.array(upto), lambda at: F.when(F.get(keys, at - 1) == key, F.get(woes, at - 1)))
+    return F.coalesce(F.get(place, F.lit(0)), F.lit(0.0))

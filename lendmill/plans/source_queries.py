@@ -125,6 +125,20 @@ def snk_table_append(dom: Domain) -> DataFrame:
     return dom.spark.table(table).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("snk_keyed_merge", sql="""
+    SELECT sk_id_curr, 'v1' AS model_version, CASE WHEN sk_id_curr % 3 = 0 THEN 1 - pred_prob ELSE pred_prob END AS default_probability FROM application
+    UNION ALL SELECT sk_id_curr, 'v2', pred_prob / 2 FROM application WHERE is_train = 1""", digits={"default_probability": 9})
+def snk_keyed_merge(dom: Domain) -> DataFrame:
+    """Predictions by (client, model version): a batch, the same batch again, a correction of a third of it, another version."""
+    path = shared_path(dom.spark, "predictions")
+    first = dom.application.select("sk_id_curr", F.lit("v1").alias("model_version"), F.col("pred_prob").alias("default_probability"))
+    corrected = first.filter("sk_id_curr % 3 = 0").withColumn("default_probability", 1 - F.col("default_probability"))
+    other = dom.application.filter("is_train = 1").select("sk_id_curr", F.lit("v2").alias("model_version"), (F.col("pred_prob") / 2).alias("default_probability"))
+    for batch in (first, first, corrected, other):
+        writers.merge_by_key(batch, path)
+    return writers.read_keyed(dom.spark, path)
+
+
 @query("sch_declared", sql="""
     SELECT 'application' AS tbl, 'emp_anomaly' AS column_name, count(*) AS n_rows, 0::BIGINT AS n_null FROM application
     UNION ALL SELECT 'bureau', 'amt_credit_sum_debt', count(*), 0 FROM bureau

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lendmill.functions.nullsafe import clip, flag
 from lendmill.operators.scoring import reject_reasons, score_columns
 from lendmill.params import FALLBACK_TIER_EDGES, HIGH_RISK_PD
+from lendmill.sources.writers import PREDICTION_KEYS, merge_by_key
 
 
 def read_applications(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1_000) -> DataFrame:
@@ -32,6 +33,15 @@ def start_scoring(scored: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return writer.outputMode("append").trigger(availableNow=True).start()
 
 
+def start_merging(scored: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = PREDICTION_KEYS, within: str | None = "model_version") -> StreamingQuery:
+    """Keep one row per key in a table; a batch that is replayed after a failure changes nothing."""
+
+    def put(batch: DataFrame, _: int) -> None:
+        merge_by_key(batch, path, keys, within)
+
+    return scored.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def high_risk_windows(df: DataFrame, time: str = "application_date", width: str = "30 days", lateness: str | None = None) -> DataFrame:
     """High-risk rate per time window.
 
