@@ -24,7 +24,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects (low quality or toxic) go."""
-    keyed = docs.withColumn(ROW, runtime.row_key(*(F.col(c) for c in ("doc_id", "text", "source", "lang"))))
+    parts = [F.col(c) for c in ("doc_id", "text", "source", "lang")]
+    # the hash leaves nulls out, so which of them are null is hashed too
+    keyed = docs.withColumn(ROW, runtime.row_key(*parts, *(c.isNull() for c in parts)))
     judged = site_quality.classify(keyed, _table(spark, sf_dir, "labels"), row=ROW)
     return runtime.without(keyed, ROW, judged.filter("rejected").select(ROW)).drop(ROW)
 
