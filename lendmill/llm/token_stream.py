@@ -76,12 +76,15 @@ def write_token_files(
 
     A null text counts as empty and has its end id only; null ids come first; rows with equal ids
     follow each other by text; an empty table gives an empty manifest. `id_type` must hold the
-    vocabulary. Columns besides doc_id and text are ignored.
+    vocabulary, or it is an error. Columns besides doc_id and text are ignored.
     """
     spark = docs.sparkSession
     runtime.prepare(spark)
     path = tokenizer_path or tokens.default_path()
     kind = pa.type_for_alias(id_type)
+    largest = max(len(tokens.encoder(path, end_id).ends_word) - 1, end_id)
+    if largest > np.iinfo(kind.to_pandas_dtype()).max:
+        raise ValueError(f"ids up to {largest} do not fit {id_type}")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(path, end_id)

@@ -127,3 +127,8 @@ def test_cuts_have_the_least_cost():
         for j in places.tolist()[1:]:
             best[j] = min(best[i] + packing.padding(j - i, 8) + price[j] for i in best if 0 < j - i <= 8)
         assert sum(packing.padding(b - a, 8) + price[b] for a, b in zip(cuts, cuts[1:])) == best[n]
+
+
+def test_ids_that_do_not_fit_are_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="do not fit"):
+        token_stream.write_token_files(frame(spark, [(1, "a word", "en", "s")]), str(tmp_path), id_type="uint8")
