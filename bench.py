@@ -27,7 +27,7 @@ HEADLINE = [
     # selection and scorecard
     "sel_high_corr", "enc_one_hot", "woe_screen", "woe_apply",
     # evaluation and explanation
-    "eva_auc", "eva_cv_summary", "mod_strat_folds", "mod_logistic", "mod_calibrate", "xai_global_rank", "xai_deviation_top3",
+    "eva_auc", "eva_cv_summary", "mod_strat_folds", "mod_logistic", "mod_calibrate", "xai_deviation_top3",
     # provisions, scenarios, decisions
     "ecl_stage_summary", "ecl_by_scenario", "ecl_lgd_sensitivity", "scn_vintage", "scn_migration_pct", "scn_ecl_weighted", "scn_cohort_default",
     "scn_intraday_pivot", "roi_sweep", "seg_kpis", "seg_insights", "sql_risk_profile", "sql_collections_topn",

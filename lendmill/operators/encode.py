@@ -6,18 +6,20 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import count_when, flag, lookup, melt, spread, text_columns
 from lendmill.operators.clean import fill
+from lendmill.operators.moments import correlations
 from lendmill.operators.quantiles import exact_quantiles, median
+from lendmill.operators.running import running_totals
 from lendmill.session import materialize
 
 ID_COLUMNS = ("sk_id_curr", "target", "is_train")
 EXPRESSIONS_PER_PASS = 250
+# Values of one text column that may become columns.
+MOST_COLUMNS = 1_000
 
 
 @dataclass(frozen=True)
@@ -47,10 +49,13 @@ def categories(df: DataFrame, columns: Sequence[str], limit: int | None = None)
     return {c: sorted(v) for c, v in found.items()}
 
 
-def fit_encoding(df: DataFrame, columns: Sequence[str] | None = None) -> Encoding:
-    """Columns with at most two values are binary; a null there counts as the text 'nan'."""
+def fit_encoding(df: DataFrame, columns: Sequence[str] | None = None, limit: int = MOST_COLUMNS) -> Encoding:
+    """Columns with at most two values are binary; a null there counts as the text 'nan'.
+
+    More than `limit` values in a column are an error: use `dictionary` and `sparse_one_hot`.
+    """
     columns = list(columns or text_columns(df, ID_COLUMNS))
-    values = categories(df, columns)
+    values = categories(df, columns, limit)
     binary = {c: v for c, v in values.items() if len(v) <= 2}
     if binary:
         gaps = df.agg(*[count_when(F.col(c).isNull()).alias(c) for c in binary]).first()
@@ -79,6 +84,26 @@ def encode_one_hot(df: DataFrame, encoding: Encoding) -> DataFrame:
     return (df.withColumns(out) if out else df).drop(*encoding.one_hot)
 
 
+def dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): the places of all values in a one-hot vector, by column, then value; nothing is collected."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("at"), F.col(c).cast("string").alias("value")) for k, c in enumerate(columns)])
+    distinct = df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
+    keyed = distinct.withColumns({"key": F.concat(F.lpad(F.col("at").cast("string"), 6, "0"), F.lit(":"), F.col("value")), "one": F.lit(1)})
+    return running_totals(keyed, "key", {"upto": "one"}).select("column", "value", (F.col("upto") - 1).alias("code"))
+
+
+def sparse_one_hot(df: DataFrame, columns: Sequence[str], codes: DataFrame, key: str = "sk_id_curr") -> DataFrame:
+    """(key, size, indices): the one-hot form of all columns as sparse vectors of ones.
+
+    Rows are matched with the dictionary and gathered by `key`, which must be unique. A null and a
+    value that the dictionary does not hold have no index.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    listed = df.select(key, F.inline_outer(pairs))
+    found = listed.join(codes, ["column", "value"], "left").groupBy(key).agg(F.sort_array(F.collect_list("code")).alias("indices"))
+    return found.select(key, codes.agg(F.count(F.lit(1))).scalar().alias("size"), "indices")
+
+
 def indicators(df: DataFrame, columns: Sequence[str], key: str = "sk_id_curr") -> DataFrame:
     """The ones of the one-hot form as rows (key, feature): any number of values, nothing collected."""
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
@@ -101,35 +126,31 @@ def low_variance(df: DataFrame, columns: Sequence[str], limit: float = 0.01) ->
     return variances(df, columns).filter(F.col("variance") < limit)
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> list[tuple[str, str, float]]:
-    """(earlier, later, r) for all column pairs with |r| over the limit.
-
-    One pass builds the whole matrix (columns x columns, independent of the rows). The columns
-    must be free of nulls.
-    """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    return [
-        (columns[i], columns[j], float(matrix[i, j]))
-        for j in range(len(columns))
-        for i in range(j)
-        if abs(matrix[i, j]) > limit
-    ]
+def correlation_pairs(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> DataFrame:
+    """(i, j, first, second, n, r) of the column pairs with |r| over the limit, over the rows where both have a value."""
+    names = F.array(*map(F.lit, columns))
+    pairs = correlations(df, columns).filter(F.abs("r") > limit)
+    return pairs.select("i", "j", F.get(names, F.col("i")).alias("first"), F.get(names, F.col("j")).alias("second"), "n", "r")
 
 
 def high_correlation(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> DataFrame:
     """Columns to drop: any earlier column, itself dropped or not, correlates above the limit."""
-    partners: dict[str, int] = {}
-    for _, later, _ in correlation_pairs(df, columns, limit):
-        partners[later] = partners.get(later, 0) + 1
-    return df.sparkSession.createDataFrame(list(partners.items()), "feature string, n_partners int")
+    return correlation_pairs(df, columns, limit).groupBy(F.col("second").alias("feature")).agg(F.count(F.lit(1)).cast("int").alias("n_partners"))
+
+
+def select_features(df: DataFrame, columns: Sequence[str], variance: float = 0.01, correlation: float = 0.95) -> dict[str, str]:
+    """Each column as `low_variance`, `correlated` with an earlier one, or `kept`; near-constant columns are dropped first."""
+    flat = {r["feature"] for r in low_variance(df, columns, variance).collect()}
+    left = [c for c in columns if c not in flat]
+    close = {r["feature"] for r in high_correlation(df, left, correlation).collect()} if left else set()
+    return {c: "low_variance" if c in flat else "correlated" if c in close else "kept" for c in columns}
 
 
 def target_correlation(df: DataFrame, columns: Sequence[str], top: int = 20) -> DataFrame:
     """Features by absolute correlation with the target."""
     one = df.agg(*[F.abs(F.corr(F.col(c).cast("double"), F.col("target").cast("double"))).alias(c) for c in columns])
     table = spread(one, {"abs_corr": "double"}, {c: {"abs_corr": F.col(c)} for c in columns})
-    return table.filter(F.col("abs_corr").isNotNull()).orderBy(F.desc("abs_corr"), "feature").limit(top)
+    return table.filter(F.col("abs_corr").isNotNull() & ~F.isnan("abs_corr")).orderBy(F.desc("abs_corr"), "feature").limit(top)
 
 
 def feature_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:

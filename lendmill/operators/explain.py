@@ -1,19 +1,18 @@
-"""Contributions of a linear scorecard and the tables built on them.
+"""Tables built on the contributions of features to a score (`tree_explain` has those of boosted trees).
 
 For a linear score the exact additive attribution of feature j is beta_j * (x_j - mean_j), so
-the explanations are plain columns and scale like any projection.
+its contributions are plain columns and scale like any projection.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import melt
-from lendmill.operators.scoring import positive_probability, top_factors
+from lendmill.operators.scoring import top_factors
 
 HASH_MULTIPLIER = 48271
 HASH_MODULUS = 2147483647
@@ -97,23 +96,6 @@ def join_scores(sample: DataFrame, scored: DataFrame) -> DataFrame:
     return sample.select("sk_id_curr").join(scores, "sk_id_curr", "left").dropna(subset=["pred_prob"])
 
 
-def partial_dependence(df: DataFrame, model: Model, features: Sequence[str], points: int = 50) -> DataFrame:
-    """Mean predicted PD with one feature held at each grid value (between its extremes).
-
-    The grid is a constant array, so each row is expanded in flight: rows x points per feature.
-    """
-    ranges = df.agg(*[F.min(f).alias(f"{f}_lo") for f in features], *[F.max(f).alias(f"{f}_hi") for f in features]).first()
-    out = None
-    for f in features:
-        lo, hi = float(ranges[f"{f}_lo"]), float(ranges[f"{f}_hi"])
-        grid = F.array(*[F.lit(lo + (hi - lo) * k / (points - 1)) for k in range(points)])
-        held = df.withColumn("__grid", F.explode(grid)).withColumn(f, F.col("__grid"))
-        curve = positive_probability(held, model, "__p").groupBy("__grid").agg(F.avg("__p").alias("mean_pd"))
-        part = curve.select(F.lit(f).alias("feature"), F.col("__grid").alias("grid_value"), "mean_pd")
-        out = part if out is None else out.union(part)
-    return out
-
-
 def deviation_top(df: DataFrame, medians: dict[str, float | None], n: int = 3) -> DataFrame:
     """Per client the n features furthest from the median, one row per rank."""
     names = top_factors(df, medians, n)

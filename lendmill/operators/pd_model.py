@@ -1,26 +1,28 @@
-"""Default-probability models on MLlib: folds, fits, out-of-fold scores, calibration, search."""
+"""Default-probability models: folds, fits, out-of-fold scores, calibration, search."""
 
 from __future__ import annotations
 
 import math
 import random
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import clip, count_when
-from lendmill.operators import evaluate
+from lendmill.operators import boosting, evaluate, isotonic
+from lendmill.operators.boosting import Params
 from lendmill.operators.explain import HASH_MODULUS, id_hash
 from lendmill.operators.quantiles import median
-from lendmill.operators.running import rank_within
-from lendmill.operators.scoring import positive_probability
+from lendmill.operators.running import rank_within, running_totals
+from lendmill.operators.scoring import positive_probability, raw_ensemble
 from lendmill.params import SearchSpace
 from lendmill.session import materialize
 
@@ -59,16 +61,9 @@ class ForestParams:
     seed: int = 42
 
 
-@dataclass(frozen=True)
-class BoostParams:
-    trees: int = 1000
-    depth: int = 6
-    step: float = 0.05
-    subsample: float = 1.0
-    min_rows: int = 1
-    min_gain: float = 0.0
-    columns: float = 1.0
-    seed: int = 42
+# The two boosted candidates, one grown by the best leaf, one level by level to a depth.
+BY_LEAF = Params(rounds=1000, leaves=31, step=0.05, min_rows=20, patience=30)
+BY_DEPTH = Params(rounds=1000, leaves=64, depth=6, step=0.05, min_rows=1, min_weight=1.0, l2=1.0, patience=30)
 
 
 def _vector(features: Sequence[str]) -> VectorAssembler:
@@ -89,12 +84,12 @@ class MedianFill(Estimator):
         return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
 
 
-def logistic(features: Sequence[str], max_iter: int = 1000) -> Pipeline:
-    """Exact median imputation, scaling, class-balanced logistic regression."""
-    fill = MedianFill(features)
+def logistic(features: Sequence[str], max_iter: int = 1000, gaps: bool = True) -> Pipeline:
+    """Exact median imputation (where there may be gaps), scaling, class-balanced logistic regression."""
+    fill = MedianFill(features) if gaps else None
     return Pipeline(stages=[
-        fill,
-        VectorAssembler(inputCols=fill.outputs, outputCol="raw_features"),
+        *([fill] if fill else []),
+        VectorAssembler(inputCols=fill.outputs if fill else list(features), outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
         LogisticRegression(featuresCol="features", labelCol="target", weightCol="weight", maxIter=max_iter, regParam=1e-4),
     ])
@@ -102,19 +97,8 @@ def logistic(features: Sequence[str], max_iter: int = 1000) -> Pipeline:
 
 def forest(features: Sequence[str], params: ForestParams = ForestParams()) -> Pipeline:
     """Balanced random forest; gaps count as 0 (see `zero_gaps`)."""
-    model = RandomForestClassifier(labelCol="target", weightCol="weight", numTrees=params.trees, maxDepth=params.depth, seed=params.seed)
-    return Pipeline(stages=[_vector(features), model])
-
-
-def boosted(features: Sequence[str], params: BoostParams = BoostParams(), validation: str | None = None) -> Pipeline:
-    """Class-balanced gradient boosting, stopping early on the rows marked by `validation`."""
-    model = GBTClassifier(
-        labelCol="target", weightCol="weight", maxIter=params.trees, maxDepth=params.depth, stepSize=params.step,
-        subsamplingRate=params.subsample, minInstancesPerNode=params.min_rows, minInfoGain=params.min_gain,
-        featureSubsetStrategy=str(params.columns) if params.columns < 1 else "all", seed=params.seed,
-    )
-    if validation:
-        model = model.setValidationIndicatorCol(validation)
+    # many nodes to a pass, and rows keep their nodes from pass to pass
+    model = RandomForestClassifier(labelCol="target", weightCol="weight", numTrees=params.trees, maxDepth=params.depth, seed=params.seed, maxMemoryInMB=1024, cacheNodeIds=True)
     return Pipeline(stages=[_vector(features), model])
 
 
@@ -126,31 +110,37 @@ def zero_gaps(df: DataFrame, features: Sequence[str]) -> DataFrame:
 class Fitted:
     """Fold models with the out-of-fold scores of the train rows."""
 
-    models: list[Model]
+    models: list[Model] | list[boosting.Model]
     oof: DataFrame
 
 
-Factory = Callable[[str | None], Estimator]
+Factory = Callable[[], Estimator]
 
 
-def out_of_fold(df: DataFrame, factory: Factory, k: int = 5, early_stop: bool = False) -> Fitted:
-    """Fit k separate models, each scoring the fold it has not seen. `df` carries fold and weight."""
-    models, parts = [], []
-    for i in range(k):
-        held = F.col("fold") == i
-        train = df.withColumn("is_held", held) if early_stop else df.filter(~held)
-        model = factory("is_held" if early_stop else None).fit(train)
-        models.append(model)
-        parts.append(positive_probability(df.filter(held), model, "pred_prob").select("sk_id_curr", "target", "fold", "pred_prob"))
+def out_of_fold(df: DataFrame, factory: Factory, k: int = 5) -> Fitted:
+    """Fit k separate models at the same time, each scoring the fold it has not seen. `df` carries fold and weight."""
+
+    def fit(i: int) -> Model:
+        return factory().fit(df.filter(F.col("fold") != i))
+
+    with ThreadPoolExecutor(k) as pool:
+        models = list(pool.map(inheritable_thread_target(fit), range(k)))
+    parts = [positive_probability(df.filter(F.col("fold") == i), m, "pred_prob").select("sk_id_curr", "target", "fold", "pred_prob") for i, m in enumerate(models)]
     return Fitted(models, reduce(DataFrame.union, parts))
 
 
-def mean_score(df: DataFrame, models: Sequence[Model]) -> DataFrame:
+def boosted_out_of_fold(df: DataFrame, features: Sequence[str], params: Params = BY_LEAF, k: int = 5, data: boosting.Binned | None = None) -> Fitted:
+    """k boosted models in shared passes; each stops early on the fold it then scores. Gaps stay gaps."""
+    data = data or boosting.quantise(df, features, "target", "weight", "fold")
+    models = boosting.fit_all(data, [(params, i) for i in range(k)])
+    names = [f"__m{i}" for i in range(k)]
+    scored = boosting.score(df, dict(zip(names, models)), ["sk_id_curr", "target", "fold"])
+    return Fitted(models, scored.select("sk_id_curr", "target", "fold", F.get(F.array(*names), F.col("fold")).alias("pred_prob")))
+
+
+def mean_score(df: DataFrame, models: Sequence[Model] | Sequence[boosting.Model]) -> DataFrame:
     """Mean of the fold models per row, without a shuffle."""
-    names = [f"__m{i}" for i in range(len(models))]
-    for name, model in zip(names, models):
-        df = positive_probability(df, model, name)
-    return df.withColumn("pred_prob", sum((F.col(n) for n in names), F.lit(0.0)) / len(names)).drop(*names)
+    return raw_ensemble(df, models, "pred_prob")
 
 
 def leaderboard(oof: dict[str, DataFrame]) -> DataFrame:
@@ -178,48 +168,63 @@ def leaderboard(oof: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows).orderBy(F.desc("oof_auc"), "model")
 
 
-def fit_calibrator(oof: DataFrame, score: str = "pred_prob") -> Model:
-    """Isotonic regression on the calibration share of the out-of-fold rows.
-
-    Equal scores are merged first (mean outcome, weight = rows), which leaves the fit unchanged.
-    """
+def fit_calibrator(oof: DataFrame, score: str = "pred_prob") -> isotonic.Curve:
+    """Isotonic regression on the calibration share of the out-of-fold rows."""
     rows = stratified_split(oof).filter(F.col("is_calibration") == 1)
-    merged = rows.groupBy(score).agg(F.avg(F.col("target").cast("double")).alias("target"), F.count(F.lit(1)).cast("double").alias("weight"))
-    return IsotonicRegression(featuresCol=score, labelCol="target", weightCol="weight").fit(merged)
+    return isotonic.fit(rows, score, "target")
 
 
-def calibrate(df: DataFrame, calibrator: Model, score: str = "pred_prob") -> DataFrame:
-    """Interpolated between the fitted points and constant beyond them."""
-    ready = df.withColumnRenamed(score, calibrator.getFeaturesCol()) if score != calibrator.getFeaturesCol() else df
-    return calibrator.transform(ready).withColumn("pd_calibrated", clip("prediction", 0.0, 1.0)).drop("prediction")
+def calibrate(df: DataFrame, calibrator: isotonic.Curve, score: str = "pred_prob") -> DataFrame:
+    """Interpolated between the fitted steps and constant beyond them."""
+    return calibrator.apply(df, score, "__curve").withColumn("pd_calibrated", clip("__curve", 0.0, 1.0)).drop("__curve")
 
 
-def draw(space: SearchSpace, n: int) -> list[BoostParams]:
-    """n seeded random settings; the step is drawn on a log scale.
-
-    The gain of a split is a variance here, not a sum over rows: its range is scaled to it.
-    """
+def draw(space: SearchSpace, n: int) -> list[Params]:
+    """n seeded random settings; steps, penalties and least weights are drawn on a log scale."""
     rng = random.Random(space.seed)
-    out = []
-    for _ in range(n):
-        out.append(BoostParams(
-            trees=rng.randint(*space.trees), depth=rng.randint(*space.depth),
-            step=math.exp(rng.uniform(math.log(space.step[0]), math.log(space.step[1]))),
-            subsample=rng.uniform(*space.subsample), min_rows=rng.randint(*space.min_rows),
-            min_gain=rng.uniform(*space.min_gain) * 1e-3, columns=rng.uniform(*space.columns), seed=space.seed,
-        ))
-    return out
 
+    def log(low: float, high: float) -> float:
+        return math.exp(rng.uniform(math.log(low), math.log(high)))
+
+    return [
+        Params(
+            rounds=rng.randrange(space.trees[0], space.trees[1] + 1, 100), step=log(*space.step), leaves=rng.randint(*space.leaves), depth=rng.randint(*space.depth),
+            min_rows=rng.randint(*space.min_rows), subsample=rng.uniform(*space.subsample), columns=rng.uniform(*space.columns), l1=log(*space.l1), l2=log(*space.l2),
+            min_gain=rng.uniform(*space.min_gain), min_weight=log(*space.min_weight), seed=space.seed,
+        )
+        for _ in range(n)
+    ]
 
-def tune(df: DataFrame, features: Sequence[str], trials: int = 100, k: int = 3, space: SearchSpace = SearchSpace()) -> DataFrame:
-    """Random search: k-fold out-of-fold AUC per setting, best first.
 
-    Each fit stops early on the fold it will score, as the search only ranks settings.
+def tune(df: DataFrame, features: Sequence[str], trials: int = 100, k: int = 3, space: SearchSpace = SearchSpace(), first: int = 50, most: int = 500, factor: int = 3) -> DataFrame:
+    """Random search with successive halving, best first: per trial its settings, rounds, held-out loss and out-of-fold AUC.
+
+    All trials and folds are fitted in the same passes over one quantised table. After `first`
+    rounds the best 1/`factor` of the trials go on, and so forth; a model ends earlier where its
+    held-out loss stops falling. `rounds_run` tells how far a trial came.
     """
-    rows = []
-    for i, params in enumerate(draw(space, trials)):
-        fitted = out_of_fold(df, lambda v, p=params: boosted(features, replace(p), v), k, early_stop=True)
-        auc = evaluate.auc(evaluate.roc(fitted.oof)).first()["auc"]
-        rows.append((i, params.trees, params.depth, params.step, params.subsample, params.min_rows, params.min_gain, params.columns, float(auc)))
-    schema = "trial int, trees int, depth int, step double, subsample double, min_rows int, min_gain double, columns double, auc double"
-    return df.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("auc"), "trial")
+    drawn = draw(space, trials)
+    data = boosting.quantise(df, features, "target", "weight", "fold")
+    wanted = [(params, i) for params in drawn for i in range(k)]
+    models = boosting.fit_all(data, wanted, boosting.Halving([t for t in range(trials) for _ in range(k)], first, most, factor))
+    by_trial = [models[t * k : (t + 1) * k] for t in range(trials)]
+    names = {f"__t{t}_{i}": m for t, part in enumerate(by_trial) for i, m in enumerate(part)}
+    scored = boosting.score(df, names, ["target", "fold"])
+    own = F.array(*[F.struct(F.lit(t).alias("trial"), F.get(F.array(*[F.col(f"__t{t}_{i}") for i in range(k)]), F.col("fold")).alias("pred_prob")) for t in range(trials)])
+    scores = materialize(scored.select("target", F.inline(own)), "trial-scores")
+    # the rank sum of the positives per trial, ties counted by half
+    points = scores.groupBy("trial", "pred_prob").agg(F.sum("target").alias("pos"), F.sum(1 - F.col("target")).alias("neg"))
+    auc = rank_auc(points, ["trial"])
+    rows = [
+        (t, p.rounds, max(len(m.curve) - 1 for m in part), sum(len(m.trees) for m in part) / k, p.leaves, p.depth, p.step, p.min_rows, p.subsample, p.columns, p.l1, p.l2, p.min_gain, p.min_weight, sum(min(m.curve) for m in part) / k)
+        for t, (p, part) in enumerate(zip(drawn, by_trial))
+    ]
+    schema = ("trial int, rounds int, rounds_run int, trees double, leaves int, depth int, step double, min_rows int, subsample double, columns double, l1 double, l2 double, min_gain double, min_weight double, loss double")
+    return df.sparkSession.createDataFrame(rows, schema).join(auc, "trial").orderBy("loss", "trial")
+
+
+def rank_auc(points: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Area under the curve per group from (pred_prob, pos, neg) counts per distinct score."""
+    totals = running_totals(points, "pred_prob", {"__neg": "neg"}, by=by)
+    area = F.sum(F.col("pos") * (F.col("__neg") - F.col("neg") / 2.0))
+    return totals.groupBy(*by).agg((area / (F.sum("pos") * F.sum("neg"))).alias("auc"))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import cents, clip, has, lookup, ratio, step
+from lendmill.operators import boosting
+from lendmill.operators.isotonic import Curve
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.params import (
     FALLBACK_TIER_EDGES,
@@ -120,17 +122,24 @@ def positive_probability(df: DataFrame, model: Model, name: str) -> DataFrame:
     return scored.withColumn(name, F.get(vector_to_array("probability"), 1)).drop(*extra)
 
 
-def ensemble(df: DataFrame, models: Sequence[Model], calibrator: Model | None = None) -> DataFrame:
-    """`pd_raw`, the mean of the fold models in one pass, and `pd_calibrated` in [0.001, 0.999]."""
+def raw_ensemble(df: DataFrame, models: Sequence[Model] | Sequence[boosting.Model], name: str = "pd_raw") -> DataFrame:
+    """Add the mean of the fold models, in one pass."""
     names = [f"__p{i}" for i in range(len(models))]
-    out = df
-    for name, model in zip(names, models):
-        out = positive_probability(out, model, name)
-    out = out.withColumn("pd_raw", sum((F.col(n) for n in names), F.lit(0.0)) / len(names)).drop(*names)
+    if isinstance(models[0], boosting.Model):
+        out = boosting.score(df, dict(zip(names, models)), df.columns)
+    else:
+        out = df
+        for column, model in zip(names, models):
+            out = positive_probability(out, model, column)
+    return out.withColumn(name, sum((F.col(n) for n in names), F.lit(0.0)) / len(names)).drop(*names)
+
+
+def ensemble(df: DataFrame, models: Sequence[Model] | Sequence[boosting.Model], calibrator: Curve | None = None) -> DataFrame:
+    """`pd_raw`, the mean of the fold models, and `pd_calibrated` in [0.001, 0.999]."""
+    out = raw_ensemble(df, models)
     if calibrator is None:
         return out.withColumn("pd_calibrated", F.col("pd_raw"))
-    calibrated = calibrator.transform(out)
-    return calibrated.withColumn("pd_calibrated", clip("prediction", 0.001, 0.999)).drop("prediction")
+    return calibrator.apply(out, "pd_raw", "__curve").withColumn("pd_calibrated", clip("__curve", 0.001, 0.999)).drop("__curve")
 
 
 def score_columns(p: Column, credit: Column, edges: Sequence[float], valid: Column, reasons: Column) -> dict[str, Column]:
@@ -147,7 +156,7 @@ def score_columns(p: Column, credit: Column, edges: Sequence[float], valid: Colu
 def score_batch(
     df: DataFrame,
     models: Sequence[Model],
-    calibrator: Model | None,
+    calibrator: Curve | None,
     medians: dict[str, float | None],
     edges: Sequence[float] = FALLBACK_TIER_EDGES,
 ) -> DataFrame:

@@ -205,12 +205,16 @@ class SearchSpace:
     """Random-search ranges for the boosted-tree model (fixed values)."""
 
     trees: tuple[int, int] = (200, 2000)
+    leaves: tuple[int, int] = (16, 127)
     depth: tuple[int, int] = (3, 10)
     step: tuple[float, float] = (0.005, 0.15)
     subsample: tuple[float, float] = (0.50, 1.00)
     min_rows: tuple[int, int] = (10, 200)
     min_gain: tuple[float, float] = (0.0, 1.0)
     columns: tuple[float, float] = (0.30, 1.00)
+    l1: tuple[float, float] = (1e-5, 10.0)
+    l2: tuple[float, float] = (1e-5, 10.0)
+    min_weight: tuple[float, float] = (1e-3, 10.0)
     seed: int = 42
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("losses_queries", "source_queries", "audit_queries", "clean_queries", "feature_queries", "woe_queries", "evaluate_queries", "scenario_queries", "decision_queries", "monitor_queries", "scoring_queries", "model_queries")
+MODULES = ("losses_queries", "source_queries", "audit_queries", "clean_queries", "feature_queries", "model_table", "woe_queries", "evaluate_queries", "scenario_queries", "decision_queries", "monitor_queries", "scoring_queries", "model_queries")
 
 
 def load_all() -> dict:

@@ -150,7 +150,7 @@ def cln_utilization(dom: Domain) -> DataFrame:
 def cln_assert_no_nulls(dom: Domain) -> DataFrame:
     """Every cleaned table, whole: no null may be left."""
     tables = {
-        "application": clean.clean_application(dom.application), "bureau": clean.clean_bureau(dom.bureau),
+        "application": clean.clean_applications(materialize(dom.application, "application")), "bureau": clean.clean_bureau(dom.bureau),
         "previous_application": clean.clean_previous(dom.previous), "installments": clean.clean_installments(dom.installments),
         "pos_cash": clean.clean_pos(dom.pos_cash), "credit_card": clean.clean_card(dom.credit_card),
     }
@@ -161,27 +161,21 @@ def cln_assert_no_nulls(dom: Domain) -> DataFrame:
     return out
 
 
-_MED = "coalesce({c}, (SELECT median({c}) FROM {t}))"
-
-
-def _m(column: str, table: str) -> str:
-    return f"{_MED.format(c=column, t=table)} AS {column}"
+_MEDIANS = ["days_employed", "ext_source_1", "ext_source_3", "amt_goods_price", "days_last_phone_change"]
 
 
 @query("cln_application", sql=f"""
     SELECT sk_id_curr, emp_anomaly, CASE WHEN code_gender = 'XNA' THEN 'Unknown' ELSE code_gender END AS code_gender,
-      {_m('days_employed', 'base_app')}, {_m('ext_source_1', 'base_app')}, {_m('ext_source_3', 'base_app')}, {_m('amt_goods_price', 'base_app')},
-      {_m('days_last_phone_change', 'base_app')},
-      least(amt_income_total, (SELECT quantile_cont(amt_income_total, 0.99) FROM base_app)) AS amt_income_total,
-      least(coalesce(amt_req_credit_bureau_qrt, (SELECT median(least(amt_req_credit_bureau_qrt, 12e0)) FROM base_app WHERE amt_req_credit_bureau_qrt IS NOT NULL)),
-        12e0) AS amt_req_credit_bureau_qrt,
-      coalesce(occupation_type, (SELECT occupation_type FROM application WHERE occupation_type IS NOT NULL
-        GROUP BY occupation_type ORDER BY count(*) DESC, occupation_type LIMIT 1)) AS occupation_type
-    FROM base_app""",
+      {', '.join(f'coalesce({c}, m_{c}) AS {c}' for c in _MEDIANS)}, least(amt_income_total, p99) AS amt_income_total,
+      least(coalesce(amt_req_credit_bureau_qrt, m_qrt), 12e0) AS amt_req_credit_bureau_qrt, coalesce(b.occupation_type, o.occupation_type) AS occupation_type
+    FROM base_app b JOIN (SELECT is_train, {', '.join(f'median({c}) AS m_{c}' for c in _MEDIANS)}, quantile_cont(amt_income_total, 0.99) AS p99,
+        median(least(amt_req_credit_bureau_qrt, 12e0)) FILTER (WHERE amt_req_credit_bureau_qrt IS NOT NULL) AS m_qrt FROM base_app GROUP BY is_train) m ON m.is_train = b.is_train
+      LEFT JOIN (SELECT is_train, occupation_type, row_number() OVER (PARTITION BY is_train ORDER BY count(*) DESC, occupation_type) AS k
+        FROM application WHERE occupation_type IS NOT NULL GROUP BY is_train, occupation_type) o ON o.is_train = b.is_train AND o.k = 1""",
     digits={"days_employed": 2, "ext_source_1": 6, "ext_source_3": 6, "amt_goods_price": 4, "days_last_phone_change": 2, "amt_income_total": 4})
 def cln_application(dom: Domain) -> DataFrame:
-    """The whole application cleaner; the car age column goes, being mostly empty."""
-    out = clean.clean_application(materialize(dom.application, "application"))
+    """The whole application cleaner, train and test apart; the car age column goes, being mostly empty."""
+    out = clean.clean_applications(materialize(dom.application, "application"))
     if "own_car_age" in out.columns:
         raise ValueError("the sparse column survived")
     return out.select("sk_id_curr", "emp_anomaly", "code_gender", "days_employed", "ext_source_1", "ext_source_3", "amt_goods_price",

@@ -104,14 +104,22 @@ def eva_cv_summary(dom: Domain) -> DataFrame:
     return evaluate.cv_summary(evaluate.fold_metrics(pd_model.stratified_folds(dom.application)))
 
 
-@query("eva_lgd_regression", sql="""SELECT avg(abs(a - p)) AS mae, avg((a - p) * (a - p)) AS mse, sqrt(avg((a - p) * (a - p))) AS rmse,
-    1 - avg((a - p) * (a - p)) / var_pop(a) AS r2 FROM (SELECT lgd AS a, 45e-2 + 2e-1 * ext_source_2 AS p FROM valued)""",
+_LGD_FOLD = f"(({_HASH}) // 7) % 5"
+
+
+@query("eva_lgd_regression", sql=f"""SELECT fold, avg(abs(a - p)) AS mae, avg((a - p) * (a - p)) AS mse, sqrt(avg((a - p) * (a - p))) AS rmse, 1 - avg((a - p) * (a - p)) / var_pop(a) AS r2
+    FROM (SELECT fold, lgd AS a, (sum(lgd) OVER t - sum(lgd) OVER f) / (count(*) OVER t - count(*) OVER f) AS p
+      FROM (SELECT *, ({_LGD_FOLD})::INTEGER AS fold FROM valued) WINDOW t AS (PARTITION BY name_contract_type), f AS (PARTITION BY name_contract_type, fold)) GROUP BY fold""",
     digits=dict.fromkeys(["mae", "mse", "rmse", "r2"], 8))
 def eva_lgd_regression(dom: Domain) -> DataFrame:
-    """The severity rule as the observed value, a fixed linear guess as the prediction."""
+    """Errors per fold of the severity predicted by the mean of the contract type in the other folds."""
     app = dom.application
-    rows = app.select(losses.lgd(app).alias("actual"), (0.45 + 0.2 * F.col("ext_source_2")).alias("predicted"))
-    return evaluate.regression_metrics(rows, "actual", "predicted")
+    fold = F.pmod(F.floor(explain.id_hash() / 7), F.lit(5)).cast("int")
+    rows = app.select("name_contract_type", fold.alias("fold"), losses.lgd(app).alias("actual"))
+    parts = rows.groupBy("name_contract_type", "fold").agg(F.sum("actual").alias("s"), F.count("actual").alias("n"))
+    whole = parts.groupBy("name_contract_type").agg(F.sum("s").alias("all_s"), F.sum("n").alias("all_n"))
+    means = parts.join(whole, "name_contract_type").select("name_contract_type", "fold", ((F.col("all_s") - F.col("s")) / (F.col("all_n") - F.col("n"))).alias("predicted"))
+    return evaluate.regression_metrics(rows.join(means, ["name_contract_type", "fold"]), "actual", "predicted", by=["fold"])
 
 
 @query("mod_strat_folds", sql=f"SELECT sk_id_curr, target, fold FROM ({FOLDS})")
@@ -135,16 +143,7 @@ def mod_risk_tier(dom: Domain) -> DataFrame:
     return with_tier(dom.application.select("sk_id_curr", "pred_prob"), dom)
 
 
-# ---- explanations on a fixed linear scorecard -----------------------------------------------
-
-BETAS = {"ext_source_2": -2.1, "ext_source_3": -1.7, "credit_income_ratio": 0.04, "annuity_income_ratio": 0.9, "credit_term": 0.013,
-         "age_years": -0.02, "region_rating_client_w_city": 0.25, "cnt_children": 0.06}
-_CONTRIB = "SELECT b.*, " + ", ".join(f"coalesce((b.{f} - m.{f}) * {v!r}e0, 0) AS {f}_contrib" for f, v in BETAS.items()) + \
-    " FROM tiered_app b, (SELECT " + ", ".join(f"avg({f}) AS {f}" for f in BETAS) + " FROM base_app) m"
-
-
-def _contrib(dom: Domain, *keep: str) -> DataFrame:
-    return explain.contributions(base(dom), BETAS, keep=keep)
+# ---- explanations ----------------------------------------------------------------------------
 
 
 @query("xai_sample", sql="SELECT sk_id_curr, amt_credit FROM application ORDER BY ((sk_id_curr + 42) * 48271) % 2147483647, sk_id_curr LIMIT 10000")
@@ -152,46 +151,6 @@ def xai_sample(dom: Domain) -> DataFrame:
     return explain.sample_rows(dom.application, 10_000, seed=42).select("sk_id_curr", "amt_credit")
 
 
-@query("xai_contrib", sql=f"SELECT sk_id_curr, {', '.join(f'{f}_contrib' for f in BETAS)} FROM ({_CONTRIB})", digits={f"{f}_contrib": 7 for f in BETAS})
-def xai_contrib(dom: Domain) -> DataFrame:
-    return _contrib(dom)
-
-
-_LONG = " UNION ALL ".join(f"SELECT sk_id_curr, risk_tier, pred_prob, '{f}' AS feature, {f}_contrib AS contribution FROM ({_CONTRIB})" for f in BETAS)
-
-
-@query("xai_global_rank", sql=f"""SELECT feature, avg(abs(contribution)) AS mean_abs FROM ({_LONG}) GROUP BY feature ORDER BY mean_abs DESC, feature LIMIT 20""",
-       digits={"mean_abs": 7})
-def xai_global_rank(dom: Domain) -> DataFrame:
-    return explain.global_rank(_contrib(dom), list(BETAS))
-
-
-@query("xai_waterfall", sql=f"""
-    SELECT client, sk_id_curr, pred_prob, (row_number() OVER (PARTITION BY client ORDER BY abs(contribution) DESC, feature))::INTEGER AS rank, feature, contribution
-    FROM (SELECT 'high' AS client, * FROM ({_LONG}) WHERE sk_id_curr = (SELECT sk_id_curr FROM application ORDER BY pred_prob DESC, sk_id_curr LIMIT 1)
-      UNION ALL SELECT 'low', * FROM ({_LONG}) WHERE sk_id_curr = (SELECT sk_id_curr FROM application ORDER BY pred_prob, sk_id_curr LIMIT 1))""",
-    digits={"contribution": 7})
-def xai_waterfall(dom: Domain) -> DataFrame:
-    return explain.waterfall(_contrib(dom, "pred_prob"), list(BETAS))
-
-
-PAIRS = [("ext_source_2", "ext_source_3"), ("credit_income_ratio", "age_years"), ("credit_term", "cnt_children")]
-
-
-@query("xai_dependence", sql=" UNION ALL ".join(
-    f"SELECT sk_id_curr, '{f}' AS feature, '{g}' AS interaction, {f}::DOUBLE AS x, {f}_contrib AS contribution, {g}::DOUBLE AS z FROM ({_CONTRIB})" for f, g in PAIRS),
-    digits={"x": 6, "contribution": 7, "z": 6})
-def xai_dependence(dom: Domain) -> DataFrame:
-    features = sorted({f for pair in PAIRS for f in pair})
-    return explain.dependence(_contrib(dom, *features), PAIRS)
-
-
-@query("xai_by_tier", sql=f"SELECT risk_tier, feature, avg(contribution) AS mean_contribution FROM ({_LONG}) GROUP BY risk_tier, feature",
-       digits={"mean_contribution": 7})
-def xai_by_tier(dom: Domain) -> DataFrame:
-    return explain.by_tier(with_tier(_contrib(dom, "pred_prob"), dom), list(BETAS))
-
-
 _DEV = ["ext_source_2", "ext_source_3", "credit_income_ratio", "credit_term", "age_years", "amt_credit", "amt_income_total"]
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.operators import lgd_model, losses
+from lendmill.operators import encode, lgd_model, losses
 from lendmill.operators.explain import id_hash
+from lendmill.plans.model_table import model_table
 from lendmill.plans.portfolio import base, portfolio, with_history
 from lendmill.plans.registry import query
 from lendmill.sources.domain import Domain
@@ -150,14 +151,16 @@ def ecl_by_scenario(dom: Domain) -> DataFrame:
     return losses.ecl_by_scenario(portfolio(dom))
 
 
-LGD_FEATURES = ["credit_income_ratio", "annuity_income_ratio", "credit_term", "goods_credit_ratio", "age_years", "ext_source_2"]
-
-
 @query("ecl_lgd_model")
 def ecl_lgd_model(dom: Domain) -> DataFrame:
-    """Boosted against ridge regression of an observed severity: the rule plus a fixed hash offset."""
+    """Boosted against ridge regression of an observed severity (the rule plus a fixed hash offset) on all features of the defaults.
+
+    Up to 200 rounds of depth 6, ended by 20 rounds without gain on the fold that is predicted.
+    """
     rows = base(dom)
     offset = (F.pmod(id_hash(), F.lit(1000)) / 1000.0 - 0.5) * 0.2
-    observed = rows.select("sk_id_curr", "target", *LGD_FEATURES, (losses.lgd(rows) + offset).alias("actual_lgd"))
-    settings = lgd_model.LgdParams(trees=10, depth=3)
-    return lgd_model.cross_validate(lgd_model.training_rows(observed), LGD_FEATURES, "actual_lgd", params=settings)
+    observed = rows.select("sk_id_curr", (losses.lgd(rows) + offset).alias("actual_lgd"))
+    table = model_table(dom)
+    rows = lgd_model.training_rows(table.filled.join(observed, "sk_id_curr"))
+    constant = {r["feature"] for r in encode.low_variance(rows, table.selected, 1e-6).collect()}
+    return lgd_model.cross_validate(rows, [f for f in table.selected if f not in constant], "actual_lgd")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lendmill.operators import encode, woe
 from lendmill.plans.portfolio import base, feature_table, with_history
 from lendmill.plans.registry import query
+from lendmill.session import materialize
 from lendmill.sources.domain import Domain
 
 # ---- encoding and selection -----------------------------------------------------------------
@@ -35,6 +36,18 @@ def enc_one_hot(dom: Domain) -> DataFrame:
     return encode.encode_one_hot(rows, encode.fit_encoding(rows))
 
 
+_SPARSE = ["name_income_type", "occupation_type", "code_gender"]
+
+
+@query("enc_one_hot_sparse", sql="SELECT * FROM (WITH long AS (" + " UNION ALL ".join(f"SELECT sk_id_curr, {k} AS place, {c} AS value FROM application" for k, c in enumerate(_SPARSE)) + """),
+    coded AS (SELECT place, value, row_number() OVER (ORDER BY place, value) - 1 AS code FROM (SELECT DISTINCT place, value FROM long WHERE value IS NOT NULL))
+    SELECT sk_id_curr, (SELECT count(*) FROM coded) AS size, string_agg(code::VARCHAR, ',' ORDER BY code) AS ones FROM long JOIN coded USING (place, value) GROUP BY sk_id_curr)""")
+def enc_one_hot_sparse(dom: Domain) -> DataFrame:
+    """One-hot vectors through a distributed dictionary; the indices of the ones as text."""
+    codes = materialize(encode.dictionary(dom.application, _SPARSE), "dictionary")
+    return encode.sparse_one_hot(dom.application, _SPARSE, codes).select("sk_id_curr", "size", F.array_join("indices", ",").alias("ones"))
+
+
 _TRAIN_FILL = ["amt_goods_price", "ext_source_1", "days_last_phone_change"]
 
 
@@ -46,32 +59,6 @@ def enc_train_median(dom: Domain) -> DataFrame:
     return encode.impute_train_median(rows, _TRAIN_FILL).drop("is_train")
 
 
-NUMERIC = ["cnt_children", "cnt_fam_members", "amt_credit", "amt_income_total", "amt_annuity", "days_birth", "days_id_publish", "ext_source_2",
-           "flag_document_3", "flag_document_6", "age_years", "years_id_publish", "credit_income_ratio", "annuity_income_ratio", "credit_term", "pred_prob"]
-
-
-@query("sel_low_variance", sql="SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, var_samp({c}) AS variance FROM (SELECT *, ext_source_2 / 1e1 AS small_score FROM base_app)" for c in [*NUMERIC, "small_score"])
-    + ") WHERE variance < 1e-2", digits={"variance": 8})
-def sel_low_variance(dom: Domain) -> DataFrame:
-    rows = base(dom).withColumn("small_score", F.col("ext_source_2") / 10.0)
-    return encode.low_variance(rows, [*NUMERIC, "small_score"])
-
-
-@query("sel_high_corr", sql="SELECT feature, sum(hit)::INTEGER AS n_partners FROM (" + " UNION ALL ".join(
-    f"SELECT '{b}' AS feature, CASE WHEN abs(corr({a}, {b})) > 95e-2 THEN 1 ELSE 0 END AS hit FROM base_app"
-    for j, b in enumerate(NUMERIC) for a in NUMERIC[:j]) + ") GROUP BY feature HAVING sum(hit) > 0")
-def sel_high_corr(dom: Domain) -> DataFrame:
-    return encode.high_correlation(base(dom), NUMERIC)
-
-
-@query("sel_target_corr", sql="SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, abs(corr({c}, target)) AS abs_corr FROM base_app WHERE is_train = 1" for c in NUMERIC)
-    + ") ORDER BY abs_corr DESC, feature LIMIT 20", digits={"abs_corr": 8})
-def sel_target_corr(dom: Domain) -> DataFrame:
-    return encode.target_correlation(base(dom).filter("is_train = 1"), NUMERIC)
-
-
 STATS = ["amt_credit", "amt_income_total", "ext_source_1", "ext_source_2", "credit_income_ratio", "credit_term", "years_employed"]
 
 
@@ -197,24 +184,24 @@ def woe_fit(dom: Domain) -> DataFrame:
 def _apply_sql() -> str:
     out = "SELECT b.sk_id_curr"
     joins = ""
-    for i, f in enumerate(_FIT_FEATURES):
+    for i, f in enumerate(ALL_FEATURES):
         out += f", coalesce(w{i}.woe, 0) AS {f}_woe"
         if f in VALUE_FEATURES:
-            joins += f" LEFT JOIN w AS w{i} ON w{i}.feature = '{f}' AND w{i}.bin = b.{f}"
+            joins += f" LEFT JOIN w AS w{i} ON w{i}.feature = '{f}' AND w{i}.bin = b.{f}::VARCHAR"
         else:
             grid = ", ".join(str(k / 10) for k in range(11))
             joins += f""" CROSS JOIN (SELECT list_sort(list_distinct(quantile_cont({f}, [{grid}]))) AS e FROM base_app WHERE is_train = 1) AS m{i}
               LEFT JOIN w AS w{i} ON w{i}.feature = '{f}' AND b.{f} >= m{i}.e[1] AND b.{f} <= m{i}.e[len(m{i}.e)]
                 AND w{i}.bin = CAST(greatest(len(list_filter(m{i}.e, lambda v: v < b.{f})), 1) AS VARCHAR)"""
-    return f"SELECT * FROM (WITH w AS ({_woe_sql('base_app', _FIT_FEATURES, 'is_train = 1')}) {out} FROM base_app b {joins})"
+    return f"SELECT * FROM (WITH w AS ({_woe_sql('base_app', ALL_FEATURES, 'is_train = 1')}) {out} FROM base_app b {joins})"
 
 
-@query("woe_apply", sql=_apply_sql(), digits={f"{f}_woe": 7 for f in _FIT_FEATURES})
+@query("woe_apply", sql=_apply_sql(), digits={f"{f}_woe": 7 for f in ALL_FEATURES})
 def woe_apply(dom: Domain) -> DataFrame:
-    """Train-fitted WoE on all rows; test values outside the fitted range are neutral."""
-    rows = feature_table(base(dom), ["sk_id_curr", "is_train", "target", *_FIT_FEATURES])
-    fitted = woe.fit_woe(rows.filter("is_train = 1"), _FIT_FEATURES)
-    return woe.apply_woe(rows, fitted).select("sk_id_curr", *[f"{f}_woe" for f in _FIT_FEATURES])
+    """Train-fitted WoE of all features on all rows; test values outside the fitted range are neutral."""
+    rows = feature_table(base(dom), ["sk_id_curr", "is_train", "target", *ALL_FEATURES])
+    fitted = woe.fit_woe(rows.filter("is_train = 1"), ALL_FEATURES)
+    return woe.apply_woe(rows, fitted).select("sk_id_curr", *[f"{f}_woe" for f in ALL_FEATURES])
 
 
 @query("woe_equal_width", sql="""

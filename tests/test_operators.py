@@ -312,7 +312,7 @@ def test_calibration_is_monotone(spark):
     assert all(a <= b + 1e-12 for a, b in zip(steps, steps[1:]))
 
 
-@pytest.mark.parametrize("name,rows", [("mod_logistic", None), ("mod_gbt", None), ("mod_forest", None), ("mod_leaderboard", 3), ("mod_tune", 2), ("xai_pdp", 200),
+@pytest.mark.parametrize("name,rows", [("mod_logistic", None), ("mod_gbt", None), ("mod_forest", None), ("mod_leaderboard", 4), ("mod_tune", 9), ("xai_pdp", None), ("xai_contrib", None), ("xai_waterfall", 30), ("xai_by_tier", None),
                                        ("ecl_lgd_model", 2), ("sco_ensemble", None), ("src_json_maps", None)])
 def test_model_queries_run(spark, name, rows):
     out = run(spark, name)
