@@ -14,7 +14,6 @@ Positions come from a range partitioning by (group, order), with one row of coun
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
