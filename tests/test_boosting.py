@@ -206,3 +206,29 @@ def test_scores_in_one_pass(spark):
     for k, model in enumerate(models):
         assert [r[f"m{k}"] for r in rows] == pytest.approx(model.outputs(x))
     assert boosting.score(df.filter(F.lit(False)), {"m0": models[0]}, ["sk_id_curr"]).count() == 0
+
+
+def test_halving_keeps_the_best_of_each_rung(spark):
+    x, y, fold = sample(400)
+    rng = np.random.default_rng(4)
+    noisy = np.where(rng.random(len(y)) < 0.2, 1 - y, y)
+    data = boosting.quantise(frame(spark, x, noisy, fold % 2), FEATURES, "target", fold="fold", bins=16)
+    settings = [Params(rounds=18, leaves=leaves, step=step, min_rows=10, patience=0) for leaves in (2, 4, 12) for step in (0.02, 0.2, 0.7)]
+    wanted = [(p, k) for p in settings for k in range(2)]
+    trial = [t for t in range(9) for _ in range(2)]
+    whole = boosting.fit_all(data, wanted)
+    pruned = boosting.fit_all(data, wanted, boosting.Halving(trial, first=2, most=18, factor=3))
+
+    def best(models, t, rounds):
+        return sum(min(m.curve[:rounds]) for m in models[2 * t : 2 * t + 2]) / 2
+
+    expected, running = {}, list(range(9))
+    for rung in (2, 6, 18):
+        # the loss of the last tree is not known yet when a rung is judged
+        left = sorted(running, key=lambda t: (best(whole, t, rung), t))[: max(1, len(running) // 3)]
+        expected |= {t: rung for t in running}
+        running = left
+    assert [len(pruned[2 * t].trees) for t in range(9)] == [expected[t] for t in range(9)]
+    assert sorted(expected.values()) == [2] * 6 + [6] * 2 + [18]
+    for a, b in zip(pruned, whole):
+        assert a.curve == pytest.approx(b.curve[: len(a.curve)])
