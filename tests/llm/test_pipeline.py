@@ -8,7 +8,8 @@ import corpus_pipeline
 from lendmill.llm import site_quality
 from lendmill.llm.queries import ORACLES, QUERIES
 from tests.conftest import SMALL
-from tests.llm.cases import awkward_rows, empty, frame, sentence
+from tests.llm.cases import alnum_words, awkward_rows, empty, frame, sentence
+from tests.llm.test_duplicates import groups, plain_links
 
 
 # the smallest data have too few labels for the classifier to reject anything
@@ -31,9 +32,20 @@ def test_stages_keep_the_columns_and_take_effect(spark, tmp_path):
 
 
 def test_stages_take_awkward_and_empty_tables(spark):
-    for docs in (frame(spark, awkward_rows()), empty(spark)):
-        for name, stage in corpus_pipeline.STAGES:
-            assert stage(spark, docs, SMALL).count() >= 0, name
+    rows = awkward_rows()
+    links = plain_links(rows)
+    worded = [i for i, r in enumerate(rows) if alnum_words(r[1])]
+    groups_left = len(set(groups(worded, [(i, j) for i, js in links.items() for j in js]).values()))
+    wordless = len({r[:2] for i, r in enumerate(rows) if i not in worded})
+    # too few labels here to reject anything, no benchmark passage, secrets stay as rows
+    left = {"quality classifier": len(rows), "n-gram jaccard join": groups_left + wordless, "benchmark decontamination": len(rows), "secret scans": len(rows)}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, frame(spark, rows), SMALL)
+        if name in left:
+            assert out.count() == left[name], name
+        else:
+            assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == {r[0] for r in rows}
+        assert stage(spark, empty(spark), SMALL).count() == 0, name
 
 
 def test_one_query_per_operator():
