@@ -607,6 +607,8 @@ def fit_all(data: Binned, wanted: Sequence[tuple[Params, int]], halving: Halving
     shares = max(1, min(len(wanted), spark.sparkContext.defaultParallelism // count_))
     blocks = data.blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).select(*_BLOCK)
     blocks = copies = materialize(blocks.repartitionById(shares, "share"), "shares") if shares > 1 else blocks
+    # read in every pass: kept in memory where there is room, else from the file
+    blocks = blocks.persist()
     fits = [_Fit(k, params, held, base, data, shares) for k, ((params, held), base) in enumerate(zip(wanted, _bases(data, wanted)))]
     name, gaps, written = uuid.uuid4().hex, data.gaps, None
     rung, running = (halving.first, sorted(set(halving.trial))) if halving else (0, [])
@@ -625,9 +627,10 @@ def fit_all(data: Binned, wanted: Sequence[tuple[Params, int]], halving: Halving
             jobs.setdefault(f.number % shares, []).append(f.job())
         if late:
             schema = ", ".join([*(f"{c} {t}" for c, t in blocks.select(*_BLOCK).dtypes), "margins binary"])
-            blocks = materialize(blocks.mapInArrow(_written(name, jobs, -(-len(fits) // shares), gaps), schema), "margins")
+            new = materialize(blocks.mapInArrow(_written(name, jobs, -(-len(fits) // shares), gaps), schema), "margins")
+            blocks.unpersist()
             release(written)
-            written = blocks
+            written, blocks = new, new.persist()
             for f in running_fits:
                 f.done = len(f.trees)
             continue
@@ -650,6 +653,7 @@ def fit_all(data: Binned, wanted: Sequence[tuple[Params, int]], halving: Halving
                 splits[r["model"]][r["node"]] = Split(r["gain"], r["feature"], r["code"], r["gap_left"], tuple(r["left"]), tuple(r["right"]))
         for f in live:
             f.take(splits[f.number], lost.get(f.number))
+    blocks.unpersist()
     release(written)
     if shares > 1:
         release(copies)
