@@ -15,6 +15,9 @@ from lendmill.plans.portfolio import portfolio
 from lendmill.session import shared_path
 from lendmill.sources import schemas
 from tests.conftest import SMALL
+from tests.short_models import short_models  # noqa: F401
+
+pytestmark = pytest.mark.usefixtures("short_models")
 
 APPLICATION = "sk_id_curr bigint, name_contract_type string, amt_credit double, amt_goods_price double, pred_prob double"
 

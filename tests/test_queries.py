@@ -7,6 +7,9 @@ import pytest
 from lendmill.plans import load_all
 from tests.compare import compare, connect
 from tests.conftest import SMALL
+from tests.short_models import short_models  # noqa: F401
+
+pytestmark = pytest.mark.usefixtures("short_models")
 
 QUERIES = load_all()
 CHECKED = [n for n, q in QUERIES.items() if q.sql is not None]
