@@ -232,3 +232,41 @@ def test_halving_keeps_the_best_of_each_rung(spark):
     assert sorted(expected.values()) == [2] * 6 + [6] * 2 + [18]
     for a, b in zip(pruned, whole):
         assert a.curve == pytest.approx(b.curve[: len(a.curve)])
+
+
+@pytest.mark.parametrize("heavy", [1.0, 1e7])
+@pytest.mark.parametrize("every", [True, False])
+def test_histograms_equal_plain_sums(heavy, every):
+    """Counts packed into the second sums (light weights) or added up on their own (heavy ones), over all rows of a block or some."""
+    rng = np.random.default_rng(3)
+    widths, n, nodes = [2, 5, 256], 500, 3
+    first = np.concatenate([[0], np.cumsum(widths)])
+    codes = np.stack([rng.integers(0, w, n) for w in widths]).astype(np.uint8)
+    rows = np.arange(n) if every else np.flatnonzero(rng.random(n) < 0.4)
+    node = rng.integers(0, nodes, len(rows))
+    g, h = (np.rint(rng.uniform(low, 1, len(rows)) * heavy * boosting.SCALE).astype(np.int64) for low in (-1, 0))
+    assert (int(h.sum()) < boosting._COUNTED) == (heavy == 1.0)
+    expected = np.zeros((nodes, int(first[-1]), 3), np.int64)
+    for f in (0, 2):
+        for r, k, a, b in zip(rows, node, g, h):
+            expected[k, first[f] + codes[f, r]] += (a, b, 1)
+    sums = np.zeros_like(expected)
+    boosting._histograms(codes, node, nodes, g, h, [0, 2], first, None if every else rows, sums)
+    assert (sums == expected).all()
+
+
+def test_rows_go_on_from_the_node_they_were_in():
+    """A pass does not walk from the root again; a new round, or an earlier form of the tree, does."""
+    codes, gaps = np.array([[0, 1, 2, 3, 4]], np.uint8), np.array([4])
+    tree = lambda cuts: boosting.Tree(
+        np.array([0 if c is not None else -1 for c in cuts]), np.array([c or 0 for c in cuts]), np.zeros(len(cuts)), np.ones(len(cuts), bool),
+        np.array([1, 3, -1, -1, -1][: len(cuts)]), np.array([2, 4, -1, -1, -1][: len(cuts)]), np.zeros(len(cuts)), np.zeros(len(cuts)))
+    small, large = tree([1, None, None]), tree([1, 0, None, None, None])
+    job = lambda growing, recent=(): boosting._Job(0, 0, boosting.Params(), -1, 0.0, 0, list(recent), growing, [0], np.array([0]), False)
+    whole = large.leaf_by_code(codes, gaps).tolist()
+    assert boosting._placed("walk", 1, job(small), codes, gaps).tolist() == small.leaf_by_code(codes, gaps).tolist()
+    moved = tree([None, 0, None, None, None])
+    # with a root that is a leaf now, only rows that were moved before can stand deeper
+    assert boosting._placed("walk", 1, job(moved), codes, gaps).tolist() == whole
+    assert boosting._placed("walk", 1, job(small), codes, gaps).tolist() == small.leaf_by_code(codes, gaps).tolist()
+    assert boosting._placed("walk", 1, job(large, [small]), codes, gaps).tolist() == whole
