@@ -7,9 +7,12 @@ two sets agree in a place with probability equal to their Jaccard similarity.
 A run starts with all classes in one node. A node picks `branch` places at random, by a hash of
 its own path; each class goes into the children named by a place and its value there. Similar sets
 keep sharing a child, others part. Nodes of at most `bucket` classes are leaves and compared by
-brute force, larger ones split again. A node that is still too large at the last level is cut into
-blocks and every pair of blocks is a leaf, so nothing is dropped. Runs are repeated until the
-chance of losing a pair at the threshold is below `1 - recall`.
+brute force, larger ones split again. A node whose children hold as many pairs as itself (a group
+of near copies) is not split: that would only copy its classes. Such a node, and one that is still
+too large at the last level, is cut into blocks and every pair of blocks is a leaf, so nothing is
+dropped. There are at most `MOST_BLOCKS` blocks, so a class is copied that often at most, however
+large its group. Runs are repeated until the chance of losing a pair at the threshold is below
+`1 - recall`.
 
 Nodes have a position (run, and choice at each level), the same for all classes. A pair may meet in
 several leaves and belongs to the one at the first position. A first pass over the leaves compares
@@ -39,6 +42,8 @@ BRANCH = 2
 BUCKET = 1024
 LEVELS = 3
 RECALL = 1 - 1e-6
+# Blocks of a node that is not split; each class of it is copied into as many leaves.
+MOST_BLOCKS = 4
 SALTS = 16  # tasks that the members of one node are dealt to while they are counted
 # Standard deviations below the expected agreement at which a candidate is still checked.
 SLACK = 4.5
@@ -133,7 +138,7 @@ def positions(runs: int, branch: int, levels: int) -> list[int]:
 
 
 def _children(runs: int, branch: int, first: int, start: int):
-    """Rows (path, position, rep, marks) to the rows of their children, whose positions begin at `start`.
+    """Rows (path, position, rep, marks) to the rows of their children (with the path as `parent`), whose positions begin at `start`.
 
     `first` is the first position of the rows; -1 stands for the roots of all runs.
     """
@@ -155,7 +160,7 @@ def _children(runs: int, branch: int, first: int, start: int):
                     who = np.repeat(np.arange(len(part)), branch)
                     child = arrays.mix(chosen[who, place] + some[who, place].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                     position = start + at[lo + who] * branch + np.tile(np.arange(branch), len(part))
-                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(position, pa.int32()), pa.array(reps[lo + who])], ["path", "position", "rep"])
+                    yield pa.RecordBatch.from_arrays([pa.array(part[who].view(np.int64)), pa.array(child.view(np.int64)), pa.array(position, pa.int32()), pa.array(reps[lo + who])], ["parent", "path", "position", "rep"])
 
     return run
 
@@ -226,6 +231,24 @@ def _owning(similar: float, width: int):
     return run
 
 
+def _sized(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of the nodes in `sizes` (path, size), with the size."""
+    # a node may hold a third of all classes: its members are dealt over several tasks
+    salted = sizes.select("path", "size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["path", "salt"]).drop("salt")
+
+
+_LEAF = ["path", "position", "own", "crossed", "rep"]
+
+
+def _blocks(rows: DataFrame, bucket: int) -> DataFrame:
+    """The leaves of nodes (with their size) that are compared block by block."""
+    blocks = F.least(F.ceil(F.col("size") / bucket), F.lit(MOST_BLOCKS)).cast("int")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumn("crossed", F.col("own") != F.col("other"))
+    return dealt.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), *_LEAF)
+
+
 def leaves(classes: DataFrame, similar: float, branch: int, bucket: int, levels: int, runs: int) -> DataFrame:
     """(leaf, path, position, own, crossed, rep): the leaves of all runs that hold two classes or more.
 
@@ -233,30 +256,31 @@ def leaves(classes: DataFrame, similar: float, branch: int, bucket: int, levels:
     class's block, and of a `crossed` leaf only pairs of different blocks are compared.
     """
     first = positions(runs, branch, levels)
-    schema = "path long, position int, rep long"
+    schema = "parent long, path long, position int, rep long"
+    pairs = F.col("size") * (F.col("size") - 1)
     rows = classes.select("rep", "marks").mapInArrow(_children(runs, branch, -1, 0), schema)
-    found = now = None
+    found = now = split = None
     for level in range(levels):
-        before, rows = now, materialize(rows, "paths")
-        release(before)
-        now = rows
-        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        # a node may hold a third of all classes: its members are dealt over several tasks
-        salted = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        sized = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["path", "salt"]).drop("salt")
-        small, large = sized.filter(F.col("size") <= bucket), sized.filter(F.col("size") > bucket)
-        columns = ["path", "position", "own", "crossed", "rep"]
-        met = small.withColumns({"own": F.lit(0), "crossed": F.lit(False)}).select(F.col("path").alias("leaf"), *columns)
+        before, now = now, materialize(rows, "paths")
+        sizes = materialize(now.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
+        met = None
+        if split is not None:
+            # nodes of the level above that splitting does not make less work of
+            left = sizes.groupBy(F.col("parent").alias("path")).agg(F.sum(pairs).alias("left"))
+            whole = materialize(split.join(left, "path").filter(F.col("left") >= pairs).select("path", "size"), "whole")
+            met = _blocks(_sized(before, whole), bucket)
+            sizes = sizes.join(whole.select(F.col("path").alias("parent")), "parent", "left_anti")
+        split = sizes.filter(F.col("size") > bucket).select("path", "size")
+        small = _sized(now, sizes.filter(F.col("size") <= bucket)).withColumns({"own": F.lit(0), "crossed": F.lit(False)}).select(F.col("path").alias("leaf"), *_LEAF)
+        met = small if met is None else met.union(small)
         if level == levels - 1:
-            blocks = F.ceil(F.col("size") / bucket).cast("int")
-            dealt = large.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            dealt = dealt.withColumn("crossed", F.col("own") != F.col("other"))
-            met = met.union(dealt.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("leaf"), *columns))
+            met = met.union(_blocks(_sized(now, split), bucket))
         met = materialize(met, "leaves")
+        release(before)
         found = met if found is None else found.union(met)
-        if level == levels - 1 or large.isEmpty():
+        if level == levels - 1 or split.isEmpty():
             break
-        parents = large.select("path", "position", "rep").join(classes.select("rep", "marks"), "rep")
+        parents = _sized(now, split).select("path", "position", "rep").join(classes.select("rep", "marks"), "rep")
         rows = parents.mapInArrow(_children(runs, branch, first[level], first[level + 1]), schema)
     release(now)
     return found

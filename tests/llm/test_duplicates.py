@@ -62,6 +62,37 @@ def test_join_equals_all_pairs(spark, bucket, levels):
     assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in got.collect()) == want
 
 
+def near_copies(count, seed=5):
+    """Copies of one text with a few words changed each: most nodes of the tree hold most of them."""
+    rnd = random.Random(seed)
+    base = sentence(rnd, 120).split()
+    rows = []
+    for i in range(count):
+        words = list(base)
+        for k in range(4):
+            words[rnd.randrange(len(words))] = f"w{i}x{k}"
+        rows.append((i, " ".join(words), "en", "s"))
+    return rows
+
+
+def test_rows_of_a_group_of_near_copies_grow_with_its_size(spark):
+    runs = chosen_path.runs_needed(chosen_path.RECALL, chosen_path.SIMILAR)
+    made = []
+    for count in (40, 160):
+        runtime.prepare(spark)
+        sketches = chosen_path._identified(frame(spark, near_copies(count))).mapInArrow(chosen_path._sketched(5), "id long, row long, s1 long, s2 long, n int, marks binary, short binary")
+        classes = sketches.select(sketches["id"].alias("rep"), "marks")
+        made.append(chosen_path.leaves(classes, chosen_path.SIMILAR, 2, 4, 3, runs).count())
+    assert made[1] < 6 * made[0]
+
+
+def test_links_of_a_group_of_near_copies(spark):
+    rows = near_copies(60)
+    links = plain_links(rows)
+    got = chosen_path.near_duplicates(frame(spark, rows), bucket=4, levels=3)
+    assert {r["doc_id"]: r["n_links"] for r in got.collect()} == {rows[i][0]: len(js) for i, js in links.items()}
+
+
 def test_join_without_rows_or_ids(spark):
     assert chosen_path.near_duplicates(empty(spark)).count() == 0
     rows = [(None, "one two three four five six", "en", "s"), (4, "one two three four five six", "en", "s")]
