@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import count_when, spread
 
+# Rows of a task where keys are counted.
+ROWS_PER_TASK = 1_000_000
+
 
 def require_columns(df: DataFrame, columns: Sequence[str], context: str) -> DataFrame:
     """Fail at analysis time when columns are absent."""
@@ -20,27 +23,33 @@ def require_columns(df: DataFrame, columns: Sequence[str], context: str) -> Data
     return df
 
 
-def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+def _dealt(df: DataFrame, key: Sequence[str], rows: int | None) -> DataFrame:
+    """`df` dealt by key to tasks of about `ROWS_PER_TASK` rows; `rows` is their number, about.
+
+    Counting keys that are mostly unique combines nothing before the shuffle, it only fills a table
+    of all keys in each task. Here a task holds the keys of its own share.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-(df.count() if rows is None else rows) // ROWS_PER_TASK)), *key)
+
+
+def repeated_keys(df: DataFrame, key: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Keys that occur more than once, with their row count; `rows`, if known, is about the size of `df`."""
+    return _dealt(df.select(*key), key, rows).groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
-def orphan_keys(children: dict[str, DataFrame], parent: DataFrame, key: str) -> DataFrame:
-    """Per child table: keys without a parent, and their rows.
+def orphan_keys(children: dict[str, DataFrame], parent: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """Per child table: keys without a parent, and their rows; `rows`, if known, is about the size of all tables together.
 
-    Children are counted per key first, so the anti join sees each key once.
+    Children and parents meet in one shuffle and are counted per key; a null key has no parent.
     """
-    counted = reduce(
-        DataFrame.union,
-        [c.groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("child"), key, "n") for name, c in children.items()],
-    )
-    orphans = counted.join(parent.select(key), key, "left_anti")
-    names = [F.struct(F.lit(n).alias("child")) for n in children]
-    seen = orphans.groupBy("child").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("r"))
-    listed = parent.sparkSession.range(1).select(F.inline(F.array(*names)))
-    return listed.join(F.broadcast(seen), "child", "left").select(  # one row per child table
-        "child", F.coalesce("k", F.lit(0)).alias("orphan_keys"), F.coalesce("r", F.lit(0)).alias("orphan_rows")
-    )
+    tables = [*children.values(), parent]
+    tagged = reduce(DataFrame.union, [t.select(F.col(key).alias("key"), F.lit(k).alias("tag")) for k, t in enumerate(tables)])
+    counts = [F.count_if(F.col("tag") == k).alias(f"n{k}") for k in range(len(tables))]
+    counted = _dealt(tagged, ["key"], rows).groupBy("key").agg(*counts)
+    orphans = counted.filter(F.col("key").isNull() | (F.col(f"n{len(children)}") == 0))
+    seen = orphans.agg(*[c for k in range(len(children)) for c in (F.count_if(F.col(f"n{k}") > 0).alias(f"k{k}"), F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"r{k}"))])
+    return spread(seen, {"orphan_keys": "bigint", "orphan_rows": "bigint"}, {name: {"orphan_keys": F.col(f"k{k}"), "orphan_rows": F.col(f"r{k}")} for k, name in enumerate(children)}, name="child")
 
 
 def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

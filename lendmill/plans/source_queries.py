@@ -187,8 +187,10 @@ def chk_pk_unique(dom: Domain) -> DataFrame:
         "application": dom.application, "bureau": dom.bureau, "previous_application": dom.previous,
         "application_features": base(dom), "predictions": dom.application.select("sk_id_curr", F.lit("lgbm_v1").alias("model_version")),
     }
+    orders, lines = (dom.table(t).count() for t in ("orders", "lineitem"))
+    rows = dict.fromkeys(tables, orders) | dict.fromkeys(("bureau", "previous_application"), lines)
     parts = [
-        checks.repeated_keys(tables[t], k).select(F.lit(t).alias("tbl"), F.concat_ws("/", *[F.col(c).cast("string") for c in k]).alias("key"), "n_rows")
+        checks.repeated_keys(tables[t], k, rows[t]).select(F.lit(t).alias("tbl"), F.concat_ws("/", *[F.col(c).cast("string") for c in k]).alias("key"), "n_rows")
         for t, k in _KEYS.items()
     ]
     return concat_rows(*parts)
@@ -211,7 +213,8 @@ def chk_fk_orphans(dom: Domain) -> DataFrame:
         "customers": dom.table("customer").select(F.col("c_custkey").alias("sk_id_curr")),
         "parts": dom.table("lineitem").select((F.col("l_partkey") + 14000).alias("sk_id_curr")),
     }
-    return checks.orphan_keys(children, dom.application.select("sk_id_curr"), "sk_id_curr")
+    rows = 3 * dom.table("lineitem").count() + sum(dom.table(t).count() for t in ("customer", "orders"))
+    return checks.orphan_keys(children, dom.application.select("sk_id_curr"), "sk_id_curr", rows)
 
 
 @query("chk_domain", sql="""
