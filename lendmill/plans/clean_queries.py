@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lendmill.functions.nullsafe import spread
 from lendmill.operators import clean
+from lendmill.plans.portfolio import installments
 from lendmill.plans.registry import query
 from lendmill.session import materialize
 from lendmill.sources.domain import Domain
@@ -151,7 +152,7 @@ def cln_assert_no_nulls(dom: Domain) -> DataFrame:
     """Every cleaned table, whole: no null may be left."""
     tables = {
         "application": clean.clean_applications(materialize(dom.application, "application")), "bureau": clean.clean_bureau(dom.bureau),
-        "previous_application": clean.clean_previous(dom.previous), "installments": clean.clean_installments(dom.installments),
+        "previous_application": clean.clean_previous(dom.previous), "installments": clean.clean_installments(installments(dom)),
         "pos_cash": clean.clean_pos(dom.pos_cash), "credit_card": clean.clean_card(dom.credit_card),
     }
     out = None
