@@ -79,3 +79,21 @@ def test_exchanges_do_not_grow_with_the_features(spark):
         return plan.count("Exchange")
 
     assert exchanges(2) == exchanges(12)
+
+
+def test_variances_equal_those_of_sql(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 6)) * [1, 1e-3, 1e6, 1, 1, 1] + [0, 1e6, 1e9, 0, 0, 0]
+    x[:, 3] = 0.1
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[:, 4] = np.nan
+    x[1:, 5] = np.nan
+    x[0, 5] = 2.0
+    names = [f"c{k}" for k in range(6)]
+    df = frame(spark, x, names)
+    got = {r["feature"]: r["variance"] for r in moments.variances(df, names).collect()}
+    want = df.selectExpr(*[f"var_samp({c}) AS {c}" for c in names]).first().asDict()
+    assert list(got) == names and got["c3"] == 0 and got["c4"] is None and got["c5"] is None
+    assert got == {c: v if v is None else pytest.approx(v, rel=1e-9) for c, v in want.items()}
+    none = df.filter("1 = 0")
+    assert [r["variance"] for r in moments.variances(none, names).collect()] == [None] * 6
