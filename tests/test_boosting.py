@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import itertools
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendmill.operators import boosting, tree_explain
+from lendmill.operators import boosting, pd_model, tree_explain
 from lendmill.operators.boosting import NO_FOLD, Params
+from lendmill.plans import model_queries
 
 
 def sample(n=900, seed=3):
@@ -287,3 +289,36 @@ def test_features_of_few_codes_are_added_up_together(heavy):
     boosting._histograms(codes, node[rows], nodes, g, h, range(13), first, rows, plain)
     boosting._histograms(codes, node[rows], nodes, g, h, alone, first, rows, found, joined)
     assert plain[:, :, 2].sum() == 13 * len(rows) and (found == plain).all()
+
+
+def test_edges_are_those_of_single_marks(spark):
+    x, y, fold = sample(700)
+    df = frame(spark, x, y, fold, 1)
+    marks = [k / 11 for k in range(1, 11)]
+    row = df.agg(*[F.percentile_approx(f, marks, 2_000).alias(f) for f in FEATURES]).first()
+    for f, found in zip(FEATURES, boosting.quantile_edges(df, FEATURES, bins=12)):
+        assert found.tolist() == sorted(set(row[f]))
+
+
+def test_explaining_fits_the_first_fold_only(spark, monkeypatch):
+    x, y, fold = sample(400)
+    df = frame(spark, x, y, fold)
+    params = Params(rounds=3, leaves=4, step=0.3, min_rows=8)
+    fit_all, quantise, folds, tables = boosting.fit_all, boosting.quantise, [], []
+    monkeypatch.setattr(boosting, "fit_all", lambda data, wanted, halving=None: folds.append([held for _, held in wanted]) or fit_all(data, wanted, halving))
+    monkeypatch.setattr(boosting, "quantise", lambda *a, **k: tables.append(a) or quantise(df, FEATURES, "target", fold="fold", block_rows=128))
+    monkeypatch.setattr(model_queries, "BOOSTED", {"boosted_by_leaf": params, "boosted_by_depth": params})
+    monkeypatch.setattr(model_queries, "training", lambda dom, gaps=False: df)
+    monkeypatch.setattr(model_queries, "model_table", lambda dom: SimpleNamespace(selected=FEATURES))
+    dom = SimpleNamespace(spark=spark, folder="own rows")
+    first = model_queries.explained_model(dom)
+    assert folds == [[0]] and model_queries.explained_model(dom) is first and len(folds) == 1
+    # the other folds' models are fitted when they are asked for, on the same blocks, as those of a candidate that is not explained
+    found, plain = (model_queries.fitted(dom, name) for name in model_queries.BOOSTED)
+    assert folds == [[0], [1, 2, 3, 4], [0, 1, 2, 3, 4]] and len(tables) == 1 and found.models[0] is first
+    for a, b in zip(found.models, plain.models, strict=True):
+        assert a.curve == b.curve and len(a.trees) == len(b.trees) > 0
+        assert all((s.feature == t.feature).all() and (s.value == t.value).all() for s, t in zip(a.trees, b.trees))
+    rows = [sorted(map(tuple, f.oof.collect())) for f in (found, plain)]
+    assert rows[0] == rows[1] and len(rows[0]) == 400
+    assert model_queries.explained_model(dom) is first
