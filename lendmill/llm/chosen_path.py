@@ -231,11 +231,13 @@ def _owning(similar: float, width: int):
     return run
 
 
-def _sized(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The rows of the nodes in `sizes` (path, size), with the size."""
+def _sized(rows: DataFrame, sizes: DataFrame, nodes: int) -> DataFrame:
+    """The rows of the nodes in `sizes` (path, size), of which there are at most `nodes`, with the size."""
+    if nodes <= runtime.LIGHT:
+        return rows.join(F.broadcast(sizes.select("path", "size")), "path")
     # a node may hold a third of all classes: its members are dealt over several tasks
     salted = sizes.select("path", "size", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(salted, ["path", "salt"]).drop("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(runtime.for_join(salted, nodes * SALTS), ["path", "salt"]).drop("salt")
 
 
 _LEAF = ["path", "position", "own", "crossed", "rep"]
@@ -260,27 +262,29 @@ def leaves(classes: DataFrame, similar: float, branch: int, bucket: int, levels:
     pairs = F.col("size") * (F.col("size") - 1)
     rows = classes.select("rep", "marks").mapInArrow(_children(runs, branch, -1, 0), schema)
     found = now = split = None
+    held, shared = classes.count(), 0
     for level in range(levels):
         before, now = now, materialize(rows, "paths")
         sizes = materialize(now.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
+        above, shared = shared, sizes.count()
         met = None
         if split is not None:
             # nodes of the level above that splitting does not make less work of
             left = sizes.groupBy(F.col("parent").alias("path")).agg(F.sum(pairs).alias("left"))
             whole = materialize(split.join(left, "path").filter(F.col("left") >= pairs).select("path", "size"), "whole")
-            met = _blocks(_sized(before, whole), bucket)
+            met = _blocks(_sized(before, whole, above), bucket)
             sizes = sizes.join(whole.select(F.col("path").alias("parent")), "parent", "left_anti")
         split = sizes.filter(F.col("size") > bucket).select("path", "size")
-        small = _sized(now, sizes.filter(F.col("size") <= bucket)).withColumns({"own": F.lit(0), "crossed": F.lit(False)}).select(F.col("path").alias("leaf"), *_LEAF)
+        small = _sized(now, sizes.filter(F.col("size") <= bucket), shared).withColumns({"own": F.lit(0), "crossed": F.lit(False)}).select(F.col("path").alias("leaf"), *_LEAF)
         met = small if met is None else met.union(small)
         if level == levels - 1:
-            met = met.union(_blocks(_sized(now, split), bucket))
+            met = met.union(_blocks(_sized(now, split, shared), bucket))
         met = materialize(met, "leaves")
         release(before)
         found = met if found is None else found.union(met)
         if level == levels - 1 or split.isEmpty():
             break
-        parents = _sized(now, split).select("path", "position", "rep").join(classes.select("rep", "marks"), "rep")
+        parents = _sized(now, split, shared).select("path", "position", "rep").join(runtime.for_join(classes.select("rep", "marks"), held), "rep")
         rows = parents.mapInArrow(_children(runs, branch, first[level], first[level + 1]), schema)
     release(now)
     return found
@@ -352,15 +356,17 @@ def linked(docs: DataFrame, classes: DataFrame, leaf: DataFrame, size: int, widt
 
     `width` is the number of positions, `size` the words of a shingle.
     """
+    rows = max(classes.count(), leaf.count())
+    side = lambda df: runtime.for_join(df, rows)
     lists = leaf.select("rep", "position", "path").distinct().groupBy("rep").agg(F.collect_list(F.struct("position", "path")).alias("nodes"))
-    known = materialize(classes.select("rep", "n", "copies", "short").join(lists, "rep"), "leaf-lists")
-    met = leaf.drop("path").join(known.drop("copies"), "rep").repartition("leaf").sortWithinPartitions("leaf", "n", "rep")
+    known = materialize(classes.select("rep", "n", "copies", "short").join(side(lists), "rep"), "leaf-lists")
+    met = leaf.drop("path").join(side(known.drop("copies")), "rep").repartition("leaf").sortWithinPartitions("leaf", "n", "rep")
     owned = met.select("leaf", "position", "own", "crossed", "rep", "n", "short", "nodes").mapInArrow(_owning(similar, width), "leaf long, position int, own int, crossed boolean, rep long")
     owners = materialize(owned, "owners")
-    ends = materialize(classes.select("rep", "least.id", "least.row").join(owners.select("rep").distinct(), "rep", "left_semi"), "owning-classes")
-    some = runtime.only_slots_of(docs, "row", ends, "row").join(ends, ["id", "row"]).select("rep", "text")
+    ends = materialize(classes.select("rep", "least.id", "least.row").join(side(owners.select("rep").distinct()), "rep", "left_semi"), "owning-classes")
+    some = runtime.only_slots_of(docs, "row", ends, "row").join(side(ends), ["id", "row"]).select("rep", "text")
     sets = some.mapInArrow(_sets(size), "rep long, items binary").dropDuplicates(["rep"])
-    full = owners.join(known, "rep").join(sets, "rep")
+    full = owners.join(side(known), "rep").join(side(sets), "rep")
     links = materialize(full.repartition("leaf").sortWithinPartitions("leaf", "n", "rep").mapInArrow(_linked(similar, width), "u long, v long, links long"), "links")
     for read in (known, owners, ends):
         release(read)
@@ -385,16 +391,18 @@ def judged(
     runs = runs_needed(recall, similar, branch, levels)
     leaf = leaves(classes, similar, branch, bucket, levels, runs)
     links = linked(docs, classes, leaf, width, positions(runs, branch, levels)[-1], similar)
+    rows = classes.count()
+    side = lambda df: runtime.for_join(df, rows)
     counts = links.filter("links >= 0").groupBy(F.col("u").alias("a")).agg(F.sum("links").alias("others"))
     group = components(links.filter("links < 0").select("u", "v"))
-    named = materialize(classes.select("rep", "least").join(group, F.col("rep") == F.col("node")).select("rep", "least", "component"), "components")
+    named = materialize(classes.select("rep", "least").join(side(group), F.col("rep") == F.col("node")).select("rep", "least", "component"), "components")
     firsts = named.groupBy("component").agg(F.min("least").alias("first"))
-    group = named.join(firsts, "component").select(F.col("rep").alias("node"), "first")
+    group = named.join(side(firsts), "component").select(F.col("rep").alias("node"), "first")
     facts = (
-        classes.join(counts, classes["rep"] == counts["a"], "left").join(group, classes["rep"] == group["node"], "left")
+        classes.join(side(counts), classes["rep"] == counts["a"], "left").join(side(group), classes["rep"] == group["node"], "left")
         .select("s1", "s2", "n", "least", F.coalesce("first", "least").alias("first"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     )
-    out = sketches.join(facts, ["s1", "s2", "n"], "left")
+    out = sketches.join(side(facts), ["s1", "s2", "n"], "left")
     real = lambda c: F.when(c != NULL_ID, c)
     return out.select(
         real(F.col("id")).alias("doc_id"), real(F.coalesce("first.id", "id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendmill.llm.runtime import for_join
 from lendmill.session import materialize
 
 
@@ -12,20 +13,20 @@ def _state(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
 
-def _least(pairs: DataFrame) -> DataFrame:
-    """(u, v, m): m is the smallest of u and its neighbours."""
+def _least(pairs: DataFrame, rows: int) -> DataFrame:
+    """(u, v, m): m is the smallest of u and its neighbours; there are at most `rows` pairs."""
     least = pairs.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("of"), F.least("u", "low").alias("m"))
-    return pairs.join(least, pairs["u"] == least["of"]).select("u", "v", "m")
+    return pairs.join(for_join(least, rows), pairs["u"] == least["of"]).select("u", "v", "m")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _least(both, 2 * rows).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    met = _least(down)
+    met = _least(down, rows)
     return met.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u <> v")
 
 
@@ -39,7 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     before = _state(now)
     while before[0]:
-        now = materialize(_small_star(_large_star(now)).distinct(), "edges")
+        now = materialize(_small_star(_large_star(now, before[0]), 2 * before[0]).distinct(), "edges")
         after = _state(now)
         if after == before:
             break

@@ -213,9 +213,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     docs, windows, index = _prepared(docs, items, window)
     grouped = aligned(index, windows).groupBy("id").agg(F.collect_list(F.struct("item_id", "words", "begin", "starts")).alias("candidates"))
     found = materialize(grouped, "aligned")
-    slots = found.select(runtime.slot(F.col("id")).alias("slot")).distinct()
-    touched = docs.join(F.broadcast(slots), runtime.slot(docs["id"]) == slots["slot"], "left_semi")
-    clean = docs.join(F.broadcast(slots), runtime.slot(docs["id"]) == slots["slot"], "left_anti")
+    touched, clean = runtime.split_by_slots(docs, "id", found, "id")
     schema = "id long, n_words long, n_hit long, items array<string>"
     out = touched.join(found, "id", "left").select("id", "text", "candidates").mapInArrow(_verified(window), schema).unionByName(clean.mapInArrow(_verified(window), schema))
     return out.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_words", "n_hit", "items")

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lendmill.llm import chosen_path, difference_cover, hnsw, positional_index, runtime
 from lendmill.llm.components import components
@@ -272,3 +273,40 @@ def test_vectors_where_ids_are_null_or_repeat(spark):
     got = got.collect()
     assert sorted(map(str, ((r["vec_id"], r["n_links"], r["component_id"]) for r in got))) == sorted(map(str, want))
     assert sorted(str(r["vec_id"]) for r in got if r["kept"]) == ["7", "7", "None", "None"]
+
+
+def test_large_tables_of_the_join_are_not_broadcast(spark, monkeypatch):
+    """Of what grows with the documents nothing reaches the driver; the filter of wanted keys is a bit a slot."""
+    rows = [r if r[0] is not None else (0, *r[1:]) for r in awkward_rows()]
+    docs = frame(spark, rows)
+    plans, write = [], chosen_path.materialize
+    want = sorted(map(tuple, chosen_path.near_duplicates(docs, bucket=2, levels=2).collect()), key=str)
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        sides.append((label, df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin")))
+        return write(df, label)
+
+    sides = []
+    monkeypatch.setattr(chosen_path, "materialize", noted)
+    monkeypatch.setattr(runtime, "LIGHT", 0)
+    found = chosen_path.near_duplicates(docs, bucket=2, levels=2)
+    broadcast = dict.fromkeys(("leaf-lists", "owners", "owning-classes", "components"), 0) | {"links": 1}  # the wanted keys' slots
+    assert {label: n for label, n in sides if label in broadcast} == broadcast
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=str) == want
+
+
+def test_wanted_keys_are_sent_as_bits(spark):
+    """A hundred thousand keys are few words of 64 slots; whatever the key, a row of a wanted one stays, and a null key counts as one."""
+    docs = spark.range(3000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("k"))
+    wanted = spark.range(100_000).select((F.col("id") * 3).alias("k")).union(spark.createDataFrame([(None,)], "k long"))
+    words = runtime._words(wanted, "k")
+    assert words.count() <= runtime.SLOTS // 64
+    met, rest = runtime.split_by_slots(docs, "k", wanted, "k")
+    slots = {r[0] for r in wanted.select(runtime.slot(F.col("k"))).distinct().collect()}
+    plain = docs.withColumn("s", runtime.slot(F.col("k"))).collect()
+    count = lambda df: sorted((r["k"] is None, r["k"] or 0) for r in df.collect())
+    for df, inside in ((met, True), (rest, False)):
+        assert count(df) == sorted((r["k"] is None, r["k"] or 0) for r in plain if (r["s"] in slots) == inside)
+    assert count(runtime.only_slots_of(docs, "k", wanted, "k")) == count(met)
