@@ -97,3 +97,39 @@ def test_variances_equal_those_of_sql(spark):
     assert got == {c: v if v is None else pytest.approx(v, rel=1e-9) for c, v in want.items()}
     none = df.filter("1 = 0")
     assert [r["variance"] for r in moments.variances(none, names).collect()] == [None] * 6
+
+
+def test_correlations_read_the_rows_once(spark, monkeypatch):
+    """The means are those of the tasks: no pass before, and the sums of tasks with far means meet."""
+    x = np.random.default_rng(6).normal(size=(600, 3)) * [1, 1e3, 1] + np.repeat([[0, 1e7, -50], [900, -1e7, 50]], 300, axis=0)
+    df = frame(spark, x, list("abc"))
+
+    def asked(*_):
+        raise AssertionError("the rows are read before")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "first", asked)
+        m.setattr(type(df), "collect", asked)
+        found = moments.correlations(df, list("abc"))
+    got = {(r["i"], r["j"]): r["r"] for r in found.collect()}
+    want = np.corrcoef(x.T)
+    assert got == {(i, j): pytest.approx(want[i, j], abs=1e-9) for j in range(3) for i in range(j)}
+
+
+def test_selection_writes_one_wide_table(spark, monkeypatch):
+    """The queries that read the features once write none of them, the selection writes them before gaps are filled."""
+    from lendmill.plans import model_table
+    from lendmill.sources.domain import Domain
+    from tests.conftest import SMALL
+
+    written, write = [], model_table.materialize
+    monkeypatch.setattr(model_table, "materialize", lambda df, label, *a: written.append(label) or write(df, label, *a))
+    monkeypatch.setattr(model_table, "_TABLES", {})
+    dom = Domain(spark, SMALL)
+    for name in ("sel_low_variance", "sel_target_corr", "sel_high_corr"):
+        model_table.QUERIES[name].build(dom)
+    assert written == []
+    table = model_table.model_table(dom)
+    assert written == ["encoded"] and model_table.model_table(dom) is table
+    assert table.filled.columns == table.gaps.columns == [*model_table.KEYS, *table.selected]
+    assert table.filled.count() == table.gaps.count() == dom.application.count()
