@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators import boosting, pd_model, tree_explain
 from lendmill.operators.boosting import NO_FOLD, Params
+from lendmill.params import SearchSpace
 from lendmill.plans import model_queries
 
 
@@ -322,3 +323,38 @@ def test_explaining_fits_the_first_fold_only(spark, monkeypatch):
     rows = [sorted(map(tuple, f.oof.collect())) for f in (found, plain)]
     assert rows[0] == rows[1] and len(rows[0]) == 400
     assert model_queries.explained_model(dom) is first
+
+
+@pytest.mark.parametrize("params", [
+    Params(rounds=6, leaves=9, step=0.3, min_rows=8, columns=0.7, subsample=0.8, patience=0),
+    Params(rounds=25, leaves=7, depth=3, step=0.5, min_rows=5, l1=0.1, l2=1.0, patience=4),
+    Params(rounds=5, leaves=6, step=0.3, min_rows=10, patience=0, loss="squared"),
+])
+def test_models_fitted_whole_in_tasks_are_those_of_shared_passes(spark, monkeypatch, params):
+    x, y, fold = sample(700)
+    data = boosting.quantise(frame(spark, x, y, fold), FEATURES, "target", fold="fold", block_rows=128)
+    wanted = [(params, k) for k in (0, 1, 2)] + [(params, NO_FOLD)]
+    passes, summed = [], boosting._summed
+    monkeypatch.setattr(boosting, "_summed", lambda *a: passes.append(a) or summed(*a))
+    whole = boosting.fit_all(data, wanted)
+    assert not passes
+    monkeypatch.setattr(boosting, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(boosting, "WRITTEN_EVERY", 2)
+    shared = boosting.fit_all(data, wanted)
+    assert len(passes) > params.leaves // 2
+    for a, b in zip(whole, shared, strict=True):
+        assert a.curve == b.curve and a.base == b.base and len(a.trees) == len(b.trees) > 0
+        for s, t in zip(a.trees, b.trees):
+            assert all((getattr(s, c) == getattr(t, c)).all() for c in ("feature", "code", "edge", "gap_left", "left", "right", "value", "cover"))
+
+
+def test_search_runs_every_trial_to_its_end(spark):
+    """No trial is given up for a loss behind the others': each ends by its rounds, or by its own patience."""
+    x, y, fold = sample(400)
+    space = SearchSpace(trees=(60, 70), leaves=(3, 6), step=(0.002, 0.01), min_rows=(10, 20), min_gain=(0.0, 1e-6), l1=(1e-5, 1e-4))
+    drawn, rows = pd_model.draw(space, 4), frame(spark, x, y, fold % 3).withColumn("weight", F.lit(1.0))
+    found = pd_model.tune(rows, FEATURES, trials=4, space=space).collect()
+    assert sorted(r["trial"] for r in found) == list(range(4))
+    assert all(r["rounds_run"] == r["rounds"] == drawn[r["trial"]].rounds > 50 for r in found)
+    pruned = pd_model.tune(rows, FEATURES, trials=4, space=space, first=5, most=15).collect()
+    assert sorted(r["rounds_run"] for r in pruned)[:3] == [4, 4, 4]
